@@ -197,14 +197,13 @@ def _border_rows(
     )
     by_key = Window.partitionBy(*keys).orderBy(CHUNK)
     frame = by_key.rowsBetween(-count, -1) if backwards else by_key.rowsBetween(1, count)
-    reach = F.flatten(F.collect_list("__rows").over(frame))
+    reached = edge.withColumn("__reach", F.flatten(F.collect_list("__rows").over(frame)))
+    first = F.lit(1)
     if backwards:
-        size = F.greatest(F.size(reach), F.lit(0))
-        near = F.slice(reach, F.greatest(size - count + 1, F.lit(1)), F.lit(count))
-    else:
-        near = F.slice(reach, F.lit(1), F.lit(count))
+        first = F.greatest(F.size("__reach") - (count - 1), F.lit(1))
+    near = F.slice("__reach", first, F.lit(count))
     return (
-        edge.withColumn("__near", F.explode(near))
+        reached.withColumn("__near", F.explode(near))
         .select(
             *keys, CHUNK, F.lit(True).alias(EXTRA),
             *[F.col("__near")[c].alias(c) for c in carried],

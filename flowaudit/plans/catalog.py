@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from flowaudit.plans import compare, history  # noqa: F401
+from flowaudit.plans import (  # noqa: F401
+    batches,
+    compare,
+    history,
+    lag,
+    logs,
+    payloads,
+    snapshots,
+)
 from flowaudit.plans.registry import EXPECTED_SQL, QUERIES
 
 __all__ = ["EXPECTED_SQL", "QUERIES"]
