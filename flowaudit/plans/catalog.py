@@ -10,6 +10,7 @@ from flowaudit.plans import (  # noqa: F401
     logs,
     payloads,
     snapshots,
+    streams,
 )
 from flowaudit.plans.registry import EXPECTED_SQL, QUERIES
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowaudit.operators import compare
+from flowaudit.operators.ordered import with_previous
 from flowaudit.plans import inputs as i
 from flowaudit.plans.registry import query
 from flowaudit.schemas import OP_KINDS, counter_columns, counter_name
@@ -95,12 +96,12 @@ def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "reconcile_one_feed",
-    f"""WITH {i.EV}, {i.SIDES_SQL}, {i.COUNTERS_SQL}
+EXPECTED_ONE_FEED = f"""WITH {i.EV}, {i.SIDES_SQL}, {i.COUNTERS_SQL}
 SELECT app_name, table_name, epoch_ms(batch_ts) AS batch_ms, {_csv(PAIR_COLS)},
-  {_csv(f"{_diff_sql(k)} AS diff_num_of_{k}" for k in OP_KINDS)} FROM counters""",
-)
+  {_csv(f"{_diff_sql(k)} AS diff_num_of_{k}" for k in OP_KINDS)} FROM counters"""
+
+
+@query("reconcile_one_feed", EXPECTED_ONE_FEED)
 def reconcile_one_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     paired = compare.diff_counts(counters(i.events(spark, sf_dir)))
     return paired.select(
@@ -165,7 +166,10 @@ def delta_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("delta_by_run_chunked", _by_run_sql(_ALL_DELTAS))
+EXPECTED_SIDE_DELTAS = _by_run_sql(_ALL_DELTAS)
+
+
+@query("delta_by_run_chunked", EXPECTED_SIDE_DELTAS)
 def delta_by_run_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = i.events(spark, sf_dir)
     delta = compare.delta_by_run(
@@ -184,13 +188,13 @@ def delta_of_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "delta_by_row",
-    f"""WITH {i.EV}, {i.SIDES_SQL}, {i.COUNTERS_SQL}, {i.TOTALS_SQL}
+EXPECTED_DELTA_BY_ROW = f"""WITH {i.EV}, {i.SIDES_SQL}, {i.COUNTERS_SQL}, {i.TOTALS_SQL}
 SELECT app_name, table_name, epoch_ms(batch_ts) AS batch_ms,
   {_csv(f"{c} - lag({c}) OVER w AS {c}_sli" for c in PAIR_COLS)}
-FROM totals WINDOW w AS (PARTITION BY app_name, table_name ORDER BY batch_ts)""",
-)
+FROM totals WINDOW w AS (PARTITION BY app_name, table_name ORDER BY batch_ts)"""
+
+
+@query("delta_by_row", EXPECTED_DELTA_BY_ROW)
 def delta_by_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     delta = compare.delta_by_row(totals(i.events(spark, sf_dir)), KEYS, PAIR_COLS)
     return delta.select(
@@ -206,8 +210,6 @@ FROM ev WINDOW w AS (PARTITION BY app_name ORDER BY ts, event_id)""",
 )
 def delta_by_row_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row-to-row change on raw readings, where an app may hold a large part of the rows."""
-    from flowaudit.operators.ordered import with_previous
-
     before = with_previous(
         i.events(spark, sf_dir).select("event_id", "ts", "app_name", "k", "lag_ms", "hour_ts"),
         ["app_name"], ["ts", "event_id"], {"k0": "k", "lag0": "lag_ms"}, F.col("hour_ts"),
