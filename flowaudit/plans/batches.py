@@ -57,7 +57,7 @@ def _flat_names(schema: T.StructType, prefix: str = "") -> list[tuple[str, T.Dat
 FLAT = _flat_names(batches.metrics_schema())
 
 
-def _flat_sql() -> str:
+def flat_select(source: str) -> str:
     cols = []
     for place, (name, kind, task) in enumerate(FLAT):
         value = f"k + {place}"
@@ -68,10 +68,10 @@ def _flat_sql() -> str:
         if task:
             value = f"CASE WHEN event_type <> 'view' THEN {value} END"
         cols.append(f"{value} AS {name}")
-    return f"WITH {i.EV} SELECT event_id, {', '.join(cols)} FROM ev"
+    return f"SELECT event_id, {', '.join(cols)} FROM {source}"
 
 
-@query("flatten_nested", _flat_sql())
+@query("flatten_nested", f"WITH {i.EV} {flat_select('ev')}")
 def flatten_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     captured = i.events(spark, sf_dir).select("event_id", metrics_payload().alias("jsondata"))
     flat = batches.flatten_target(captured)

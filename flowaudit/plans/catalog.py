@@ -11,6 +11,7 @@ from flowaudit.plans import (  # noqa: F401
     payloads,
     snapshots,
     streams,
+    tables,
 )
 from flowaudit.plans.registry import EXPECTED_SQL, QUERIES
 

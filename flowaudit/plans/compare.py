@@ -152,13 +152,16 @@ def deltas_by_run(ev: DataFrame) -> DataFrame:
     return compare.delta_of_diff(delta)
 
 
-@query(
-    "delta_by_run",
-    _by_run_sql(
-        ["CAST(epoch(c.batch_ts) - epoch(r.previous_ts) AS BIGINT) AS timesincelastbatch",
-         *_ALL_DELTAS, *_DIFF_DELTAS]
-    ),
+EXPECTED_DELTA_BY_RUN = _by_run_sql(
+    [
+        "CAST(epoch(c.batch_ts) - epoch(r.previous_ts) AS BIGINT) AS timesincelastbatch",
+        *_ALL_DELTAS,
+        *_DIFF_DELTAS,
+    ]
 )
+
+
+@query("delta_by_run", EXPECTED_DELTA_BY_RUN)
 def delta_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deltas_by_run(i.events(spark, sf_dir)).select(
         *KEYS, i.ms("batch_ts").alias("batch_ms"), "timesincelastbatch",
