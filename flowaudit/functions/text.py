@@ -14,15 +14,17 @@ SIZE_UNITS = ("", "K", "M", "G", "T", "P")
 _SIZE = r"^\s*([0-9]+(?:\.[0-9]+)?)\s*([KMGTP]?)I?(?:B|BYTES?)?\s*$"
 
 
+def _lookup(values: dict[str, int], key: Column) -> Column:
+    pairs = [F.lit(x) for name, value in values.items() for x in (name, value)]
+    return F.try_element_at(F.create_map(*pairs), key).cast("bigint")
+
+
 def parse_bytes(text: Column) -> Column:
     """``"1.5 GB"`` to bytes, rounded down."""
     upper = F.upper(text)
     number = F.regexp_extract(upper, _SIZE, 1).try_cast("decimal(20,6)")
-    unit = F.regexp_extract(upper, _SIZE, 2)
-    factor = F.lit(None).cast("bigint")
-    for power, letter in reversed(list(enumerate(SIZE_UNITS))):
-        factor = F.when(unit == letter, F.lit(1024**power).cast("bigint")).otherwise(factor)
-    return F.floor(number * factor).cast("bigint")
+    powers = {letter: 1024**power for power, letter in enumerate(SIZE_UNITS)}
+    return F.floor(number * _lookup(powers, F.regexp_extract(upper, _SIZE, 2))).cast("bigint")
 
 
 _UPTIME = (
@@ -32,17 +34,19 @@ _UPTIME = (
 )
 
 
-def parse_seconds(text: Column) -> Column:
-    """``"3 days 04:05:06"`` or ``"2h 5m"`` to seconds."""
+_UPTIME_SECONDS = (86400, 3600, 60, 1, 3600, 60, 1)
 
-    def part(group: int, seconds: int) -> Column:
-        found = F.regexp_extract(text, _UPTIME, group).try_cast("bigint")
-        return F.coalesce(found, F.lit(0).cast("bigint")) * F.lit(seconds).cast("bigint")
 
-    total = (
-        part(1, 86400) + part(2, 3600) + part(3, 60) + part(4, 1)
-        + part(5, 3600) + part(6, 60) + part(7, 1)
-    )
+def parse_seconds(text: Column) -> Column:
+    """``"3 days 04:05:06"`` or ``"2h 5m"`` to seconds.
+
+    The text is matched once and rewritten to its numbers, absent ones as zero.
+    """
+    numbers = F.lit(",".join(f"0${g}" for g in range(1, len(_UPTIME_SECONDS) + 1)))
+    parts = F.split(F.regexp_replace(text, F.lit(_UPTIME), numbers), ",")
+    weights = F.array(*[F.lit(w).cast("bigint") for w in _UPTIME_SECONDS])
+    seconds = F.zip_with(parts, weights, lambda n, w: n.try_cast("bigint") * w)
+    total = F.aggregate(seconds, F.lit(0).cast("bigint"), lambda whole, part: whole + part)
     return F.when(text.rlike(_UPTIME) & text.rlike(r"\d"), total)
 
 
@@ -57,10 +61,7 @@ def interval_seconds(text: Column) -> Column:
     upper = F.upper(text)
     number = F.regexp_extract(upper, _INTERVAL, 1).try_cast("bigint")
     unit = F.regexp_extract(upper, _INTERVAL, 2)
-    factor = F.lit(None).cast("bigint")
-    for name, seconds in INTERVAL_UNITS.items():
-        factor = F.when(unit == name, F.lit(seconds).cast("bigint")).otherwise(factor)
-    return number * factor
+    return number * _lookup(INTERVAL_UNITS, unit)
 
 
 def server_address(text: Column) -> Column:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowaudit.operators.ordered import with_row_number
+from flowaudit.operators.ordered import HOT_ROWS, with_row_number
 from flowaudit.operators.stamping import bucket_start
 from flowaudit.schemas import WAREHOUSE_TARGET_STATS
 
@@ -109,12 +109,13 @@ def form_batches(
     order: Sequence[str],
     max_events: int | None = None,
     every_s: int | None = None,
-    chunk: Column | None = None,
+    chunk_unit: str | None = "minute",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Assign events to batches closed by event count, by interval, or by whichever comes first.
 
     Adds ``batch_start`` (interval start) and ``batch_no`` (0-based, within the key and interval)
-    as far as they apply. ``chunk`` spreads the numbering of a busy key.
+    as far as they apply.
     """
     if max_events is None and every_s is None:
         raise ValueError("give max_events, every_s or both")
@@ -123,7 +124,7 @@ def form_batches(
         events = events.withColumn("batch_start", bucket_start(F.col(ts), every_s))
         within.append("batch_start")
     if max_events is not None:
-        numbered = with_row_number(events, within, order, "__place", chunk)
+        numbered = with_row_number(events, within, order, "__place", chunk_unit, hot_rows)
         events = numbered.withColumn(
             "batch_no", F.floor((F.col("__place") - 1) / F.lit(max_events)).cast("bigint")
         ).drop("__place")
@@ -188,10 +189,13 @@ def last_batch(
     keys: Sequence[str] = ("target_name",),
     seq: str = "sequence_number",
 ) -> DataFrame:
-    """The batch with the highest sequence number per target, one row per map task shuffled."""
-    newest = F.max(F.struct(seq, *[c for c in cols if c != seq])).alias("__last")
-    return batches.groupBy(*keys).agg(newest).select(
-        *keys, *[F.col("__last")[c].alias(f"{_PREFIX}{c}") for c in dict.fromkeys([seq, *cols])]
+    """The batch with the highest sequence number per target, one row per map task shuffled.
+
+    One ``max_by`` per column keeps number buffers in place, so the aggregation hashes and needs no
+    sort; all of them follow the same sequence number.
+    """
+    return batches.groupBy(*keys).agg(
+        *[F.max_by(c, seq).alias(f"{_PREFIX}{c}") for c in dict.fromkeys([seq, *cols])]
     )
 
 

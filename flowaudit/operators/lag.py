@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowaudit.functions.ratios import millis_between
+from flowaudit.operators.joins import lookup
 from flowaudit.operators.ordered import newest_per_key
 
 PAIR = ("source_name", "target_name")
@@ -90,19 +91,36 @@ def attribute(
         F.col("candidates").alias(candidates),
     )
     return (
-        df.join(matches, F.col(name) == F.col("__name"), "left")
-        .drop("__name")
+        lookup(df, matches, F.col(name), "__name")
         .withColumn(candidates, F.coalesce(candidates, F.lit(0).cast("bigint")))
     )
 
 
 def latency_report(
-    current: DataFrame, stats: DataFrame, catalog: DataFrame, pair: Sequence[str] = PAIR
+    df: DataFrame,
+    catalog: DataFrame,
+    sample: int,
+    pair: Sequence[str] = PAIR,
+    lag: str = "lag_ms",
+    measured_at: str = "delivered_ts",
+    record_id: str = "record_id",
 ) -> DataFrame:
-    """Current lag, sample statistics and the apps on both ends, one row per pair."""
-    joined = current.join(stats, list(pair))
-    joined = attribute(joined, catalog, "source_name", "source_app", "source_candidates")
-    return attribute(joined, catalog, "target_name", "target_app", "target_candidates")
+    """Current lag, statistics of the newest ``sample`` records and the apps on both ends.
+
+    The newest record is part of the sample, so one pass gives both.
+    """
+    newest = [F.col(measured_at).desc(), F.col(record_id).desc()]
+    sampled = newest_per_key(df, pair, newest, sample, place="__place")
+    report = sampled.groupBy(*pair).agg(
+        F.max(F.when(F.col("__place") == 1, F.col(lag))).alias("lag_end_to_end"),
+        F.max(measured_at).alias("measured_at"),
+        F.min(lag).alias("min_lag"),
+        F.max(lag).alias("max_lag"),
+        F.avg(lag).alias("avg_lag"),
+        F.count(lag).alias("sample_size"),
+    )
+    report = attribute(report, catalog, "source_name", "source_app", "source_candidates")
+    return attribute(report, catalog, "target_name", "target_app", "target_candidates")
 
 
 def seconds(millis: Column) -> Column:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowaudit.operators.ordered import with_neighbour_text
+from flowaudit.operators.ordered import HOT_ROWS, with_neighbour_text
 
 # Default line layout: <date> <time> @<server> -<LEVEL> <app> : <message>
 LINE_PATTERN = r"^(\d\S* \S+) @(\S+) -(\S+) (\S+) : (.*)$"
@@ -73,8 +73,10 @@ def with_context(
     order: Sequence[str] = ("log_date", "line_no"),
     text: str = "value",
     name: str = "contextbuffertext",
-    chunk: Column | None = None,
+    chunk_unit: str | None = "minute",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Attach the lines around each entry of the same server, the entry included."""
-    pieces = chunk if chunk is not None else F.date_trunc("hour", F.col(order[0]))
-    return with_neighbour_text(df, keys, order, text, name, before, after, pieces)
+    return with_neighbour_text(
+        df, keys, order, text, name, before, after, chunk_unit, hot_rows
+    )

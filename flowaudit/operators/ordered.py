@@ -1,11 +1,16 @@
 """Ordered per-key calculations that survive a hot key.
 
-A plain window puts all rows of a key into one task. Here the window runs per (keys, chunk), where
-the chunk is a column that never decreases in the order of the rows, such as the hour of the row's
-time. What a chunk must know of the rows before it comes from a small frame of chunk summaries,
+A plain window puts all rows of a key into one task. Here a count per key (one pass over the key
+columns, combined on the map side) finds the hot keys, those with more than ``hot_rows`` rows. The
+rows of a hot key are cut into chunks of time and the window runs per (keys, chunk); a cold key is
+one chunk. What a chunk must know of the rows before it comes from a small frame of chunk summaries,
 which is folded along the key and added to each chunk as extra rows, marked and dropped at the end.
 The large side is shuffled once, on (keys, chunk), so a key holding a third of all rows is spread
-over as many tasks as it has chunks. The summaries hold a fixed number of rows per (keys, chunk).
+over as many tasks as it has chunks, and data without hot keys pays for the count only.
+
+Every function takes ``chunk_unit``: the unit of time by which hot keys are cut, a unit of
+``date_trunc``, applied to the first column of ``order``, which must be a timestamp. Without it the
+window is plain, right for inputs of bounded length per key, such as one row per key and run.
 """
 
 from __future__ import annotations
@@ -17,10 +22,37 @@ from pyspark.sql import functions as F
 
 CHUNK = "__chunk"
 EXTRA = "__extra"
+HOT_ROWS = 5_000_000
+
+
+def _split(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_unit: str, hot_rows: int
+) -> DataFrame:
+    """Add the chunk of each row: null for cold keys.
+
+    Of N rows at most N / hot_rows keys are hot, which bounds the list that is broadcast.
+    """
+    hot = (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("__rows"))
+        .where(F.col("__rows") > hot_rows)
+        .select(*[F.col(k).alias(f"__hot_{k}") for k in keys], F.lit(True).alias("__hot"))
+    )
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__hot_{k}"))
+    earliest = F.lit("0001-01-01").cast("timestamp")
+    chunk = F.coalesce(F.date_trunc(chunk_unit, F.col(order[0])), earliest)
+    return (
+        df.join(F.broadcast(hot), same, "left")
+        .withColumn(CHUNK, F.when(F.col("__hot"), chunk))
+        .withColumn(EXTRA, F.lit(False))
+        .drop("__hot", *[f"__hot_{k}" for k in keys])
+    )
 
 
-def _chunked(df: DataFrame, chunk: Column) -> DataFrame:
-    return df.withColumn(CHUNK, chunk).withColumn(EXTRA, F.lit(False))
+def _hot(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col(CHUNK).isNotNull()).drop(EXTRA)
 
 
 def _by_chunk(keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
@@ -36,20 +68,21 @@ def with_previous(
     keys: Sequence[str],
     order: Sequence[str],
     cols: dict[str, str],
-    chunk: Column | None = None,
+    chunk_unit: str | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add the previous row's value of each column: ``cols`` maps new name to column.
 
-    ``order`` must be unique within the keys. Without ``chunk`` this is one plain window, right
-    for inputs of bounded length per key, such as one row per key and run.
+    ``order`` must be unique within the keys.
     """
-    if chunk is None:
+    if chunk_unit is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({new: F.lag(c).over(w) for new, c in cols.items()})
 
+    rows = _split(df, keys, order, chunk_unit, hot_rows)
     carried = list(dict.fromkeys([*order, *cols.values()]))
     last = (
-        df.select(*keys, *[c for c in carried if c not in keys], chunk.alias(CHUNK))
+        _hot(rows)
         .groupBy(*keys, CHUNK)
         .agg(F.max_by(F.struct(*carried), F.struct(*order)).alias("__last"))
     )
@@ -62,7 +95,7 @@ def with_previous(
             *[F.col("__last")[c].alias(c) for c in carried if c not in keys],
         )
     )
-    both = _chunked(df, chunk).unionByName(extra, allowMissingColumns=True)
+    both = rows.unionByName(extra, allowMissingColumns=True)
     w = _by_chunk(keys, order)
     return _finish(both.withColumns({new: F.lag(c).over(w) for new, c in cols.items()}))
 
@@ -72,35 +105,33 @@ def with_running_sum(
     keys: Sequence[str],
     order: Sequence[str],
     cols: dict[str, str],
-    chunk: Column | None = None,
+    chunk_unit: str | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add running sums over the rows up to and with the current one; nulls count as nothing.
 
     ``cols`` maps new name to column. ``order`` must be unique within the keys.
     """
     frame = (Window.unboundedPreceding, Window.currentRow)
-    if chunk is None:
+    if chunk_unit is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*frame)
         return df.withColumns({new: F.sum(c).over(w) for new, c in cols.items()})
 
-    totals = df.groupBy(*keys, chunk.alias(CHUNK)).agg(
+    rows = _split(df, keys, order, chunk_unit, hot_rows)
+    totals = _hot(rows).groupBy(*keys, CHUNK).agg(
         *[F.sum(c).alias(new) for new, c in cols.items()]
     )
-    before = (
-        Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy(CHUNK)) == 1
+    by_key = Window.partitionBy(*keys).orderBy(CHUNK)
+    before = by_key.rowsBetween(Window.unboundedPreceding, -1)
     extra = (
-        totals.withColumn("__first", first)
+        totals.withColumn("__first", F.row_number().over(by_key) == 1)
         .withColumns({new: F.sum(new).over(before) for new in cols})
         .where(~F.col("__first"))
-        .withColumn(EXTRA, F.lit(True))
-        .drop("__first")
+        .select(
+            *keys, CHUNK, F.lit(True).alias(EXTRA), *[F.col(new).alias(c) for new, c in cols.items()]
+        )
     )
-    for new, c in cols.items():
-        extra = extra.withColumn(c, F.col(new))
-    extra = extra.drop(*[new for new in cols if new not in cols.values()])
-    both = _chunked(df, chunk).unionByName(extra, allowMissingColumns=True)
+    both = rows.unionByName(extra, allowMissingColumns=True)
     w = (
         Window.partitionBy(*keys, CHUNK)
         .orderBy(F.col(EXTRA).desc(), *order)
@@ -114,14 +145,17 @@ def with_row_number(
     keys: Sequence[str],
     order: Sequence[str],
     name: str,
-    chunk: Column | None = None,
+    chunk_unit: str | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add the 1-based place of each row within its keys."""
-    if chunk is None:
+    if chunk_unit is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(name, F.row_number().over(w).cast("bigint"))
     ones = df.withColumn("__one", F.lit(1).cast("bigint"))
-    return with_running_sum(ones, keys, order, {name: "__one"}, chunk).drop("__one")
+    return with_running_sum(
+        ones, keys, order, {name: "__one"}, chunk_unit, hot_rows
+    ).drop("__one")
 
 
 def newest_per_key(
@@ -130,22 +164,26 @@ def newest_per_key(
     order: Sequence[Column],
     n: int,
     spread: int = 64,
+    place: str | None = None,
 ) -> DataFrame:
     """Keep the first ``n`` rows per key in the given order.
 
     Each map task keeps ``n`` rows per key before the shuffle, ``spread`` tasks share a key in the
-    first round, and the second round sees at most ``spread * n`` rows per key.
+    first round, and the second round sees at most ``spread * n`` rows per key. ``place`` names a
+    column for the 1-based place of the row.
     """
     shared = df.withColumn("__part", F.pmod(F.spark_partition_id(), F.lit(spread)))
     first = Window.partitionBy(*keys, "__part").orderBy(*order)
     second = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        shared.withColumn("__place", F.row_number().over(first))
-        .where(F.col("__place") <= n)
-        .withColumn("__place", F.row_number().over(second))
-        .where(F.col("__place") <= n)
-        .drop("__place", "__part")
+    name = place or "__place"
+    kept = (
+        shared.withColumn(name, F.row_number().over(first))
+        .where(F.col(name) <= n)
+        .withColumn(name, F.row_number().over(second))
+        .where(F.col(name) <= n)
+        .drop("__part")
     )
+    return kept if place else kept.drop(name)
 
 
 def with_neighbour_text(
@@ -156,7 +194,8 @@ def with_neighbour_text(
     name: str,
     before: int,
     after: int,
-    chunk: Column,
+    chunk_unit: str | None = None,
+    hot_rows: int = HOT_ROWS,
     separator: str = "\n",
 ) -> DataFrame:
     """Add the texts of the rows around each row, joined in order.
@@ -164,48 +203,64 @@ def with_neighbour_text(
     Every chunk receives copies of the ``before`` rows that precede it and the ``after`` rows that
     follow it, however many chunks back or ahead they lie.
     """
-    slim = df.select(*keys, *[c for c in order if c not in keys], text, chunk.alias(CHUNK))
-    both = _chunked(df, chunk)
-    for count, backwards in ((before, True), (after, False)):
-        if count:
-            extra = _border_rows(slim, keys, order, text, count, backwards)
-            both = both.unionByName(extra, allowMissingColumns=True)
-    w = _by_chunk(keys, order).rowsBetween(-before, after)
+    frame = (-before, after)
+    if chunk_unit is None:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*frame)
+        return df.withColumn(name, F.array_join(F.collect_list(text).over(w), separator))
+    rows = _split(df, keys, order, chunk_unit, hot_rows)
+    both = rows.unionByName(
+        _border_rows(_hot(rows), keys, order, text, before, after), allowMissingColumns=True
+    )
+    w = _by_chunk(keys, order).rowsBetween(*frame)
     around = F.array_join(F.collect_list(text).over(w), separator)
     return _finish(both.withColumn(name, around))
 
 
 def _border_rows(
-    slim: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    text: str,
-    count: int,
-    backwards: bool,
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], text: str, before: int, after: int
 ) -> DataFrame:
-    """Up to ``count`` rows just before (or after) each chunk, keyed by that chunk."""
+    """Up to ``before`` rows just before and ``after`` rows just after each chunk.
+
+    One pass finds the first and the last rows of each chunk; a limit on the map side keeps the
+    shuffle to those. Folding the lists along the key reaches over chunks with fewer rows.
+    """
     carried = [*[c for c in order if c not in keys], text]
-    direction = [F.col(c).desc() if backwards else F.col(c).asc() for c in order]
-    # The rows of a chunk nearest to its later (or earlier) border.
-    edge = (
-        slim.withColumn(
-            "__place", F.row_number().over(Window.partitionBy(*keys, CHUNK).orderBy(*direction))
+    at_end = F.col("__end")
+    ends = F.explode(F.array(F.lit(False), F.lit(True))).alias("__end")
+    place = F.row_number().over(
+        Window.partitionBy(*keys, CHUNK, "__end").orderBy(
+            *[F.when(~at_end, F.col(c)).asc() for c in order],
+            *[F.when(at_end, F.col(c)).desc() for c in order],
         )
-        .where(F.col("__place") <= count)
+    )
+    edges = (
+        rows.select(*keys, CHUNK, *carried, ends)
+        .withColumn("__place", place)
+        .where(F.col("__place") <= max(before, after))
+        .where(F.col("__place") <= F.when(at_end, before).otherwise(after))
         .groupBy(*keys, CHUNK)
-        .agg(F.sort_array(F.collect_list(F.struct(*carried))).alias("__rows"))
+        .agg(
+            *[
+                F.sort_array(
+                    F.collect_list(F.when(side, F.struct(*carried)))
+                ).alias(column)
+                for column, side in (("__head", ~at_end), ("__tail", at_end))
+            ]
+        )
     )
     by_key = Window.partitionBy(*keys).orderBy(CHUNK)
-    frame = by_key.rowsBetween(-count, -1) if backwards else by_key.rowsBetween(1, count)
-    reached = edge.withColumn("__reach", F.flatten(F.collect_list("__rows").over(frame)))
-    first = F.lit(1)
-    if backwards:
-        first = F.greatest(F.size("__reach") - (count - 1), F.lit(1))
-    near = F.slice("__reach", first, F.lit(count))
-    return (
-        reached.withColumn("__near", F.explode(near))
-        .select(
-            *keys, CHUNK, F.lit(True).alias(EXTRA),
-            *[F.col("__near")[c].alias(c) for c in carried],
-        )
+    lists = edges
+    near = []
+    if before:
+        reach = F.flatten(F.collect_list("__tail").over(by_key.rowsBetween(-before, -1)))
+        lists = lists.withColumn("__tails", reach)
+        start = F.greatest(F.size("__tails") - (before - 1), F.lit(1))
+        near.append(F.slice("__tails", start, F.lit(before)))
+    if after:
+        reach = F.flatten(F.collect_list("__head").over(by_key.rowsBetween(1, after)))
+        lists = lists.withColumn("__heads", reach)
+        near.append(F.slice("__heads", F.lit(1), F.lit(after)))
+    both = F.concat(*near) if near else F.array()
+    return lists.withColumn("__near", F.explode(both)).select(
+        *keys, CHUNK, F.lit(True).alias(EXTRA), *[F.col("__near")[c].alias(c) for c in carried]
     )

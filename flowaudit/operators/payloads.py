@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowaudit.functions.payload import is_json, property_map
 from flowaudit.functions.text import compose_type_name
+from flowaudit.operators.joins import lookup
 from flowaudit.operators.lag import unique_matches
-from flowaudit.operators.ordered import with_previous
+from flowaudit.operators.ordered import HOT_ROWS, with_previous
 
 # Monitoring commands and component kinds of the payload table.
 COMMANDS = ("mon", "describe")
@@ -45,12 +46,13 @@ def property_changes(
     keys: Sequence[str] = ("app_name", "component_name", "property"),
     order: Sequence[str] = ("batch_ts",),
     value: str = "value",
-    chunk: Column | None = None,
+    chunk_unit: str | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Captures whose property value differs from the capture before; the first is no change."""
     seen = props.withColumn("__seen", F.lit(True))
     before = with_previous(
-        seen, keys, order, {"previous_value": value, "__had": "__seen"}, chunk
+        seen, keys, order, {"previous_value": value, "__had": "__seen"}, chunk_unit, hot_rows
     )
     changed = F.col("__had") & ~F.col(value).eqNullSafe(F.col("previous_value"))
     return before.where(changed).drop("__seen", "__had")
@@ -84,8 +86,7 @@ def match_type(types: DataFrame, tables: DataFrame, separator: str = "_") -> Dat
         "candidates",
     )
     return (
-        types.join(matches, F.upper("type_name") == F.col("__name"), "left")
-        .drop("__name")
+        lookup(types, matches, F.upper("type_name"), "__name")
         .withColumn("candidates", F.coalesce("candidates", F.lit(0).cast("bigint")))
     )
 
@@ -95,12 +96,13 @@ def emit_on_change(
     keys: Sequence[str] = ("type_name",),
     version: str = "created_date",
     order: Sequence[str] = ("batch_ts",),
-    chunk: Column | None = None,
+    chunk_unit: str | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Rows seen first for their key, or whose version differs from the row before."""
     seen = df.withColumn("__seen", F.lit(True))
     before = with_previous(
-        seen, keys, order, {"__version": version, "__had": "__seen"}, chunk
+        seen, keys, order, {"__version": version, "__had": "__seen"}, chunk_unit, hot_rows
     )
     fresh = F.col("__had").isNull() | ~F.col(version).eqNullSafe(F.col("__version"))
     return before.where(fresh).drop("__seen", "__version", "__had")

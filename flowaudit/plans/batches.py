@@ -135,7 +135,7 @@ _NUMBERED_SQL = f"""numbered AS (
 def batches_by_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     formed = batches.form_batches(
         _sized(i.events(spark, sf_dir)), [TARGET], "ts", ["ts", "event_id"],
-        max_events=MAX_EVENTS, chunk=F.col("hour_ts"),
+        max_events=MAX_EVENTS,
     )
     return formed.groupBy(TARGET, "batch_no").agg(
         F.count(F.lit(1)).alias("row_count"), F.min("event_id").alias("first_event"),
@@ -169,7 +169,7 @@ def batches_by_either(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches of ten events at most, closed at the end of the day."""
     formed = batches.form_batches(
         _sized(i.events(spark, sf_dir)), [TARGET], "ts", ["ts", "event_id"],
-        max_events=10, every_s=i.DAY_S, chunk=F.col("hour_ts"),
+        max_events=10, every_s=i.DAY_S,
     )
     return formed.groupBy(TARGET, "batch_start", "batch_no").agg(
         F.count(F.lit(1)).alias("row_count"), F.min("event_id").alias("first_event")

@@ -11,6 +11,8 @@ from flowaudit.plans import inputs as i
 from flowaudit.plans.registry import query
 from flowaudit.schemas import OP_KINDS, counter_columns, counter_name
 
+# Small enough that the apps of the smallest tables are hot already.
+HOT_APP_ROWS = 50
 PAIR_COLS = counter_columns(("src", "tgt"))
 KEYS = ["app_name", "table_name"]
 
@@ -214,8 +216,8 @@ FROM ev WINDOW w AS (PARTITION BY app_name ORDER BY ts, event_id)""",
 def delta_by_row_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row-to-row change on raw readings, where an app may hold a large part of the rows."""
     before = with_previous(
-        i.events(spark, sf_dir).select("event_id", "ts", "app_name", "k", "lag_ms", "hour_ts"),
-        ["app_name"], ["ts", "event_id"], {"k0": "k", "lag0": "lag_ms"}, F.col("hour_ts"),
+        i.events(spark, sf_dir).select("event_id", "ts", "app_name", "k", "lag_ms"),
+        ["app_name"], ["ts", "event_id"], {"k0": "k", "lag0": "lag_ms"}, "hour", HOT_APP_ROWS,
     )
     return before.select(
         "event_id", "app_name",

@@ -82,7 +82,7 @@ def stamp_origin(spark: SparkSession, sf_dir: str) -> DataFrame:
 def row_id_in_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = i.events(spark, sf_dir).select("event_id", "ts", "day_ts", "hour_ts")
     numbered = stamping.with_row_id_in_batch(
-        ev, ["day_ts"], ["ts", "event_id"], F.col("hour_ts")
+        ev, ["day_ts"], ["ts", "event_id"]
     )
     return numbered.select("event_id", i.ms("day_ts").alias("batch_ms"), "row_id")
 

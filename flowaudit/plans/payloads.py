@@ -74,7 +74,7 @@ FROM p WHERE previous_value <> value""",
 def property_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     props = payloads.properties(payloads.capture(captured(i.events(spark, sf_dir))))
     changes = payloads.property_changes(
-        props, order=("batch_ts", "event_id"), chunk=F.col("hour_ts")
+        props, order=("batch_ts", "event_id"), chunk_unit="minute"
     )
     return changes.select(
         "event_id", "app_name", "component_name", "property", "previous_value", "value"
@@ -143,6 +143,6 @@ def emit_on_change(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("k") / 25).cast("bigint").alias("band"),
     )
     fresh = payloads.emit_on_change(
-        polls, ("type_name",), "band", ("ts", "event_id"), F.date_trunc("day", F.col("ts"))
+        polls, ("type_name",), "band", ("ts", "event_id"), chunk_unit="minute"
     )
     return fresh.select("event_id", "type_name", "band")

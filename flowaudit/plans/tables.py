@@ -259,9 +259,7 @@ def latency_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     lags = lag_ops.record_lag(made, lag.delivered(ev)).withColumn(
         "batch_ts", stamping.bucket_start(F.col("created_ts"), i.DAY_S)
     )
-    current = lag_ops.current_lag(lags, key)
-    stats = lag_ops.lag_stats(lags, key, sample=lag.SAMPLE)
-    joined = lag_ops.latency_report(current, stats, lag.app_catalog(spark, sf_dir), key)
+    joined = lag_ops.latency_report(lags, lag.app_catalog(spark, sf_dir), lag.SAMPLE, key)
     source_time = F.date_format("measured_at", "yyyy-MM-dd HH:mm:ss")
     return shape(
         joined.withColumns({
@@ -315,7 +313,7 @@ def table_component_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 def column_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each part polls the type of its brand and kind; its size says which version it is.
 
-    Parts count as polls one minute apart, in key order; a chunk is a day of polls.
+    Parts count as polls one minute apart, in key order.
     """
     part = i.table(spark, sf_dir, "part")
     words = F.split("p_name", " ")
@@ -332,7 +330,7 @@ def column_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("created_date"),
         columns.alias("columns"),
     )
-    fresh = payload_ops.emit_on_change(polls, chunk=F.date_trunc("day", F.col("batch_ts")))
+    fresh = payload_ops.emit_on_change(polls, chunk_unit="day")
     tables = part.select(F.col("p_brand").alias("app_name"), F.col("p_type").alias("table_name"))
     matched = payload_ops.match_type(fresh, tables)
     return shape(payload_ops.columns_of(matched), s.COLUMN_CATALOG)
