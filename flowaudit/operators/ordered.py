@@ -204,6 +204,8 @@ def with_neighbour_text(
     follow it, however many chunks back or ahead they lie.
     """
     frame = (-before, after)
+    if not before and not after:
+        return df.withColumn(name, F.coalesce(F.col(text), F.lit("")))
     if chunk_unit is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*frame)
         return df.withColumn(name, F.array_join(F.collect_list(text).over(w), separator))
@@ -260,7 +262,6 @@ def _border_rows(
         reach = F.flatten(F.collect_list("__head").over(by_key.rowsBetween(1, after)))
         lists = lists.withColumn("__heads", reach)
         near.append(F.slice("__heads", F.lit(1), F.lit(after)))
-    both = F.concat(*near) if near else F.array()
-    return lists.withColumn("__near", F.explode(both)).select(
+    return lists.withColumn("__near", F.explode(F.concat(*near))).select(
         *keys, CHUNK, F.lit(True).alias(EXTRA), *[F.col("__near")[c].alias(c) for c in carried]
     )
