@@ -18,18 +18,6 @@ ERROR_LEVELS = ("ERROR", "FATAL")
 _SEP = "\x1f"
 
 
-def _split_line(
-    lines: DataFrame, pattern: str, fields: Sequence[str], line: str
-) -> DataFrame:
-    """Match each line once: a hit is rewritten to its groups with a separator between."""
-    groups = F.lit(_SEP + _SEP.join(f"${i}" for i in range(1, len(fields) + 1)))
-    parts = F.when(
-        F.col(line).rlike(pattern),
-        F.split(F.regexp_replace(F.col(line), F.lit(pattern), groups), _SEP, len(fields) + 1),
-    )
-    return lines.withColumn("__parts", parts)
-
-
 def parse_logs(
     lines: DataFrame,
     pattern: str = LINE_PATTERN,
@@ -38,8 +26,15 @@ def parse_logs(
     time_field: str = "log_date",
     time_pattern: str = TIME_PATTERN,
 ) -> DataFrame:
-    """Typed entries of the lines that match; the line itself is kept."""
-    split = _split_line(lines, pattern, fields, line).where(F.col("__parts").isNotNull())
+    """Typed entries of the lines that match; the line itself is kept.
+
+    A line that matches is rewritten to its groups with a separator before each, then split once.
+    """
+    groups = F.lit("".join(f"{_SEP}${g}" for g in range(1, len(fields) + 1)))
+    rewritten = F.regexp_replace(F.col(line), F.lit(pattern), groups)
+    split = lines.where(F.col(line).rlike(pattern)).withColumn(
+        "__parts", F.split(rewritten, _SEP, len(fields) + 1)
+    )
     parsed = split.select(
         *lines.columns, *[F.col("__parts")[i + 1].alias(f) for i, f in enumerate(fields)]
     )
