@@ -21,6 +21,7 @@ from flowaudit.plans import batches, compare, history, lag, payloads
 from flowaudit.plans import inputs as i
 from flowaudit.plans.registry import query
 from flowaudit.sources.conform import shape
+from flowaudit.sources.tables import append_snapshot, recreate
 
 FIRST_POLL_S = 1_704_067_200  # 2024-01-01
 ORIGIN = {"cluster_name": "north", "company_name": "example"}
@@ -393,3 +394,31 @@ SELECT epoch_ms(date_trunc('hour', ts)) AS batch_ts, {_ms_sql('ts')} AS log_date
 )
 def table_log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(log_events(spark, sf_dir), s.LOG_EVENTS)
+
+
+# Table name -> builder of its rows.
+BUILDERS = {
+    "run_history": run_history,
+    "app_snapshot": app_snapshot,
+    "node_snapshot": node_snapshot,
+    "search_store_snapshot": search_store_snapshot,
+    "app_detail": app_detail,
+    "table_counters": table_counters_rows,
+    "table_counters_delta": table_counters_delta_rows,
+    "latency_report": latency_report,
+    "component_payload": component_payload,
+    "column_catalog": column_catalog,
+    "warehouse_target_stats": warehouse_target_stats,
+    "log_events": log_events,
+}
+
+
+def store(
+    spark: SparkSession, sf_dir: str, database: str, location: str | None = None
+) -> dict[str, str]:
+    """Recreate the twelve tables and fill them; returns their names in the catalog."""
+    recreate(spark, database, location=location)
+    names = {name: f"`{database}`.`{name}`" for name in BUILDERS}
+    for name, build in BUILDERS.items():
+        append_snapshot(build(spark, sf_dir), names[name])
+    return names

@@ -34,6 +34,24 @@ def build_session(app: str = "flowaudit", master: str | None = None, **conf: obj
     return builder.getOrCreate()
 
 
+PARTITION_BYTES = 128 * 1024 * 1024
+MOST_PARTITIONS = 100_000
+
+
+def shuffle_settings(shuffled_bytes: int, cores: int) -> dict[str, object]:
+    """Settings that keep a shuffle partition near 128 MB for the expected shuffle volume.
+
+    Adaptive execution starts with this many partitions and merges those that stay small.
+    """
+    wanted = min(max(-(-shuffled_bytes // PARTITION_BYTES), cores), MOST_PARTITIONS)
+    return {
+        "spark.sql.shuffle.partitions": wanted,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": PARTITION_BYTES,
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.files.maxPartitionBytes": PARTITION_BYTES,
+    }
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """Pin the session zone: table time columns are instants reported in UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -108,3 +108,22 @@ def test_only_the_hot_key_list_is_broadcast_by_hint(spark):
 
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
+
+
+def test_all_tables_are_stored_in_their_schema(spark, tmp_path):
+    from flowaudit.plans import tables
+    from flowaudit.schemas import TABLES as DECLARED
+
+    spark.sql("DROP DATABASE IF EXISTS fa_all CASCADE")
+    names = tables.store(spark, DATA, "fa_all", str(tmp_path / "store"))
+    assert set(names) == set(DECLARED)
+    for name, stored_as in names.items():
+        stored = spark.table(stored_as)
+        assert stored.columns == [*DECLARED[name].columns, "batch_date"]
+        assert [f.dataType for f in stored.schema][:-1] == [f.dataType for f in DECLARED[name].schema]
+        built = tables.BUILDERS[name](spark, DATA)
+        assert stored.count() == built.count() > 0
+        ids = stored.groupBy(DECLARED[name].row_id).count()
+        if DECLARED[name].key_declared:
+            assert ids.where("count > 1").count() == 0
+    spark.sql("DROP DATABASE fa_all CASCADE")

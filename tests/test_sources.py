@@ -120,3 +120,10 @@ def test_landed_logs(spark, tmp_path):
 def test_checkpoint_root_is_read_from_the_session(spark):
     assert session.checkpoint_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert session.fresh_path(spark, "x").startswith(session.checkpoint_root(spark))
+
+
+def test_shuffle_settings_follow_the_volume():
+    small = session.shuffle_settings(10**6, cores=16)
+    large = session.shuffle_settings(10**13, cores=16)
+    assert small["spark.sql.shuffle.partitions"] == 16
+    assert large["spark.sql.shuffle.partitions"] == -(-(10**13) // session.PARTITION_BYTES)
