@@ -226,7 +226,7 @@ def _border_rows(
     One pass finds the first and the last rows of each chunk; a limit on the map side keeps the
     shuffle to those. Folding the lists along the key reaches over chunks with fewer rows.
     """
-    carried = [*[c for c in order if c not in keys], text]
+    carried = [c for c in dict.fromkeys([*order, text]) if c not in keys]
     at_end = F.col("__end")
     ends = F.explode(F.array(F.lit(False), F.lit(True))).alias("__end")
     place = F.row_number().over(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowaudit.operators.logs import ERROR_LEVELS, errors_only, parse_logs, with_context
-from flowaudit.sources.tables import append_files
+from flowaudit.sources.tables import BATCH_DATE
 
 
 def watch_errors(lines: DataFrame, levels: Sequence[str] = ERROR_LEVELS) -> DataFrame:
@@ -22,11 +22,14 @@ def store_with_context(
     """Micro-batch function that stores error entries with the lines around them.
 
     Row frames are refused on streams, so the context reaches as far as the files of one trigger.
+    Each micro-batch has its own folder, which a retry overwrites.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        entries = parse_logs(batch).withColumn("batch_ts", F.col("log_date"))
-        around = errors_only(with_context(entries, before, after), levels)
-        append_files(around, f"{path}/batch_id={batch_id}")
+        entries = parse_logs(batch)
+        around = with_context(entries, before, after, order=("log_date", "value"))
+        dated = errors_only(around, levels).withColumn(BATCH_DATE, F.to_date("log_date"))
+        rows = dated.hint("rebalance", F.col(BATCH_DATE))
+        rows.write.mode("overwrite").partitionBy(BATCH_DATE).parquet(f"{path}/batch_id={batch_id}")
 
     return handle

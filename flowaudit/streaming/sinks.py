@@ -77,7 +77,8 @@ def closed(stream: DataFrame, ts: str) -> DataFrame:
     """End a feed of which all has landed: a late row moves the watermark past every real row.
 
     Without it the rows of the last watermark delay, and windows not yet over, stay in the state
-    until more data lands. Results leave the row out by its time.
+    until more data lands. Results leave the row out by its time. For feeds drained in one trigger;
+    with several, land the closing row after the last file.
     """
     spark = stream.sparkSession
     nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in stream.schema])

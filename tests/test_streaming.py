@@ -209,10 +209,9 @@ def test_errors_are_stored_with_context(spark, tmp_path, log_folder):
     from flowaudit.sources.landed import stream_logs
 
     folder, _ = log_folder
-    feed = stream_logs(spark, folder).withColumn("line_no", F.lit(0))
-    sinks.drain_each_batch(
-        feed, logs.store_with_context(str(tmp_path / "out"), 1, 1), str(tmp_path / "log")
-    )
+    handle = logs.store_with_context(str(tmp_path / "out"), 1, 1)
+    sinks.drain_each_batch(stream_logs(spark, folder), handle, str(tmp_path / "log"))
+    handle(spark.read.text(folder), 0)
     stored = spark.read.parquet(str(tmp_path / "out"))
     assert stored.count() == 6
     assert stored.where("contextbuffertext not like '%ERROR%'").count() == 0
