@@ -34,19 +34,19 @@ BATCH_STATES = {
 }
 STATE_MERGED = "merged"
 
-_PREFIX = "last_batch_"
-_TASK_COLUMNS = [f"{_PREFIX}{p}" for p in (*PHASES, TOTAL_TIME)]
-_LAST_COLUMNS = [
+LAST_PREFIX = "last_batch_"
+TASK_COLUMNS = [f"{LAST_PREFIX}{p}" for p in (*PHASES, TOTAL_TIME)]
+LAST_COLUMNS = [
     c
     for c in WAREHOUSE_TARGET_STATS.columns
-    if c.startswith(_PREFIX) and c not in _TASK_COLUMNS
+    if c.startswith(LAST_PREFIX) and c not in TASK_COLUMNS
 ]
-_TOP_COLUMNS = [
+TOP_COLUMNS = [
     c
     for c in WAREHOUSE_TARGET_STATS.columns[
         WAREHOUSE_TARGET_STATS.columns.index("total_batches_created"):
     ]
-    if c not in _TASK_COLUMNS and c not in _LAST_COLUMNS
+    if c not in TASK_COLUMNS and c not in LAST_COLUMNS
 ]
 
 
@@ -55,11 +55,11 @@ def metrics_schema() -> T.StructType:
     declared = WAREHOUSE_TARGET_STATS.schema
 
     def inner(names: list[str]) -> list[T.StructField]:
-        return [T.StructField(c[len(_PREFIX):], declared[c].dataType) for c in names]
+        return [T.StructField(c[len(LAST_PREFIX):], declared[c].dataType) for c in names]
 
-    task = T.StructType(inner(_TASK_COLUMNS))
-    last = T.StructType([*inner(_LAST_COLUMNS), T.StructField(TASK_TIME, task)])
-    top = [T.StructField(c, declared[c].dataType) for c in _TOP_COLUMNS]
+    task = T.StructType(inner(TASK_COLUMNS))
+    last = T.StructType([*inner(LAST_COLUMNS), T.StructField(TASK_TIME, task)])
+    top = [T.StructField(c, declared[c].dataType) for c in TOP_COLUMNS]
     return T.StructType([*top, T.StructField(LAST_BATCH, last)])
 
 
@@ -72,9 +72,9 @@ def flatten_target(df: DataFrame, payload: str = "jsondata") -> DataFrame:
     last = F.col("__m")[LAST_BATCH]
     return parsed.select(
         *df.columns,
-        *[F.col("__m")[c].alias(c) for c in _TOP_COLUMNS],
-        *[last[c[len(_PREFIX):]].alias(c) for c in _LAST_COLUMNS],
-        *[last[TASK_TIME][c[len(_PREFIX):]].alias(c) for c in _TASK_COLUMNS],
+        *[F.col("__m")[c].alias(c) for c in TOP_COLUMNS],
+        *[last[c[len(LAST_PREFIX):]].alias(c) for c in LAST_COLUMNS],
+        *[last[TASK_TIME][c[len(LAST_PREFIX):]].alias(c) for c in TASK_COLUMNS],
     )
 
 
@@ -195,7 +195,7 @@ def last_batch(
     sort; all of them follow the same sequence number.
     """
     return batches.groupBy(*keys).agg(
-        *[F.max_by(c, seq).alias(f"{_PREFIX}{c}") for c in dict.fromkeys([seq, *cols])]
+        *[F.max_by(c, seq).alias(f"{LAST_PREFIX}{c}") for c in dict.fromkeys([seq, *cols])]
     )
 
 
@@ -204,7 +204,7 @@ def phase_breakdown(
     keys: Sequence[str] = ("target_name",),
     phases: Sequence[str] = PHASES,
     total: str = TOTAL_TIME,
-    prefix: str = _PREFIX,
+    prefix: str = LAST_PREFIX,
 ) -> DataFrame:
     """One row per phase of the last batch, with its share of the reported total."""
     cols = [F.col(f"{prefix}{p}").alias(p) for p in phases]

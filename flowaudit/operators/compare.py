@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,7 +13,7 @@ from pyspark.sql import functions as F
 from flowaudit.functions.ratios import side_difference
 from flowaudit.operators.ordered import HOT_ROWS, with_previous, with_running_sum
 from flowaudit.operators.runs import link_runs
-from flowaudit.schemas import OP_KINDS, counter_name
+from flowaudit.schemas import BATCH_DATE, OP_KINDS, counter_name
 
 # Operation code of each counted kind.
 OP_CODES = {
@@ -173,6 +176,52 @@ def delta_by_run(
     )
 
 
+def delta_for_run(
+    df: DataFrame,
+    batch_ts: datetime,
+    previous_ts: datetime | None,
+    keys: Sequence[str],
+    cols: Sequence[str],
+    order: str = "batch_ts",
+    suffix: str = "_sli",
+) -> DataFrame:
+    """``delta_by_run`` for a single run, as a poller needs it: reads that run and the one before.
+
+    On a stored table the filters prune to the days of the two runs. The two rows of a key meet in
+    one aggregation, combined on the map side.
+    """
+    runs = [F.lit(t).cast("timestamp") for t in (previous_ts, batch_ts) if t is not None]
+    rows = df.where(F.col(order).isin(*runs))
+    if BATCH_DATE in df.columns:
+        rows = rows.where(F.col(BATCH_DATE).isin(*[F.to_date(t) for t in runs]))
+    now = F.col(order) == F.lit(batch_ts).cast("timestamp")
+    paired = rows.groupBy(*keys).agg(
+        F.max(now).alias("__now"),
+        F.max(~now).alias("__before"),
+        *[F.max(F.when(now, F.col(c))).alias(c) for c in cols],
+        *[F.max(F.when(~now, F.col(c))).alias(f"__prev_{c}") for c in cols],
+    ).where("__now")
+    elapsed = None if previous_ts is None else int((batch_ts - previous_ts).total_seconds())
+    return (
+        paired.withColumns(
+            {
+                order: F.lit(batch_ts).cast("timestamp"),
+                "timesincelastbatch": F.lit(elapsed).cast("bigint"),
+                **_deltas(cols, suffix, F.col("__before")),
+            }
+        )
+        .drop("__now", "__before", *[f"__prev_{c}" for c in cols])
+    )
+
+
+def with_reset_flag(
+    df: DataFrame, cols: Sequence[str], suffix: str = "_sli", name: str = "was_reset"
+) -> DataFrame:
+    """Tell whether any counter went down since the run before; changes are never clamped."""
+    fell = [F.coalesce(F.col(f"{c}{suffix}") < 0, F.lit(False)) for c in cols]
+    return df.withColumn(name, reduce(or_, fell))
+
+
 def delta_of_diff(df: DataFrame, suffix: str = "_sli") -> DataFrame:
     """Add source delta minus target delta per kind; null if either is null."""
     return df.withColumns(

@@ -4,18 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowaudit.functions.ratios import millis_between
 from flowaudit.operators.joins import lookup
 from flowaudit.operators.ordered import newest_per_key
 
 PAIR = ("source_name", "target_name")
 
 
-def record_lag(created: DataFrame, delivered: DataFrame, key: str = "record_id") -> DataFrame:
-    """Milliseconds from first creation to first delivery, per record, source and target.
+def record_lag(
+    created: DataFrame,
+    delivered: DataFrame,
+    key: str = "record_id",
+    unit: str = "MILLISECOND",
+    name: str = "lag_ms",
+) -> DataFrame:
+    """Whole units of time from first creation to first delivery, per record, source and target.
 
     Replayed records collapse on the map side before the join, so a record repeated many times on
     either side sends few rows and never pairs up with itself.
@@ -25,7 +30,7 @@ def record_lag(created: DataFrame, delivered: DataFrame, key: str = "record_id")
         F.min("delivered_ts").alias("delivered_ts")
     )
     return first.join(arrived, key).withColumn(
-        "lag_ms", millis_between(F.col("created_ts"), F.col("delivered_ts"))
+        name, F.timestamp_diff(unit, F.col("created_ts"), F.col("delivered_ts"))
     )
 
 
@@ -121,8 +126,3 @@ def latency_report(
     )
     report = attribute(report, catalog, "source_name", "source_app", "source_candidates")
     return attribute(report, catalog, "target_name", "target_app", "target_candidates")
-
-
-def seconds(millis: Column) -> Column:
-    """Lag in seconds, for reports that are not in milliseconds."""
-    return millis / F.lit(1000)

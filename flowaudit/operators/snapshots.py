@@ -139,21 +139,23 @@ def app_totals(
     )
 
 
+def checkpoint_rules(
+    progress: str, idle: str, lag_after_s: int = 300, stall_after_s: int = 3600
+) -> list[tuple[str, Column]]:
+    """Default rules, from the progress since the run before and the idle time."""
+    return [
+        ("UNKNOWN", F.col(progress).isNull() | F.col(idle).isNull()),
+        ("PROGRESSING", (F.col(progress) > 0) & (F.col(idle) <= lag_after_s)),
+        ("STALLED", F.col(idle) > stall_after_s),
+        ("LAGGING", F.lit(True)),
+    ]
+
+
 def checkpoint_state(
-    df: DataFrame,
-    progress: str,
-    idle: str,
-    lag_after_s: int = 300,
-    stall_after_s: int = 3600,
-    name: str = "checkpoint_status",
+    df: DataFrame, rules: Sequence[tuple[str, Column]], name: str = "checkpoint_status"
 ) -> DataFrame:
-    """State of the checkpoint from its progress since the run before and the idle time."""
-    state = (
-        F.when(F.col(progress).isNull() | F.col(idle).isNull(), F.lit("UNKNOWN"))
-        .when((F.col(progress) > 0) & (F.col(idle) <= lag_after_s), F.lit("PROGRESSING"))
-        .when(F.col(idle) > stall_after_s, F.lit("STALLED"))
-        .otherwise(F.lit("LAGGING"))
-    )
+    """State of the checkpoint: the first rule that holds names it, null if none does."""
+    state = F.coalesce(*[F.when(holds, F.lit(value)) for value, holds in rules])
     return df.withColumn(name, state)
 
 

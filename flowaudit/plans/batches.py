@@ -47,10 +47,10 @@ def _flat_names(schema: T.StructType, prefix: str = "") -> list[tuple[str, T.Dat
     names = []
     for field in schema:
         if isinstance(field.dataType, T.StructType):
-            names += _flat_names(field.dataType, "last_batch_")
+            names += _flat_names(field.dataType, batches.LAST_PREFIX)
             continue
         name = f"{prefix}{field.name}"
-        names.append((name, field.dataType, name in batches._TASK_COLUMNS))
+        names.append((name, field.dataType, name in batches.TASK_COLUMNS))
     return names
 
 

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from flowaudit.operators import compare
 from flowaudit.operators.ordered import with_previous
+from flowaudit.operators.runs import link_runs
 from flowaudit.plans import inputs as i
 from flowaudit.plans.registry import query
 from flowaudit.schemas import OP_KINDS, counter_columns, counter_name
+from flowaudit.session import fresh_path
+from flowaudit.sources.tables import append_files, read_files
 
 # Small enough that the apps of the smallest tables are hot already.
 HOT_APP_ROWS = 50
@@ -185,6 +188,26 @@ def delta_by_run_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "delta_for_last_run",
+    f"""SELECT * FROM ({EXPECTED_DELTA_BY_RUN}) d
+WHERE batch_ms = (SELECT epoch_ms(date_trunc('day', max(ts))) FROM events)""",
+)
+def delta_for_last_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters stored per day, then the changes of the last run from the two days it needs."""
+    ev = i.events(spark, sf_dir)
+    path = fresh_path(spark, "counters-by-day")
+    append_files(totals(ev), path)
+    last = link_runs(i.day_runs(ev)).orderBy(F.desc("batch_ts")).first()
+    delta = compare.delta_for_run(
+        read_files(spark, path), last.batch_ts, last.previous_ts, KEYS, PAIR_COLS
+    )
+    return compare.delta_of_diff(delta).select(
+        *KEYS, i.ms("batch_ts").alias("batch_ms"), "timesincelastbatch",
+        *counter_columns(suffix="_sli"),
+    )
+
+
 @query("delta_of_diff", _by_run_sql(_DIFF_DELTAS))
 def delta_of_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deltas_by_run(i.events(spark, sf_dir)).select(

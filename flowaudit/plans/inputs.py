@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowaudit.operators.compare import OP_CODES
 from flowaudit.operators.stamping import bucket_start
 from flowaudit.schemas import OP_KINDS
 
@@ -101,12 +102,10 @@ SIDES_SQL = """sides AS (
   SELECT *, 'src' AS side FROM ev WHERE value < 150
   UNION ALL SELECT *, 'tgt' AS side FROM ev WHERE value >= 3)"""
 
-_CODES = {"deletes": "DELETE", "ddls": "DDL", "pkupdates": "PKUPDATE", "updates": "UPDATE",
-          "inserts": "INSERT"}
 COUNTERS_SQL = (
     "counters AS (\n  SELECT app_name, table_name, day_ts AS batch_ts,\n"
     + ",\n".join(
-        f"    CAST(sum(CASE WHEN side = '{s}' THEN CASE WHEN op = '{_CODES[k]}' THEN 1 ELSE 0 END"
+        f"    CAST(sum(CASE WHEN side = '{s}' THEN CASE WHEN op = '{OP_CODES[k]}' THEN 1 ELSE 0 END"
         f" END) AS BIGINT) AS {s}_num_of_{k}"
         for k in OP_KINDS
         for s in ("src", "tgt")

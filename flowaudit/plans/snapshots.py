@@ -252,7 +252,8 @@ def checkpoint_state(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max("ts").alias("latest_activity"),
     )
     idle = snapshots.idle_seconds(daily, F.col("day_ts") + F.expr("INTERVAL 1 DAY"))
-    state = snapshots.checkpoint_state(idle, "progress", "idle_s", 14_400, 43_200)
+    rules = snapshots.checkpoint_rules("progress", "idle_s", 14_400, 43_200)
+    state = snapshots.checkpoint_state(idle, rules)
     return state.select(
         "app_name", "table_name", i.ms("day_ts").alias("batch_ms"), "checkpoint_status"
     )

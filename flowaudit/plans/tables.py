@@ -165,7 +165,8 @@ def app_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     shown = snapshots.app_detail(totals.withColumn("app_status", status))
     idle = snapshots.idle_seconds(shown, F.col("batch_ts") + F.expr("INTERVAL 1 DAY"))
-    stated = snapshots.checkpoint_state(idle, "total_output", "idle_s", 14_400, 43_200)
+    rules = snapshots.checkpoint_rules("total_output", "idle_s", 14_400, 43_200)
+    stated = snapshots.checkpoint_state(idle, rules)
     customer = i.table(spark, sf_dir, "customer").withColumn(
         "app_name", F.concat(F.lit("T"), "c_custkey")
     )

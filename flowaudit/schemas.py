@@ -19,6 +19,8 @@ _TYPES: dict[str, T.DataType] = {
     "boolean": T.BooleanType(),
 }
 
+# Partition column of the stored tables.
+BATCH_DATE = "batch_date"
 # Kinds of change counted per table, in column order.
 OP_KINDS = ("deletes", "ddls", "pkupdates", "updates", "inserts")
 SIDES = ("src", "tgt", "diff")

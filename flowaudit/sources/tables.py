@@ -8,9 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowaudit.schemas import TABLES, Table
-
-BATCH_DATE = "batch_date"
+from flowaudit.schemas import BATCH_DATE, TABLES, Table
 
 
 def recreate(

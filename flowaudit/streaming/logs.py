@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowaudit.operators.logs import ERROR_LEVELS, errors_only, parse_logs, with_context
-from flowaudit.sources.tables import BATCH_DATE
+from flowaudit.schemas import BATCH_DATE
 
 
 def watch_errors(lines: DataFrame, levels: Sequence[str] = ERROR_LEVELS) -> DataFrame:

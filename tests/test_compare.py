@@ -156,3 +156,36 @@ def test_overflow_is_null_not_an_error(spark, rows):
     df = spark.createDataFrame([(2**63 - 1, -5), (None, None)], "s bigint, t bigint")
     out = df.select(side_difference(F.col("s"), F.col("t")).alias("d"))
     assert rows(out) == [(None,), (None,)]
+
+
+@pytest.mark.parametrize(
+    "now,before,expected",
+    [
+        (0, None, [(at(0), None, None, None)]),
+        (1, 0, [(at(1), 60, 5, 7)]),
+        (2, 1, []),
+        (3, 2, [(at(3), 60, None, None)]),
+    ],
+)
+def test_delta_for_one_run(counters, rows, now, before, expected):
+    previous = None if before is None else at(before)
+    out = compare.delta_for_run(counters, at(now), previous, KEYS, COLS)
+    assert rows(out, "batch_ts", "timesincelastbatch", *[f"{c}_sli" for c in COLS]) == expected
+
+
+def test_delta_for_one_run_reads_two_days(spark, tmp_path):
+    from flowaudit.sources.tables import append_files, read_files
+
+    made = [("k", datetime(2024, 1, day), day * day) for day in range(1, 8)]
+    df = spark.createDataFrame(made, "k string, batch_ts timestamp, c bigint")
+    append_files(df, str(tmp_path / "t"))
+    stored = read_files(spark, str(tmp_path / "t"))
+    out = compare.delta_for_run(stored, datetime(2024, 1, 5), datetime(2024, 1, 4), ["k"], ["c"])
+    assert [r.c_sli for r in out.collect()] == [9]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [batch_date" in plan
+
+
+def test_reset_flag(counters, rows):
+    out = compare.with_reset_flag(compare.delta_by_row(counters, KEYS, COLS), COLS)
+    assert rows(out, "batch_ts", "was_reset") == [(at(0), False), (at(1), False), (at(3), True)]

@@ -107,12 +107,18 @@ def test_checkpoint_state(spark, rows):
     df = spark.createDataFrame(
         [(5, 10), (0, 10), (5, 400), (0, 4000), (None, 1)], "p bigint, idle bigint"
     )
-    out = snapshots.checkpoint_state(df, "p", "idle")
+    out = snapshots.checkpoint_state(df, snapshots.checkpoint_rules("p", "idle"))
     assert [r[0] for r in out.select("checkpoint_status").collect()] == [
         "PROGRESSING", "LAGGING", "LAGGING", "STALLED", "UNKNOWN",
     ]
 
 
+def test_checkpoint_state_by_own_rules(spark, rows):
+    df = spark.createDataFrame([(1,), (5,), (None,)], "p bigint")
+    out = snapshots.checkpoint_state(df, [("BUSY", F.col("p") > 3), ("IDLE", F.col("p") <= 3)])
+    assert rows(out, "checkpoint_status") == [("BUSY",), ("IDLE",), (None,)]
+
+
 def test_runs(spark, rows):
     df = spark.createDataFrame(
         [("c", T0, T0 + timedelta(milliseconds=1500)), ("c", T0 + timedelta(minutes=2), None),
