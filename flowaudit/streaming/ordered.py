@@ -121,12 +121,42 @@ class Changes(InTimeOrder):
         return row
 
 
-def _prepared(df: DataFrame, keys: Sequence[str], ts: str, delay: str | None) -> DataFrame:
+def _stamps(schema: T.StructType) -> list[str]:
+    return [f.name for f in schema if isinstance(f.dataType, T.TimestampType)]
+
+
+def _encoded(df: DataFrame, ts: str, delay: str | None) -> DataFrame:
+    """Rows as they go to the processors, with instants as microseconds.
+
+    Instants would take the time zone of the worker on their way through Python. The event time
+    column stays beside its number, because Spark recognises late rows by it. A row without time
+    has no place in the order and is left out.
+    """
     use_keyed_state(df.sparkSession)
     if delay is not None:
         df = df.withWatermark(ts, delay)
-    # A row without key or time can be put in no order; batch and stream leave it to the rejects.
-    return df.where(F.col(ts).isNotNull()).withColumn(_AT, F.unix_micros(ts))
+    others = {c: F.unix_micros(c) for c in _stamps(df.schema) if c != ts}
+    return df.where(F.col(ts).isNotNull()).withColumns({**others, _AT: F.unix_micros(ts)})
+
+
+def _held_schema(rows: DataFrame, ts: str) -> T.StructType:
+    return T.StructType([f for f in rows.schema if f.name != ts])
+
+
+def _result_schema(df: DataFrame, ts: str, added: Sequence[T.StructField] = ()) -> T.StructType:
+    stamps = _stamps(df.schema)
+    fields = [
+        T.StructField(_AT if f.name == ts else f.name, T.LongType() if f.name in stamps else f.dataType)
+        for f in df.schema
+    ]
+    return T.StructType([*fields, *added])
+
+
+def _decoded(out: DataFrame, df: DataFrame, ts: str, added: Sequence[str] = ()) -> DataFrame:
+    stamps = _stamps(df.schema)
+    return out.withColumnRenamed(_AT, ts).select(
+        *[F.timestamp_micros(c).alias(c) if c in stamps else c for c in df.columns], *added
+    )
 
 
 def delta_by_row_stream(
@@ -139,11 +169,12 @@ def delta_by_row_stream(
     suffix: str = "_sli",
 ) -> DataFrame:
     """Streaming form of ``delta_by_row``; rows come out once the watermark has passed them."""
-    rows = _prepared(df, keys, ts, delay)
+    rows = _encoded(df, ts, delay)
     changes = [T.StructField(f"{c}{suffix}", T.LongType()) for c in cols]
-    result = T.StructType([*df.schema.fields, *changes])
-    processor = RowDeltas(rows.schema, sort_by, result.fieldNames(), cols, suffix)
-    return rows.groupBy(*keys).transformWithState(processor, result, "append", "eventTime")
+    result = _result_schema(df, ts, changes)
+    processor = RowDeltas(_held_schema(rows, ts), sort_by, result.fieldNames(), cols, suffix)
+    out = rows.groupBy(*keys).transformWithState(processor, result, "append", "eventTime")
+    return _decoded(out, df, ts, [c.name for c in changes])
 
 
 def emit_on_change_stream(
@@ -155,9 +186,11 @@ def emit_on_change_stream(
     sort_by: Sequence[str] = (),
 ) -> DataFrame:
     """Streaming form of ``emit_on_change``."""
-    rows = _prepared(df, keys, ts, delay)
-    processor = Changes(rows.schema, sort_by, df.columns, version)
-    return rows.groupBy(*keys).transformWithState(processor, df.schema, "append", "eventTime")
+    rows = _encoded(df, ts, delay)
+    result = _result_schema(df, ts)
+    processor = Changes(_held_schema(rows, ts), sort_by, result.fieldNames(), version)
+    out = rows.groupBy(*keys).transformWithState(processor, result, "append", "eventTime")
+    return _decoded(out, df, ts)
 
 
 def delta_by_run_stream(

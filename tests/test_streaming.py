@@ -93,10 +93,10 @@ def test_delta_by_run(spark, tmp_path, rows, swapped):
 def test_emit_on_change(spark, tmp_path, rows, swapped):
     rng = random.Random(5)
     made = [
-        (key, START + timedelta(hours=run), rng.choice([1, 2, None]))
+        (key, START + timedelta(hours=run), rng.choice([START, START + timedelta(days=1), None]))
         for key in ("t", "u") for run in range(20)
     ]
-    schema = "type_name string, batch_ts timestamp, version bigint"
+    schema = "type_name string, batch_ts timestamp, version timestamp"
     batch = land(spark, made, schema, str(tmp_path / "in"), 5, 1, swapped)
     stream = run_by_file(
         spark, batch.schema, tmp_path,
