@@ -20,7 +20,7 @@ from flowaudit import build_session
 from flowaudit.plans.catalog import QUERIES
 
 HEADLINE = (
-    "delta_by_run", "delta_by_row", "delta_by_row_chunked", "reconcile_counts",
+    "delta_by_run", "delta_by_row", "delta_by_row_events", "reconcile_counts",
     "reconcile_one_feed", "running_totals", "op_counts", "batch_buckets", "row_id_in_batch",
     "duplicate_keys", "orphan_rows", "rows_per_run", "run_schedule", "elapsed_seconds",
     "record_lag", "lag_stats", "lag_stats_sampled", "current_lag", "attribute_app",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowaudit.operators.ordered import HOT_ROWS, with_row_number
+from flowaudit.operators.ordered import SPLIT_ROWS, with_row_number
 from flowaudit.operators.stamping import bucket_start
 from flowaudit.schemas import WAREHOUSE_TARGET_STATS
 
@@ -109,8 +109,7 @@ def form_batches(
     order: Sequence[str],
     max_events: int | None = None,
     every_s: int | None = None,
-    chunk_unit: str | None = "minute",
-    hot_rows: int = HOT_ROWS,
+    split_rows: int | None = SPLIT_ROWS,
 ) -> DataFrame:
     """Assign events to batches closed by event count, by interval, or by whichever comes first.
 
@@ -124,7 +123,7 @@ def form_batches(
         events = events.withColumn("batch_start", bucket_start(F.col(ts), every_s))
         within.append("batch_start")
     if max_events is not None:
-        numbered = with_row_number(events, within, order, "__place", chunk_unit, hot_rows)
+        numbered = with_row_number(events, within, order, "__place", split_rows)
         events = numbered.withColumn(
             "batch_no", F.floor((F.col("__place") - 1) / F.lit(max_events)).cast("bigint")
         ).drop("__place")

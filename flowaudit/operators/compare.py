@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowaudit.functions.ratios import side_difference
-from flowaudit.operators.ordered import HOT_ROWS, with_previous, with_running_sum
+from flowaudit.operators.ordered import with_previous, with_running_sum
 from flowaudit.operators.runs import link_runs
 from flowaudit.schemas import BATCH_DATE, OP_KINDS, counter_name
 
@@ -105,11 +105,11 @@ def running_totals(
     keys: Sequence[str],
     cols: Sequence[str],
     order: str = "batch_ts",
-    chunk_unit: str | None = None,
+    split_rows: int | None = None,
 ) -> DataFrame:
     """Turn per-run counts into counters that grow from run to run."""
     renamed = df.withColumnsRenamed({c: f"__{c}" for c in cols})
-    totals = with_running_sum(renamed, keys, [order], {c: f"__{c}" for c in cols}, chunk_unit)
+    totals = with_running_sum(renamed, keys, [order], {c: f"__{c}" for c in cols}, split_rows)
     return totals.drop(*[f"__{c}" for c in cols])
 
 
@@ -126,12 +126,11 @@ def delta_by_row(
     cols: Sequence[str],
     order: str = "batch_ts",
     suffix: str = "_sli",
-    chunk_unit: str | None = None,
-    hot_rows: int = HOT_ROWS,
+    split_rows: int | None = None,
 ) -> DataFrame:
     """Change of each counter since the key's row before, across any skipped runs."""
     wanted = {f"__prev_{c}": c for c in cols}
-    before = with_previous(df, keys, [order], wanted, chunk_unit, hot_rows)
+    before = with_previous(df, keys, [order], wanted, split_rows)
     deltas = _deltas(cols, suffix, F.lit(True))
     return before.withColumns(deltas).drop(*[f"__prev_{c}" for c in cols])
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowaudit.operators.ordered import HOT_ROWS, with_neighbour_text
+from flowaudit.operators.ordered import SPLIT_ROWS, with_neighbour_text
 
 # Default line layout: <date> <time> @<server> -<LEVEL> <app> : <message>
 LINE_PATTERN = r"^(\d\S* \S+) @(\S+) -(\S+) (\S+) : (.*)$"
@@ -68,10 +68,7 @@ def with_context(
     order: Sequence[str] = ("log_date", "line_no"),
     text: str = "value",
     name: str = "contextbuffertext",
-    chunk_unit: str | None = "minute",
-    hot_rows: int = HOT_ROWS,
+    split_rows: int | None = SPLIT_ROWS,
 ) -> DataFrame:
     """Attach the lines around each entry of the same server, the entry included."""
-    return with_neighbour_text(
-        df, keys, order, text, name, before, after, chunk_unit, hot_rows
-    )
+    return with_neighbour_text(df, keys, order, text, name, before, after, split_rows)

@@ -1,16 +1,17 @@
 """Ordered per-key calculations that survive a hot key.
 
 A plain window puts all rows of a key into one task. Here a count per key (one pass over the key
-columns, combined on the map side) finds the hot keys, those with more than ``hot_rows`` rows. The
-rows of a hot key are cut into chunks of time and the window runs per (keys, chunk); a cold key is
-one chunk. What a chunk must know of the rows before it comes from a small frame of chunk summaries,
-which is folded along the key and added to each chunk as extra rows, marked and dropped at the end.
-The large side is shuffled once, on (keys, chunk), so a key holding a third of all rows is spread
-over as many tasks as it has chunks, and data without hot keys pays for the count only.
-
-Every function takes ``chunk_unit``: the unit of time by which hot keys are cut, a unit of
-``date_trunc``, applied to the first column of ``order``, which must be a timestamp. Without it the
-window is plain, right for inputs of bounded length per key, such as one row per key and run.
+columns and the time, combined on the map side) finds the hot keys, those with more than
+``split_rows`` rows. The time range of a hot key is cut into equal chunks of about ``split_rows``
+rows and the window runs per (keys, chunk); a cold key is one chunk. What a chunk must know of the
+rows before it comes from a small frame of chunk summaries, which is folded along the key and added
+to each chunk as extra rows, marked and dropped at the end. The large side is shuffled once, on
+(keys, chunk), so a key holding a third of all rows is spread over as many tasks as it has chunks,
+and data without hot keys pays for the count only. The input is read up to three times; give rows
+that are dear to compute through ``session.cut``.
+
+The first column of ``order`` must be a timestamp or an integer. Without ``split_rows`` the window
+is plain, right for inputs of bounded length per key, such as one row per key and run.
 """
 
 from __future__ import annotations
@@ -19,35 +20,48 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHUNK = "__chunk"
 EXTRA = "__extra"
-HOT_ROWS = 5_000_000
+SPLIT_ROWS = 1_000_000
 
 
 def _split(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_unit: str, hot_rows: int
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], split_rows: int
 ) -> DataFrame:
-    """Add the chunk of each row: null for cold keys.
+    """Add the chunk of each row: null for cold keys, rising with the order for hot ones.
 
-    Of N rows at most N / hot_rows keys are hot, which bounds the list that is broadcast.
+    Of N rows at most N / split_rows keys are hot, which bounds the list that is broadcast.
     """
+    place = F.col(order[0])
+    if isinstance(df.schema[order[0]].dataType, T.TimestampType):
+        place = F.unix_micros(place)
+    chunks = F.ceil(F.col("__rows") / split_rows)
     hot = (
         df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .where(F.col("__rows") > hot_rows)
-        .select(*[F.col(k).alias(f"__hot_{k}") for k in keys], F.lit(True).alias("__hot"))
+        .agg(
+            F.count(F.lit(1)).alias("__rows"),
+            F.min(place).alias("__low"),
+            F.max(place).alias("__high"),
+        )
+        .where(F.col("__rows") > split_rows)
+        .select(
+            *[F.col(k).alias(f"__hot_{k}") for k in keys],
+            "__low",
+            (F.floor((F.col("__high") - F.col("__low")) / chunks) + 1).alias("__width"),
+        )
     )
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"__hot_{k}"))
-    earliest = F.lit("0001-01-01").cast("timestamp")
-    chunk = F.coalesce(F.date_trunc(chunk_unit, F.col(order[0])), earliest)
+    # Rows without a place in the order come first, as in a sort.
+    chunk = F.coalesce(F.floor((place - F.col("__low")) / F.col("__width")), F.lit(-1))
     return (
         df.join(F.broadcast(hot), same, "left")
-        .withColumn(CHUNK, F.when(F.col("__hot"), chunk))
+        .withColumn(CHUNK, F.when(F.col("__width").isNotNull(), chunk.cast("bigint")))
         .withColumn(EXTRA, F.lit(False))
-        .drop("__hot", *[f"__hot_{k}" for k in keys])
+        .drop("__low", "__width", *[f"__hot_{k}" for k in keys])
     )
 
 
@@ -68,18 +82,17 @@ def with_previous(
     keys: Sequence[str],
     order: Sequence[str],
     cols: dict[str, str],
-    chunk_unit: str | None = None,
-    hot_rows: int = HOT_ROWS,
+    split_rows: int | None = None,
 ) -> DataFrame:
     """Add the previous row's value of each column: ``cols`` maps new name to column.
 
     ``order`` must be unique within the keys.
     """
-    if chunk_unit is None:
+    if split_rows is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({new: F.lag(c).over(w) for new, c in cols.items()})
 
-    rows = _split(df, keys, order, chunk_unit, hot_rows)
+    rows = _split(df, keys, order, split_rows)
     carried = list(dict.fromkeys([*order, *cols.values()]))
     last = (
         _hot(rows)
@@ -105,19 +118,18 @@ def with_running_sum(
     keys: Sequence[str],
     order: Sequence[str],
     cols: dict[str, str],
-    chunk_unit: str | None = None,
-    hot_rows: int = HOT_ROWS,
+    split_rows: int | None = None,
 ) -> DataFrame:
     """Add running sums over the rows up to and with the current one; nulls count as nothing.
 
     ``cols`` maps new name to column. ``order`` must be unique within the keys.
     """
     frame = (Window.unboundedPreceding, Window.currentRow)
-    if chunk_unit is None:
+    if split_rows is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*frame)
         return df.withColumns({new: F.sum(c).over(w) for new, c in cols.items()})
 
-    rows = _split(df, keys, order, chunk_unit, hot_rows)
+    rows = _split(df, keys, order, split_rows)
     totals = _hot(rows).groupBy(*keys, CHUNK).agg(
         *[F.sum(c).alias(new) for new, c in cols.items()]
     )
@@ -145,17 +157,14 @@ def with_row_number(
     keys: Sequence[str],
     order: Sequence[str],
     name: str,
-    chunk_unit: str | None = None,
-    hot_rows: int = HOT_ROWS,
+    split_rows: int | None = None,
 ) -> DataFrame:
     """Add the 1-based place of each row within its keys."""
-    if chunk_unit is None:
+    if split_rows is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(name, F.row_number().over(w).cast("bigint"))
     ones = df.withColumn("__one", F.lit(1).cast("bigint"))
-    return with_running_sum(
-        ones, keys, order, {name: "__one"}, chunk_unit, hot_rows
-    ).drop("__one")
+    return with_running_sum(ones, keys, order, {name: "__one"}, split_rows).drop("__one")
 
 
 def newest_per_key(
@@ -194,8 +203,7 @@ def with_neighbour_text(
     name: str,
     before: int,
     after: int,
-    chunk_unit: str | None = None,
-    hot_rows: int = HOT_ROWS,
+    split_rows: int | None = None,
     separator: str = "\n",
 ) -> DataFrame:
     """Add the texts of the rows around each row, joined in order.
@@ -206,10 +214,10 @@ def with_neighbour_text(
     frame = (-before, after)
     if not before and not after:
         return df.withColumn(name, F.coalesce(F.col(text), F.lit("")))
-    if chunk_unit is None:
+    if split_rows is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*frame)
         return df.withColumn(name, F.array_join(F.collect_list(text).over(w), separator))
-    rows = _split(df, keys, order, chunk_unit, hot_rows)
+    rows = _split(df, keys, order, split_rows)
     both = rows.unionByName(
         _border_rows(_hot(rows), keys, order, text, before, after), allowMissingColumns=True
     )

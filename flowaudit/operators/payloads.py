@@ -11,7 +11,7 @@ from flowaudit.functions.payload import is_json, property_map
 from flowaudit.functions.text import compose_type_name
 from flowaudit.operators.joins import lookup
 from flowaudit.operators.lag import unique_matches
-from flowaudit.operators.ordered import HOT_ROWS, with_previous
+from flowaudit.operators.ordered import SPLIT_ROWS, with_previous
 
 # Monitoring commands and component kinds of the payload table.
 COMMANDS = ("mon", "describe")
@@ -46,13 +46,12 @@ def property_changes(
     keys: Sequence[str] = ("app_name", "component_name", "property"),
     order: Sequence[str] = ("batch_ts",),
     value: str = "value",
-    chunk_unit: str | None = None,
-    hot_rows: int = HOT_ROWS,
+    split_rows: int | None = SPLIT_ROWS,
 ) -> DataFrame:
     """Captures whose property value differs from the capture before; the first is no change."""
     seen = props.withColumn("__seen", F.lit(True))
     before = with_previous(
-        seen, keys, order, {"previous_value": value, "__had": "__seen"}, chunk_unit, hot_rows
+        seen, keys, order, {"previous_value": value, "__had": "__seen"}, split_rows
     )
     changed = F.col("__had") & ~F.col(value).eqNullSafe(F.col("previous_value"))
     return before.where(changed).drop("__seen", "__had")
@@ -96,13 +95,12 @@ def emit_on_change(
     keys: Sequence[str] = ("type_name",),
     version: str = "created_date",
     order: Sequence[str] = ("batch_ts",),
-    chunk_unit: str | None = None,
-    hot_rows: int = HOT_ROWS,
+    split_rows: int | None = SPLIT_ROWS,
 ) -> DataFrame:
     """Rows seen first for their key, or whose version differs from the row before."""
     seen = df.withColumn("__seen", F.lit(True))
     before = with_previous(
-        seen, keys, order, {"__version": version, "__had": "__seen"}, chunk_unit, hot_rows
+        seen, keys, order, {"__version": version, "__had": "__seen"}, split_rows
     )
     fresh = F.col("__had").isNull() | ~F.col(version).eqNullSafe(F.col("__version"))
     return before.where(fresh).drop("__seen", "__version", "__had")

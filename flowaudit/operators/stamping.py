@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowaudit.operators.ordered import HOT_ROWS, with_row_number
+from flowaudit.operators.ordered import SPLIT_ROWS, with_row_number
 
 
 def stamp_batch(df: DataFrame, batch_ts: datetime | Column, name: str = "batch_ts") -> DataFrame:
@@ -45,8 +45,7 @@ def with_row_id_in_batch(
     batch: Sequence[str],
     order: Sequence[str],
     name: str = "row_id",
-    chunk_unit: str | None = "minute",
-    hot_rows: int = HOT_ROWS,
+    split_rows: int | None = SPLIT_ROWS,
 ) -> DataFrame:
     """Add consecutive ids within each run."""
-    return with_row_number(df, batch, order, name, chunk_unit, hot_rows)
+    return with_row_number(df, batch, order, name, split_rows)

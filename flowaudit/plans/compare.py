@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowaudit.operators import compare
-from flowaudit.operators.ordered import with_previous
+from flowaudit.operators.ordered import SPLIT_ROWS, with_previous
 from flowaudit.operators.runs import link_runs
 from flowaudit.plans import inputs as i
 from flowaudit.plans.registry import query
@@ -14,8 +14,6 @@ from flowaudit.schemas import OP_KINDS, counter_columns, counter_name
 from flowaudit.session import fresh_path
 from flowaudit.sources.tables import append_files, read_files
 
-# Small enough that the apps of the smallest tables are hot already.
-HOT_APP_ROWS = 50
 PAIR_COLS = counter_columns(("src", "tgt"))
 KEYS = ["app_name", "table_name"]
 
@@ -231,16 +229,16 @@ def delta_by_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "delta_by_row_chunked",
+    "delta_by_row_events",
     f"""WITH {i.EV}
 SELECT event_id, app_name, k - lag(k) OVER w AS k_sli, lag_ms - lag(lag_ms) OVER w AS lag_ms_sli
 FROM ev WINDOW w AS (PARTITION BY app_name ORDER BY ts, event_id)""",
 )
-def delta_by_row_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+def delta_by_row_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row-to-row change on raw readings, where an app may hold a large part of the rows."""
     before = with_previous(
         i.events(spark, sf_dir).select("event_id", "ts", "app_name", "k", "lag_ms"),
-        ["app_name"], ["ts", "event_id"], {"k0": "k", "lag0": "lag_ms"}, "hour", HOT_APP_ROWS,
+        ["app_name"], ["ts", "event_id"], {"k0": "k", "lag0": "lag_ms"}, SPLIT_ROWS,
     )
     return before.select(
         "event_id", "app_name",

@@ -8,12 +8,18 @@ from pyspark.sql import functions as F
 from flowaudit.operators import logs
 from flowaudit.plans import inputs as i
 from flowaudit.plans.registry import query
+from flowaudit.session import cut
 
 
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.parse_logs(i.log_lines(i.events(spark, sf_dir)))
 
 
+def stored_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries parsed once and kept, for operators that read them more than once."""
+    return cut(entries(spark, sf_dir), "log-entries")
+
+
 @query(
     "parse_logs",
     f"""WITH {i.EV}, {i.LINES_SQL}
@@ -51,7 +57,7 @@ SELECT line_no, server, string_agg(value, chr(10)) OVER (PARTITION BY server ORD
   ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING) AS contextbuffertext FROM lines""",
 )
 def log_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    around = logs.with_context(entries(spark, sf_dir), before=2, after=1)
+    around = logs.with_context(stored_entries(spark, sf_dir), before=2, after=1)
     return around.select("line_no", "server", "contextbuffertext")
 
 
@@ -64,5 +70,6 @@ SELECT line_no, app_name, contextbuffertext FROM c WHERE log_level = 'ERROR'""",
 )
 def error_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of the same app around each error."""
-    around = logs.with_context(entries(spark, sf_dir), before=3, after=3, keys=("app_name",))
+    parsed = stored_entries(spark, sf_dir)
+    around = logs.with_context(parsed, before=3, after=3, keys=("app_name",))
     return logs.errors_only(around).select("line_no", "app_name", "contextbuffertext")

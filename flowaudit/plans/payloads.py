@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from flowaudit.operators import payloads
 from flowaudit.plans import inputs as i
 from flowaudit.plans.registry import query
+from flowaudit.session import cut
 
 
 def captured(ev: DataFrame) -> DataFrame:
@@ -74,7 +75,7 @@ FROM p WHERE previous_value <> value""",
 def property_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     props = payloads.properties(payloads.capture(captured(i.events(spark, sf_dir))))
     changes = payloads.property_changes(
-        props, order=("batch_ts", "event_id"), chunk_unit="minute"
+        cut(props, "properties"), order=("batch_ts", "event_id")
     )
     return changes.select(
         "event_id", "app_name", "component_name", "property", "previous_value", "value"
@@ -143,6 +144,6 @@ def emit_on_change(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("k") / 25).cast("bigint").alias("band"),
     )
     fresh = payloads.emit_on_change(
-        polls, ("type_name",), "band", ("ts", "event_id"), chunk_unit="minute"
+        polls, ("type_name",), "band", ("ts", "event_id")
     )
     return fresh.select("event_id", "type_name", "band")

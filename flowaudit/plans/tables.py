@@ -17,7 +17,7 @@ from flowaudit.operators import lag as lag_ops
 from flowaudit.operators import logs as log_ops
 from flowaudit.operators import payloads as payload_ops
 from flowaudit.operators import runs, snapshots, stamping
-from flowaudit.plans import batches, compare, history, lag, payloads
+from flowaudit.plans import batches, compare, history, lag, logs, payloads
 from flowaudit.plans import inputs as i
 from flowaudit.plans.registry import query
 from flowaudit.sources.conform import shape
@@ -332,7 +332,7 @@ def column_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("created_date"),
         columns.alias("columns"),
     )
-    fresh = payload_ops.emit_on_change(polls, chunk_unit="day")
+    fresh = payload_ops.emit_on_change(polls)
     tables = part.select(F.col("p_brand").alias("app_name"), F.col("p_type").alias("table_name"))
     matched = payload_ops.match_type(fresh, tables)
     return shape(payload_ops.columns_of(matched), s.COLUMN_CATALOG)
@@ -380,7 +380,7 @@ def table_warehouse_target_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = log_ops.parse_logs(i.log_lines(i.events(spark, sf_dir)))
+    entries = logs.stored_entries(spark, sf_dir)
     around = log_ops.errors_only(log_ops.with_context(entries, before=2, after=2))
     stamped = stamping.bucket_batches(around, "log_date", i.HOUR_S)
     return shape(stamped, s.LOG_EVENTS)

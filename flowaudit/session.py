@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "flowaudit", master: str | None = None, **conf: object) -> SparkSession:
@@ -75,3 +75,14 @@ def checkpoint_root(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame, label: str) -> DataFrame:
+    """Write rows to a new folder below the shared folder and read them from there.
+
+    For rows that are dear to compute and read several times. The files outlive any executor; the
+    folder is the caller's to remove.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

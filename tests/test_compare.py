@@ -55,7 +55,7 @@ def test_delta_by_row_spans_a_gap_and_keeps_a_reset(counters, rows):
 
 def test_delta_by_row_split_equals_plain(counters, rows):
     plain = compare.delta_by_row(counters, KEYS, COLS)
-    split = compare.delta_by_row(counters, KEYS, COLS, chunk_unit="minute", hot_rows=0)
+    split = compare.delta_by_row(counters, KEYS, COLS, split_rows=1)
     assert rows(plain) == rows(split, *plain.columns)
 
 

@@ -12,7 +12,7 @@ from flowaudit.operators import ordered
 from pyspark.sql import functions as F
 
 START = datetime(2024, 1, 1)
-SPLITS = [(None, 0), ("minute", 0), ("hour", 0), ("hour", 40), ("day", 10**6)]
+SPLITS = [None, 1, 3, 40, 10**6]
 
 
 def sample(seed: int, count: int = 160):
@@ -42,8 +42,8 @@ def data(request, spark):
     return made, frame.repartition(3)
 
 
-@pytest.mark.parametrize("unit,hot", SPLITS)
-def test_previous(data, rows, unit, hot):
+@pytest.mark.parametrize("split", SPLITS)
+def test_previous(data, rows, split):
     made, df = data
     expected = []
     for group in by_key(made).values():
@@ -51,13 +51,13 @@ def test_previous(data, rows, unit, hot):
         for _, _, n, v, _ in group:
             expected.append((n, *before))
             before = (v, n)
-    out = ordered.with_previous(df, ["key"], ["ts", "n"], {"pv": "v", "pn": "n"}, unit, hot)
+    out = ordered.with_previous(df, ["key"], ["ts", "n"], {"pv": "v", "pn": "n"}, split)
     assert out.columns == [*df.columns, "pv", "pn"]
     assert rows(out, "n", "pv", "pn") == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("unit,hot", SPLITS)
-def test_running_sum(data, rows, unit, hot):
+@pytest.mark.parametrize("split", SPLITS)
+def test_running_sum(data, rows, split):
     made, df = data
     expected = []
     for group in by_key(made).values():
@@ -66,25 +66,25 @@ def test_running_sum(data, rows, unit, hot):
             if v is not None:
                 total = (total or 0) + v
             expected.append((n, v, total))
-    out = ordered.with_running_sum(df, ["key"], ["ts", "n"], {"total": "v"}, unit, hot)
+    out = ordered.with_running_sum(df, ["key"], ["ts", "n"], {"total": "v"}, split)
     assert rows(out, "n", "v", "total") == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("unit,hot", SPLITS)
-def test_row_number(data, rows, unit, hot):
+@pytest.mark.parametrize("split", SPLITS)
+def test_row_number(data, rows, split):
     made, df = data
     expected = [
         (row[2], place)
         for group in by_key(made).values()
         for place, row in enumerate(group, start=1)
     ]
-    out = ordered.with_row_number(df, ["key"], ["ts", "n"], "place", unit, hot)
+    out = ordered.with_row_number(df, ["key"], ["ts", "n"], "place", split)
     assert rows(out, "n", "place") == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("unit,hot", SPLITS)
+@pytest.mark.parametrize("split", SPLITS)
 @pytest.mark.parametrize("before,after", [(0, 0), (2, 0), (0, 3), (3, 2)])
-def test_neighbour_text(data, rows, unit, hot, before, after):
+def test_neighbour_text(data, rows, split, before, after):
     made, df = data
     expected = []
     for group in by_key(made).values():
@@ -92,7 +92,7 @@ def test_neighbour_text(data, rows, unit, hot, before, after):
             around = group[max(0, place - before): place + after + 1]
             expected.append((row[2], "|".join(r[4] for r in around)))
     out = ordered.with_neighbour_text(
-        df, ["key"], ["ts", "n"], "text", "around", before, after, unit, hot, "|"
+        df, ["key"], ["ts", "n"], "text", "around", before, after, split, "|"
     )
     assert rows(out, "n", "around") == sorted(expected, key=repr)
 
@@ -100,7 +100,7 @@ def test_neighbour_text(data, rows, unit, hot, before, after):
 def test_null_times_come_first(spark, rows):
     made = [("a", None, 1, 10), ("a", START, 2, 20), ("a", START + timedelta(hours=3), 3, 30)]
     df = spark.createDataFrame(made, "key string, ts timestamp, n bigint, v bigint")
-    out = ordered.with_previous(df, ["key"], ["ts", "n"], {"pv": "v"}, "hour", 0)
+    out = ordered.with_previous(df, ["key"], ["ts", "n"], {"pv": "v"}, 1)
     assert rows(out, "n", "pv") == [(1, None), (2, 10), (3, 20)]
 
 

@@ -221,25 +221,25 @@ def test_properties_keep_nested_text(spark, rows):
     ]
 
 
-@pytest.mark.parametrize("unit,hot", [(None, 0), ("hour", 0)])
-def test_property_changes(spark, rows, unit, hot):
+@pytest.mark.parametrize("split", [None, 1])
+def test_property_changes(spark, rows, split):
     made = [(None, 0), (None, 1), ("a", 2), ("a", 3), ("b", 30)]
     df = spark.createDataFrame(
         [("app", "c", "p", T0 + timedelta(hours=h), v) for v, h in made],
         "app_name string, component_name string, property string, batch_ts timestamp, value string",
     )
-    out = payloads.property_changes(df, chunk_unit=unit, hot_rows=hot)
+    out = payloads.property_changes(df, split_rows=split)
     assert rows(out, "previous_value", "value") == [("a", "b"), (None, "a")]
 
 
-@pytest.mark.parametrize("unit,hot", [(None, 0), ("hour", 0)])
-def test_emit_on_change(spark, rows, unit, hot):
+@pytest.mark.parametrize("split", [None, 1])
+def test_emit_on_change(spark, rows, split):
     versions = [T0, T0, T0 + timedelta(days=1), T0]
     df = spark.createDataFrame(
         [("t", T0 + timedelta(hours=h), v) for h, v in enumerate(versions)],
         "type_name string, batch_ts timestamp, created_date timestamp",
     )
-    once = payloads.emit_on_change(df, chunk_unit=unit, hot_rows=hot)
+    once = payloads.emit_on_change(df, split_rows=split)
     assert [r.batch_ts.hour for r in once.orderBy("batch_ts").collect()] == [10, 12, 13]
     assert rows(payloads.emit_on_change(once)) == rows(once)
 
@@ -281,14 +281,14 @@ def test_phase_shares(spark, rows):
     ]
 
 
-@pytest.mark.parametrize("hot", [0, 10**6])
-def test_batches_by_count_and_time(spark, rows, hot):
+@pytest.mark.parametrize("split", [1, 10**6])
+def test_batches_by_count_and_time(spark, rows, split):
     made = [("t", T0 + timedelta(minutes=m), m) for m in range(0, 150, 10)]
     df = spark.createDataFrame(made, "target_name string, ts timestamp, id bigint")
-    counted = batches.form_batches(df, ["target_name"], "ts", ["ts"], max_events=4, hot_rows=hot)
+    counted = batches.form_batches(df, ["target_name"], "ts", ["ts"], max_events=4, split_rows=split)
     assert rows(counted.groupBy("batch_no").count()) == [(0, 4), (1, 4), (2, 4), (3, 3)]
     either = batches.form_batches(
-        df, ["target_name"], "ts", ["ts"], max_events=4, every_s=3600, hot_rows=hot
+        df, ["target_name"], "ts", ["ts"], max_events=4, every_s=3600, split_rows=split
     )
     assert rows(either.groupBy("batch_start", "batch_no").count(), "count") == [
         (2,), (2,), (3,), (4,), (4,),
@@ -313,11 +313,11 @@ def test_log_lines(spark, rows):
     assert logs.errors_only(parsed).count() == 1
 
 
-@pytest.mark.parametrize("hot", [0, 10**6])
-def test_context(spark, rows, hot):
+@pytest.mark.parametrize("split", [1, 10**6])
+def test_context(spark, rows, split):
     df = spark.createDataFrame(
         [("s", T0 + timedelta(minutes=n), n, str(n)) for n in (1, 2, 3)],
         "server string, log_date timestamp, line_no bigint, value string",
     )
-    out = logs.with_context(df, 1, 1, hot_rows=hot)
+    out = logs.with_context(df, 1, 1, split_rows=split)
     assert rows(out, "line_no", "contextbuffertext") == [(1, "1\n2"), (2, "1\n2\n3"), (3, "2\n3")]
