@@ -113,7 +113,10 @@ def stream_drop_replays(spark: SparkSession, sf_dir: str) -> DataFrame:
     twice = F.explode(F.when(F.col("value") >= 50, F.array(F.lit(1), F.lit(2)))
                       .otherwise(F.array(F.lit(1))))
     feed = event_stream(spark, sf_dir).select("event_id", "user_id", "ts", twice.alias("arrival"))
-    once = windows.drop_replays(feed.drop("arrival"), ["event_id"], "ts", "1 hour")
+    once = windows.first_arrivals(
+        feed.drop("arrival"), ["event_id"], "ts", "1 hour",
+        fresh_path(spark, "arrivals"), fresh_path(spark, "arrivals-log"),
+    )
     out = sinks.drain(once, "once")
     return out.select("event_id", "user_id", i.us("ts").alias("ts_us"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from flowaudit.operators.compare import TWO_SIDES, diff_counts, side_counts
 from flowaudit.schemas import OP_KINDS, counter_name
-from flowaudit.streaming.sinks import drain_each_batch, use_keyed_state
+from flowaudit.streaming.sinks import drain_each_batch, read_landed, use_keyed_state
 
 
 def time_batches_stream(
@@ -28,6 +28,37 @@ def drop_replays(df: DataFrame, record_id: Sequence[str], ts: str, delay: str) -
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(record_id))
 
 
+def store_first_arrivals(
+    path: str, record_id: Sequence[str], ts: str
+) -> Callable[[DataFrame, int], None]:
+    """Micro-batch function that stores the first arrival of each record of the micro-batch.
+
+    Put before ``drop_replays`` where a record may be replayed very often: the copies are combined
+    on the map side, so at most one per micro-batch reaches the keyed state.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        others = [c for c in batch.columns if c not in record_id]
+        first = batch.groupBy(*record_id).agg(
+            F.min_by(F.struct(*others), F.struct(ts, *[c for c in others if c != ts])).alias("__row")
+        )
+        rows = first.select(
+            *[c if c in record_id else F.col("__row")[c].alias(c) for c in batch.columns]
+        )
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return handle
+
+
+def first_arrivals(
+    df: DataFrame, record_id: Sequence[str], ts: str, delay: str, path: str, checkpoint: str
+) -> DataFrame:
+    """``drop_replays`` in two steps, for a feed in which one record may hold a large part."""
+    drain_each_batch(df, store_first_arrivals(path, record_id, ts), checkpoint)
+    stored = read_landed(df.sparkSession, f"{path}/batch_id=*", df.schema)
+    return drop_replays(stored, record_id, ts, delay)
+
+
 def reconcile_stream(
     changes: DataFrame, keys: Sequence[str], ts: str, every: str, delay: str
 ) -> DataFrame:

@@ -180,6 +180,46 @@ def test_replays_are_dropped(spark, tmp_path, rows):
     assert rows(once, "id") == sorted([(n,) for n in range(len(made))], key=repr)
 
 
+def test_hot_record_is_collapsed_before_the_state(spark, tmp_path, rows):
+    """Half of all rows are copies of one record, over two micro-batches."""
+    schema = "id bigint, ts timestamp, v string"
+    at = [START + timedelta(seconds=n) for n in range(400)]
+    for part in (0, 1):
+        made = [(7, t, "hot") for t in at[part * 200:(part + 1) * 200]]
+        made += [(100 + n, at[n], "cold") for n in range(part * 200, (part + 1) * 200)]
+        spark.createDataFrame(made, schema).coalesce(1).write.mode("append").parquet(
+            str(tmp_path / "feed")
+        )
+    feed = sinks.read_landed(
+        spark, str(tmp_path / "feed"), spark.createDataFrame([], schema).schema, files_per_trigger=1
+    )
+    once = windows.first_arrivals(
+        feed, ["id"], "ts", "1 day", str(tmp_path / "mid"), str(tmp_path / "mid-log")
+    )
+    out = sinks.drain_to_files(once, str(tmp_path / "out"), str(tmp_path / "log"))
+    stored = spark.read.parquet(str(tmp_path / "mid"))
+    assert stored.where("id = 7").count() == 2
+    assert out.columns == ["id", "ts", "v"]
+    assert rows(out, "id") == sorted([(7,)] + [(100 + n,) for n in range(400)], key=repr)
+
+
+def test_rows_beyond_the_delay_are_left_out(spark, tmp_path, rows):
+    """A row later than the delay neither comes out nor disturbs the rows in order."""
+    made = [("app", "a", START + timedelta(hours=n), n * n, 0) for n in range(6)]
+    late = [("app", "a", START + timedelta(minutes=30), 1000, 0)]
+    folder = tmp_path / "in"
+    for n, piece in enumerate((made[:4], made[4:], late)):
+        spark.createDataFrame(piece, COUNTERS).coalesce(1).write.parquet(f"{folder}/part={n}")
+    schema = spark.createDataFrame(made, COUNTERS).schema
+    out = run_by_file(
+        spark, schema, tmp_path,
+        lambda s: ordered.delta_by_row_stream(s, KEYS, ["ins"], delay="1 hour"),
+    )
+    assert rows(out, "ins", "ins_sli") == sorted(
+        [(0, None), (1, 1), (4, 3), (9, 5), (16, 7), (25, 9)], key=repr
+    )
+
+
 @pytest.fixture
 def log_folder(spark, tmp_path):
     raw = spark.createDataFrame(
