@@ -35,8 +35,8 @@ def _split(
     Of N rows at most N / split_rows keys are hot, which bounds the list that is broadcast.
     """
     place = F.col(order[0])
-    if isinstance(df.schema[order[0]].dataType, T.TimestampType):
-        place = F.unix_micros(place)
+    if isinstance(df.schema[order[0]].dataType, (T.TimestampType, T.TimestampNTZType)):
+        place = F.unix_micros(place.cast("timestamp"))
     chunks = F.ceil(F.col("__rows") / split_rows)
     hot = (
         df.groupBy(*keys)

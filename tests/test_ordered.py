@@ -104,6 +104,22 @@ def test_null_times_come_first(spark, rows):
     assert rows(out, "n", "pv") == [(1, None), (2, 10), (3, 20)]
 
 
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "bigint"])
+def test_other_orders_can_be_split(data, rows, kind):
+    made, df = data
+    place = F.unix_seconds("ts") if kind == "bigint" else F.col("ts").cast(kind)
+    moved = df.withColumn("ts", place)
+    plain = ordered.with_previous(moved, ["key"], ["ts", "n"], {"pv": "v"})
+    split = ordered.with_previous(moved, ["key"], ["ts", "n"], {"pv": "v"}, 7)
+    assert rows(plain) == rows(split)
+
+
+def test_rows_at_one_instant_stay_in_order(spark, rows):
+    df = spark.range(50).select(F.lit("a").alias("key"), F.lit(START).alias("ts"), F.col("id").alias("n"))
+    out = ordered.with_previous(df, ["key"], ["ts", "n"], {"pn": "n"}, 5)
+    assert rows(out.where("n - 1 = pn")) and out.where("pn is null").count() == 1
+
+
 @pytest.mark.parametrize("n,spread", [(1, 1), (3, 4), (5, 64)])
 def test_newest_per_key(data, rows, n, spread):
     made, df = data
