@@ -10,7 +10,8 @@ to each chunk as extra rows, marked and dropped at the end. The large side is sh
 and data without hot keys pays for the count only. The input is read up to three times; give rows
 that are dear to compute through ``session.cut``.
 
-The first column of ``order`` must be a timestamp or an integer. Without ``split_rows`` the window
+Chunks are equal in time, so a burst makes a chunk larger in proportion; rows of one instant cannot
+be parted. The first column of ``order`` must be a timestamp or an integer. Without ``split_rows`` the window
 is plain, right for inputs of bounded length per key, such as one row per key and run.
 """
 

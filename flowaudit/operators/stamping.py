@@ -36,7 +36,11 @@ def stamp_origin(df: DataFrame, origin: Mapping[str, str]) -> DataFrame:
 def with_row_id(
     df: DataFrame, table: str, natural_key: Sequence[str], name: str = "row_id"
 ) -> DataFrame:
-    """Add a surrogate id that is the same each time the row is computed; needs no shuffle."""
+    """Add a surrogate id that is the same each time the row is computed; needs no shuffle.
+
+    The id is a 64-bit hash: among a thousand million rows a clash has a chance of about 3 %, among
+    many more clashes are certain. ``duplicate_keys`` finds them.
+    """
     return df.withColumn(name, F.xxhash64(F.lit(table), *[F.col(c) for c in natural_key]))
 
 

@@ -114,6 +114,18 @@ def test_other_orders_can_be_split(data, rows, kind):
     assert rows(plain) == rows(split)
 
 
+def test_a_hot_key_is_cut_into_pieces(spark):
+    """A third of the rows in one key: no piece much above the limit, cold keys stay whole."""
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 50).alias("key"),
+        F.timestamp_seconds(F.col("id") * 7).alias("ts"),
+    )
+    pieces = ordered._split(df, ["key"], ["ts"], 2_000).groupBy("key", ordered.CHUNK).count()
+    assert pieces.agg(F.max("count")).first()[0] <= 2_200
+    assert pieces.where("key = -1").count() == 10
+    assert pieces.where("key >= 0").count() == 50
+
+
 def test_rows_at_one_instant_stay_in_order(spark, rows):
     df = spark.range(50).select(F.lit("a").alias("key"), F.lit(START).alias("ts"), F.col("id").alias("n"))
     out = ordered.with_previous(df, ["key"], ["ts", "n"], {"pn": "n"}, 5)
