@@ -141,7 +141,8 @@ def with_running_sum(
         .withColumns({new: F.sum(new).over(before) for new in cols})
         .where(~F.col("__first"))
         .select(
-            *keys, CHUNK, F.lit(True).alias(EXTRA), *[F.col(new).alias(c) for new, c in cols.items()]
+            *keys, CHUNK, F.lit(True).alias(EXTRA),
+            *[F.col(new).alias(f"__sum_{new}") for new in cols],
         )
     )
     both = rows.unionByName(extra, allowMissingColumns=True)
@@ -150,7 +151,11 @@ def with_running_sum(
         .orderBy(F.col(EXTRA).desc(), *order)
         .rowsBetween(*frame)
     )
-    return _finish(both.withColumns({new: F.sum(c).over(w) for new, c in cols.items()}))
+    sums = {
+        new: F.sum(F.coalesce(F.col(f"__sum_{new}"), F.col(c))).over(w).cast(totals.schema[new].dataType)
+        for new, c in cols.items()
+    }
+    return _finish(both.withColumns(sums)).drop(*[f"__sum_{new}" for new in cols])
 
 
 def with_row_number(

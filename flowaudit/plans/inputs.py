@@ -61,7 +61,7 @@ def from_events(raw: DataFrame) -> DataFrame:
         F.concat(F.lit("T"), F.col("user_id")).alias("table_name"),
         pick(F.col("event_type"), EVENT_OPS).alias("op"),
         F.round(F.col("value") * 1000).cast("bigint").alias("lag_ms"),
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
+        F.get_json_object("props", "$.k").try_cast("bigint").alias("k"),
         bucket_start(ts, DAY_S).alias("day_ts"),
         bucket_start(ts, HOUR_S).alias("hour_ts"),
     )

@@ -70,6 +70,16 @@ def test_running_sum(data, rows, split):
     assert rows(out, "n", "v", "total") == sorted(expected, key=repr)
 
 
+@pytest.mark.parametrize("kind", ["int", "decimal(9,2)", "double"])
+def test_running_sum_keeps_types(data, rows, kind):
+    _, df = data
+    typed = df.withColumn("v", F.col("v").cast(kind))
+    plain = ordered.with_running_sum(typed, ["key"], ["ts", "n"], {"total": "v"})
+    split = ordered.with_running_sum(typed, ["key"], ["ts", "n"], {"total": "v"}, 3)
+    assert split.dtypes == plain.dtypes
+    assert rows(split) == rows(plain)
+
+
 @pytest.mark.parametrize("split", SPLITS)
 def test_row_number(data, rows, split):
     made, df = data
