@@ -1,6 +1,6 @@
 """Readings that arrive as text, turned into numbers, times and names.
 
-Unknown text becomes null and never raises.
+Unknown text, and a number too large for the result, become null and never raise.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ def parse_bytes(text: Column) -> Column:
     upper = F.upper(text)
     number = F.regexp_extract(upper, _SIZE, 1).try_cast("decimal(20,6)")
     powers = {letter: 1024**power for power, letter in enumerate(SIZE_UNITS)}
-    return F.floor(number * _lookup(powers, F.regexp_extract(upper, _SIZE, 2))).cast("bigint")
+    unit = _lookup(powers, F.regexp_extract(upper, _SIZE, 2))
+    return F.floor(F.try_multiply(number, unit)).try_cast("bigint")
 
 
 _UPTIME = (
@@ -45,8 +46,8 @@ def parse_seconds(text: Column) -> Column:
     numbers = F.lit(",".join(f"0${g}" for g in range(1, len(_UPTIME_SECONDS) + 1)))
     parts = F.split(F.regexp_replace(text, F.lit(_UPTIME), numbers), ",")
     weights = F.array(*[F.lit(w).cast("bigint") for w in _UPTIME_SECONDS])
-    seconds = F.zip_with(parts, weights, lambda n, w: n.try_cast("bigint") * w)
-    total = F.aggregate(seconds, F.lit(0).cast("bigint"), lambda whole, part: whole + part)
+    seconds = F.zip_with(parts, weights, lambda n, w: F.try_multiply(n.try_cast("bigint"), w))
+    total = F.aggregate(seconds, F.lit(0).cast("bigint"), F.try_add)
     return F.when(text.rlike(_UPTIME) & text.rlike(r"\d"), total)
 
 
@@ -61,7 +62,7 @@ def interval_seconds(text: Column) -> Column:
     upper = F.upper(text)
     number = F.regexp_extract(upper, _INTERVAL, 1).try_cast("bigint")
     unit = F.regexp_extract(upper, _INTERVAL, 2)
-    return number * _lookup(INTERVAL_UNITS, unit)
+    return F.try_multiply(number, _lookup(INTERVAL_UNITS, unit))
 
 
 def server_address(text: Column) -> Column:

@@ -11,8 +11,9 @@ and data without hot keys pays for the count only. The input is read up to three
 that are dear to compute through ``session.cut``.
 
 Chunks are equal in time, so a burst makes a chunk larger in proportion; rows of one instant cannot
-be parted. The first column of ``order`` must be a timestamp or an integer. Without ``split_rows`` the window
-is plain, right for inputs of bounded length per key, such as one row per key and run.
+be parted. The first column of ``order`` must be a timestamp or an integer. The input must give the
+same rows each time it is read. Without ``split_rows`` the window is plain, right for inputs of
+bounded length per key, such as one row per key and run.
 """
 
 from __future__ import annotations
