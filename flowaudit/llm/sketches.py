@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowaudit.llm.textops import SLICE_BYTES, _range_hashes, _spans, mix, slices, text_bytes
 
@@ -216,9 +217,10 @@ def compare_versions(
     """
     texts = list(dict.fromkeys([c for a, b, _ in versions for c in (a, b)] + list(fingerprints)))
     kept = [c for c in df.columns if c not in texts]
-    added = [(name, "double") for _, _, name in versions] + [(f, "string") for f in fingerprints.values()]
+    added: list[tuple[str, T.DataType]] = [(name, T.DoubleType()) for _, _, name in versions]
+    added += [(name, T.StringType()) for name in fingerprints.values()]
     if details:
-        added += [(f"{name}_only_{side}", "array<bigint>") for _, _, name in versions for side in ("old", "new")]
+        added += [(f"{name}_only_{side}", T.ArrayType(T.LongType())) for _, _, name in versions for side in ("old", "new")]
 
     def some_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = {c: paragraph_digests(*text_bytes(batch.column(c))) for c in texts}

@@ -54,11 +54,11 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[places[0] : places[-1]], places - places[0]
 
 
-def slices(places: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most ``most`` bytes; a longer text stands alone."""
+def slices(places: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most a slice of bytes; a longer text stands alone."""
     first, rows = 0, len(places) - 1
     while first < rows:
-        last = int(np.searchsorted(places, places[first] + most, side="right")) - 1
+        last = int(np.searchsorted(places, places[first] + SLICE_BYTES, side="right")) - 1
         last = min(max(last, first + 1), rows)
         yield first, last
         first = last
