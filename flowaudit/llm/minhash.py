@@ -4,18 +4,22 @@ A document's set is its distinct runs of ``shingle`` words (lower-cased A-Z; few
 run). Documents are linked where 100 * intersection >= ``percent`` * union, and every link that
 counts is confirmed on the full sets.
 
-1. One pass turns each text into a digest of its set, packed low bits of its minima, and one key
-   per band of minima. Equal sets become one node, so exact copies never meet each other again.
+1. One pass turns each text into a digest of its set, packed low bits of its minima, one key per
+   band of minima, and an odd sketch (the parity of how many runs fall on each of ``SKETCH_BITS``
+   places). Equal sets become one node, so exact copies never meet each other again.
 2. Nodes that share a band key are candidates. In a first round every member of a bucket is
    compared with the bucket's smallest member only: a group of n near copies gives n candidates,
    not n^2. The packed bits estimate the similarity, corrected for chance collisions, and only
    the most similar candidate of each node goes on to the exact test.
-3. Components of these links are formed. Buckets that still hold several components are then
-   compared across components, all of them, so no link between two components is missed.
+3. Components of these links are formed. In buckets that still hold several components, members are
+   compared block by block inside tasks by their odd sketches, whose error is a hundredth, and each
+   node gives out its most similar partner in another component for the exact test. This repeats
+   while components merge. In the end every pair across components that the sketches do not rule
+   out is tested, so no link between two components is missed.
 
 A pair at the threshold shares a band with probability 1 - (1 - s^rows)^bands: with 0.8, 6 rows
-and 48 bands all but 5 in 10 million. The estimate may lie ``slack`` below the threshold, over six
-of its standard deviations.
+and 48 bands all but 5 in 10 million. The estimates may lie ``slack`` (packed bits) and ``SURE``
+(odd sketch) below the threshold, about five of their standard deviations each.
 
 Defined results: null, empty or wordless texts have an empty set and are linked with nothing. Rows
 of one id count as one document. Rows without id are linked with nothing and get no component.
@@ -38,7 +42,15 @@ from flowaudit.llm.textops import mix, shingle_hashes, text_bytes, word_hashes
 
 BITS = 4
 _LANES = 64 // BITS
-_FEATURES = "id bigint, n_shingles bigint, digest binary, packed array<bigint>, bands array<bigint>"
+_FEATURES = (
+    "id bigint, n_shingles bigint, digest binary, packed array<bigint>, bands array<bigint>, odd array<bigint>"
+)
+SKETCH_BITS = 2048
+SURE = 0.05
+#: Sets above this size fill the odd sketch; their pairs are tested exactly.
+SKETCHED = 5000
+#: Members of a bucket that are compared in one block.
+BLOCK = 512
 _CHUNK = 2048
 
 
@@ -50,7 +62,7 @@ def near_duplicates(
     percent: int = 80,
     bands: int = 48,
     rows: int = 6,
-    slack: float = 0.15,
+    slack: float = 0.12,
 ) -> DataFrame:
     """Return id_col, n_shingles, component_id and kept, one row per row of ``df``.
 
@@ -62,25 +74,26 @@ def near_duplicates(
     nodes = scratch.keep(
         seen.where("n_shingles > 0 and id is not null")
         .groupBy("digest")
-        .agg(F.min("id").alias("node"), F.first("packed").alias("packed"), F.first("bands").alias("bands"))
+        .agg(F.min("id").alias("node"), *[F.first(c).alias(c) for c in ("n_shingles", "packed", "bands", "odd")])
     )
-    least = percent / 100 - slack
     members = scratch.keep(_shared_buckets(nodes))
-
-    best = (
-        _similar(members.select("node", F.col("first").alias("other")).where("node <> other").distinct(), nodes, bands * rows, least)
-        .groupBy("node")
-        .agg(F.max_by("other", F.struct("likeness", F.bitwise_not("other"))).alias("other"))
-    )
-    best = scratch.keep(best)
-    labels = components(_confirmed(best, texts, shingle, percent, scratch), scratch)
-
-    open_rows = scratch.keep(_open_buckets(members, labels))
-    across = scratch.keep(_similar(_across(open_rows), nodes, bands * rows, least).select("node", "other"))
-    if not across.isEmpty():
-        more = _confirmed(across, texts, shingle, percent, scratch)
-        links = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more)
-        labels = components(links, scratch)
+    met = members.select("node").distinct()
+    texts = scratch.keep(texts.join(met, F.col("id") == F.col("node"), "left_semi"))
+
+    stars = members.select("node", F.col("first").alias("other")).where("node <> other").distinct()
+    best = _best(_similar(stars, nodes, bands * rows, percent / 100 - slack))
+    links = _confirmed(scratch.keep(best), texts, shingle, percent)
+    labels = components(links, scratch)
+    while True:
+        open_rows = scratch.keep(_open_buckets(members, labels, nodes))
+        best = scratch.keep(_best(_crossing(open_rows, percent / 100 - SURE, all_pairs=False)))
+        links = scratch.keep(_confirmed(best, texts, shingle, percent))
+        if links.isEmpty():
+            break
+        labels = components(_joined(labels, links), scratch)
+    rest = scratch.keep(_crossing(open_rows, percent / 100 - SURE, all_pairs=True).select("node", "other").distinct())
+    if not rest.isEmpty():
+        labels = components(_joined(labels, _confirmed(rest, texts, shingle, percent)), scratch)
 
     named = nodes.select("digest", "node").join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
     named = named.select(F.col("digest").alias("of"), F.coalesce("label", "node").alias("component"))
@@ -121,6 +134,7 @@ def _featurizer(shingle: int, bands: int, rows: int):
             digests: list[bytes | None] = [None] * n
             packed: list[np.ndarray | None] = [None] * n
             keys: list[np.ndarray | None] = [None] * n
+            odd: list[np.ndarray | None] = [None] * n
             for i in range(n):
                 found = shingle_hashes(words[ends[i] : ends[i + 1]], shingle)
                 counts[i] = len(found)
@@ -129,6 +143,7 @@ def _featurizer(shingle: int, bands: int, rows: int):
                     digests[i] = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
                     packed[i] = _pack(least)
                     keys[i] = _band_keys(least, bands, rows)
+                    odd[i] = _odd_sketch(found)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
@@ -136,8 +151,9 @@ def _featurizer(shingle: int, bands: int, rows: int):
                     pa.array(digests, pa.binary()),
                     pa.array(packed, pa.list_(pa.int64())),
                     pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(odd, pa.list_(pa.int64())),
                 ],
-                ["id", "n_shingles", "digest", "packed", "bands"],
+                ["id", "n_shingles", "digest", "packed", "bands", "odd"],
             )
 
     return run
@@ -179,6 +195,12 @@ def _band_keys(least: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def _odd_sketch(found: np.ndarray) -> np.ndarray:
+    """Parity of the number of runs on each place."""
+    parity = np.bincount((found >> np.uint64(40)) & np.uint64(SKETCH_BITS - 1), minlength=SKETCH_BITS) & 1
+    return np.packbits(parity.astype(np.uint8)).view(np.int64)
+
+
 def _shared_buckets(nodes: DataFrame) -> DataFrame:
     """(key, node, first) of every bucket with several nodes; first is its smallest node."""
     keys = nodes.select(F.explode("bands").alias("key"), "node")
@@ -222,54 +244,128 @@ def _estimate(p1: Column, p2: Column, minima: int) -> Column:
     return (equal - chance) / (1 - chance)
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int, scratch: Scratch) -> DataFrame:
+def _best(pairs: DataFrame) -> DataFrame:
+    """Of each node its most similar partner."""
+    likest = F.max_by("other", F.struct("likeness", F.bitwise_not("other"))).alias("other")
+    return pairs.groupBy("node").agg(likest)
+
+
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    return labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(links)
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs (a, b) that are linked by their full sets."""
-    ids = pairs.select("node").union(pairs.select("other")).distinct()
-    wanted = texts.join(ids, F.col("id") == F.col("node"), "left_semi")
-    sets = scratch.keep(wanted.mapInArrow(_sets(shingle), "id bigint, runs array<bigint>"))
-    left = sets.select(F.col("id").alias("a"), F.col("runs").alias("runs_a"))
-    right = sets.select(F.col("id").alias("b"), F.col("runs").alias("runs_b"))
+    left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(left, F.col("node") == F.col("a")).join(right, F.col("other") == F.col("b"))
-    shared = F.size(F.array_intersect("runs_a", "runs_b")).cast("bigint")
-    union = F.size("runs_a") + F.size("runs_b") - shared
-    return both.where(100 * shared >= percent * union).select("a", "b")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(_tester(shingle, percent), "a bigint, b bigint")
 
 
-def _sets(shingle: int):
+def _tester(shingle: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, places = text_bytes(batch.column("text"))
-            words, ends = word_hashes(data, places)
-            runs = [
-                shingle_hashes(words[low:high], shingle).view(np.int64)
-                for low, high in zip(ends[:-1], ends[1:])
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(runs, pa.list_(pa.int64()))], ["id", "runs"]
-            )
+            words_a, ends_a = word_hashes(*text_bytes(batch.column("text_a")))
+            words_b, ends_b = word_hashes(*text_bytes(batch.column("text_b")))
+            linked = []
+            for i in range(len(batch)):
+                a = shingle_hashes(words_a[ends_a[i] : ends_a[i + 1]], shingle)
+                b = shingle_hashes(words_b[ends_b[i] : ends_b[i + 1]], shingle)
+                shared = len(np.intersect1d(a, b, assume_unique=True))
+                linked.append(100 * shared >= percent * (len(a) + len(b) - shared))
+            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     return run
 
 
-def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, node, label) of the buckets that hold more than one component."""
+def _open_buckets(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one component, dealt to pairs of blocks.
+
+    Returns (key, low, high, part, node, label, n_shingles, odd); a bucket of k blocks makes every
+    pair of blocks meet once.
+    """
     labelled = members.join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
     labelled = labelled.select("key", "node", F.coalesce("label", "node").alias("label"))
     mixed = (
         labelled.groupBy("key")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        .where("low < high")
-        .select(F.col("key").alias("of"))
+        .agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count(F.lit(1)).alias("members"))
+        .where("least < most")
+        .select(F.col("key").alias("of"), F.ceil(F.col("members") / BLOCK).cast("int").alias("parts"))
+    )
+    shared = labelled.join(mixed, apart(F.col("key")) == apart(F.col("of")))
+    shared = shared.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.col("parts") - 1),
+        lambda k: F.struct(F.least(k, "part").alias("low"), F.greatest(k, "part").alias("high")),
+    )
+    dealt = shared.select("key", "node", "label", "part", F.explode(blocks).alias("block"))
+    sketches = nodes.select(F.col("node").alias("of"), "n_shingles", "odd")
+    return dealt.join(sketches, F.col("node") == F.col("of")).select(
+        "key", "block.low", "block.high", "part", "node", "label", "n_shingles", "odd"
     )
-    return labelled.join(mixed, apart(F.col("key")) == apart(F.col("of"))).select("key", "node", "label")
 
 
-def _across(rows: DataFrame) -> DataFrame:
-    """Distinct pairs of nodes that share a bucket but not a component."""
-    other = rows.select(F.col("key").alias("of"), F.col("node").alias("other"), F.col("label").alias("its"))
-    return (
-        rows.join(other, F.col("key") == F.col("of"))
-        .where("label < its")
-        .select("node", "other")
-        .distinct()
-    )
+def _crossing(open_rows: DataFrame, least: float, all_pairs: bool) -> DataFrame:
+    """(node, other, likeness) of pairs across components that the odd sketches do not rule out.
+
+    Either all pairs, or for each node of a block its most similar partner.
+    """
+    wide = int(open_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = open_rows.repartition(wide, "key", "low", "high").sortWithinPartitions("key", "low", "high")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        current = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            keys = np.stack([batch.column(c).to_numpy() for c in ("key", "low", "high")])
+            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            for low, high in zip([0, *cuts], [*cuts, len(batch)]):
+                key = tuple(keys[:, low])
+                if key != current and held:
+                    yield _block_pairs(pa.Table.from_batches(held), least, all_pairs)
+                    held = []
+                current = key
+                held.append(batch.slice(low, high - low))
+        if held:
+            yield _block_pairs(pa.Table.from_batches(held), least, all_pairs)
+
+    return met.mapInArrow(run, "node bigint, other bigint, likeness double")
+
+
+def _block_pairs(members: pa.Table, least: float, all_pairs: bool) -> pa.RecordBatch:
+    node, label, part, size = (members.column(c).to_numpy() for c in ("node", "label", "part", "n_shingles"))
+    odd = np.stack(members.column("odd").combine_chunks().to_numpy(zero_copy_only=False)).view(np.uint64)
+    between = members.column("low")[0].as_py() != members.column("high")[0].as_py()
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for i in range(len(node)):
+        across = label != label[i]
+        if between:
+            across &= part != part[i]
+        if all_pairs:
+            across &= node > node[i]
+        at = np.flatnonzero(across)
+        if not len(at):
+            continue
+        likeness = _odd_likeness(odd[at] ^ odd[i], size[at], size[i])
+        if not all_pairs:
+            top = int(likeness.argmax())
+            at, likeness = at[top : top + 1], likeness[top : top + 1]
+        keep = likeness >= least
+        found.append((np.full(int(keep.sum()), node[i]), node[at][keep], likeness[keep]))
+    empty = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    columns = [np.concatenate(c) for c in zip(*(found or [empty]))]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["node", "other", "likeness"])
+
+
+def _odd_likeness(differing: np.ndarray, sizes: np.ndarray, size: int) -> np.ndarray:
+    """Similarity from the number of places whose parity differs; 1 where the sketch is too full."""
+    ones = np.bitwise_count(differing).sum(axis=1)
+    free = np.maximum(1 - 2 * ones / SKETCH_BITS, 1e-9)
+    apart_by = -SKETCH_BITS / 2 * np.log(free)
+    both = (sizes + size).astype(np.float64)
+    # The sizes alone bound the similarity.
+    bound = np.minimum(sizes, size) / np.maximum(sizes, size)
+    estimate = np.where(np.maximum(sizes, size) > SKETCHED, 1.0, (both - apart_by) / (both + apart_by))
+    return np.minimum(estimate, bound)
