@@ -30,6 +30,8 @@ from flowaudit.llm.textops import SLICE_BYTES, _range_hashes, _spans, mix, slice
 #: Cells of a stored fingerprint; comparisons start here and double on failure.
 CELLS = 24
 CUT_BITS = 2
+#: Rows of 12 bytes, one per part, that are sent to all executors; more are joined by a shuffle.
+MOST_BROADCAST = 1_000_000
 _SEEDS = np.array([0x1F83D9AB, 0x5BE0CD19, 0xA54FF53A], dtype=np.uint64)
 _CELL = struct.Struct("<iQI")
 
@@ -268,17 +270,19 @@ def with_next_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     heads = sorted((r["part"], r["first"]) for r in firsts.collect())
     follows = [(heads[(k + 1) % len(heads)][1], part) for k, (part, _) in enumerate(heads)]
     heads_df = spark.createDataFrame(follows, "__head bigint, __part int")
-
-    named = df.withColumn("__text", F.coalesce(F.col(text_col), F.lit("")))
-    own = named.withColumn("__part", F.coalesce(_part_of(ids, bounds), F.lit(-1))).withColumn("__copy", F.lit(False))
-    copies = named.join(heads_df, ids == F.col("__head")).drop("__head").withColumn("__copy", F.lit(True))
-    order = Window.partitionBy("__part").orderBy("__copy", ids, F.xxhash64("__text"))
-    following = F.when(ids.isNotNull(), F.lead("__text").over(order))
+    if len(follows) <= MOST_BROADCAST:
+        heads_df = F.broadcast(heads_df)
+
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    own = df.withColumn("__part", F.coalesce(_part_of(ids, bounds), F.lit(-1))).withColumn("__copy", F.lit(False))
+    copies = df.join(heads_df, ids == F.col("__head")).drop("__head").withColumn("__copy", F.lit(True))
+    order = Window.partitionBy("__part").orderBy("__copy", ids, F.xxhash64(text))
+    following = F.when(ids.isNotNull(), F.lead(text).over(order))
     return (
         own.unionByName(copies)
         .withColumn(name, F.coalesce(following, F.lit("")))
         .where(~F.col("__copy"))
-        .drop("__part", "__copy", "__text")
+        .drop("__part", "__copy")
     )
 
 
