@@ -13,9 +13,9 @@ counts is confirmed on the full sets.
    the most similar candidate of each node goes on to the exact test.
 3. Components of these links are formed. In buckets that still hold several components, members are
    compared block by block inside tasks by their odd sketches, whose error is a hundredth, and each
-   node gives out its most similar partner in another component for the exact test. This repeats
-   while components merge. In the end every pair across components that the sketches do not rule
-   out is tested, so no link between two components is missed.
+   node gives out its most similar partner in every lower component for the exact test. When these
+   links are in, every pair across components that the sketches do not rule out is tested, so no
+   link between two components is missed.
 
 A pair at the threshold shares a band with probability 1 - (1 - s^rows)^bands: with 0.8, 6 rows
 and 48 bands all but 5 in 10 million. The estimates may lie ``slack`` (packed bits) and ``SURE``
@@ -50,7 +50,7 @@ SURE = 0.05
 #: Sets above this size fill the odd sketch; their pairs are tested exactly.
 SKETCHED = 5000
 #: Members of a bucket that are compared in one block.
-BLOCK = 512
+BLOCK = 4096
 _CHUNK = 2048
 
 
@@ -84,13 +84,10 @@ def near_duplicates(
     best = _best(_similar(stars, nodes, bands * rows, percent / 100 - slack))
     links = _confirmed(scratch.keep(best), texts, shingle, percent)
     labels = components(links, scratch)
-    while True:
-        open_rows = scratch.keep(_open_buckets(members, labels, nodes))
-        best = scratch.keep(_best(_crossing(open_rows, percent / 100 - SURE, all_pairs=False)))
-        links = scratch.keep(_confirmed(best, texts, shingle, percent))
-        if links.isEmpty():
-            break
-        labels = components(_joined(labels, links), scratch)
+    open_rows = scratch.keep(_open_buckets(members, labels, nodes))
+    best = scratch.keep(_crossing(open_rows, percent / 100 - SURE, all_pairs=False).select("node", "other").distinct())
+    labels = components(_joined(labels, _confirmed(best, texts, shingle, percent)), scratch)
+    open_rows = scratch.keep(_open_buckets(members, labels, nodes))
     rest = scratch.keep(_crossing(open_rows, percent / 100 - SURE, all_pairs=True).select("node", "other").distinct())
     if not rest.isEmpty():
         labels = components(_joined(labels, _confirmed(rest, texts, shingle, percent)), scratch)
@@ -308,7 +305,7 @@ def _open_buckets(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> Da
 def _crossing(open_rows: DataFrame, least: float, all_pairs: bool) -> DataFrame:
     """(node, other, likeness) of pairs across components that the odd sketches do not rule out.
 
-    Either all pairs, or for each node of a block its most similar partner.
+    Either all pairs, or for each node of a block its most similar partner in each lower component.
     """
     wide = int(open_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = open_rows.repartition(wide, "key", "low", "high").sortWithinPartitions("key", "low", "high")
@@ -340,18 +337,17 @@ def _block_pairs(members: pa.Table, least: float, all_pairs: bool) -> pa.RecordB
     between = members.column("low")[0].as_py() != members.column("high")[0].as_py()
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for i in range(len(node)):
-        across = label != label[i]
+        across = label < label[i]
         if between:
             across &= part != part[i]
-        if all_pairs:
-            across &= node > node[i]
         at = np.flatnonzero(across)
         if not len(at):
             continue
         likeness = _odd_likeness(odd[at] ^ odd[i], size[at], size[i])
         if not all_pairs:
-            top = int(likeness.argmax())
-            at, likeness = at[top : top + 1], likeness[top : top + 1]
+            order = np.argsort(-likeness, kind="stable")
+            _, firsts = np.unique(label[at[order]], return_index=True)
+            at, likeness = at[order[firsts]], likeness[order[firsts]]
         keep = likeness >= least
         found.append((np.full(int(keep.sum()), node[i]), node[at][keep], likeness[keep]))
     empty = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
