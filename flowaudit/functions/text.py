@@ -22,7 +22,7 @@ def _lookup(values: dict[str, int], key: Column) -> Column:
 def parse_bytes(text: Column) -> Column:
     """``"1.5 GB"`` to bytes, rounded down."""
     upper = F.upper(text)
-    number = F.regexp_extract(upper, _SIZE, 1).try_cast("decimal(20,6)")
+    number = F.regexp_extract(upper, _SIZE, 1).try_cast("decimal(38,6)")
     powers = {letter: 1024**power for power, letter in enumerate(SIZE_UNITS)}
     unit = _lookup(powers, F.regexp_extract(upper, _SIZE, 2))
     return F.floor(F.try_multiply(number, unit)).try_cast("bigint")

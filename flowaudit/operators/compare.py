@@ -143,17 +143,21 @@ def delta_by_run(
     order: str = "batch_ts",
     suffix: str = "_sli",
     chunk_unit: str | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Change of each counter since the run before; null where the key has no row in that run.
 
+    ``by`` names the columns, of both inputs, that keep a run history of their own (the cluster);
+    they are part of the key.
+
     A key's row of the run before can only be the row just before it in time, so one window does
     the work of a self-join: one scan, one shuffle and one sort. Keys hold one row per run. Where
     even that is long, ``chunk_unit`` (``"day"``, ``"month"``) cuts the window: a row whose next
     run falls into another chunk is copied there, which the run history tells without a look at
     the data.
     """
-    linked = df.join(link_runs(runs, order), order, "left")
-    part: list[str] = list(keys)
+    linked = df.join(link_runs(runs, order, by), [*by, order], "left")
+    part: list[str] = [*dict.fromkeys([*by, *keys])]
     own = F.lit(True)
     if chunk_unit is not None:
         here = F.date_trunc(chunk_unit, F.col(order))

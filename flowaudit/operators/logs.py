@@ -28,13 +28,14 @@ def parse_logs(
 ) -> DataFrame:
     """Typed entries of the lines that match; the line itself is kept.
 
-    A line that matches is rewritten to its groups with a separator before each, then split once.
+    A line that matches is rewritten to its groups with a separator before each, then split once;
+    a line that holds the separator itself has its groups taken one by one.
     """
     groups = F.lit("".join(f"{_SEP}${g}" for g in range(1, len(fields) + 1)))
     rewritten = F.regexp_replace(F.col(line), F.lit(pattern), groups)
-    split = lines.where(F.col(line).rlike(pattern)).withColumn(
-        "__parts", F.split(rewritten, _SEP, len(fields) + 1)
-    )
+    apart = F.array(*[F.regexp_extract(F.col(line), pattern, g) for g in range(len(fields) + 1)])
+    parts = F.when(F.col(line).contains(_SEP), apart).otherwise(F.split(rewritten, _SEP, len(fields) + 1))
+    split = lines.where(F.col(line).rlike(pattern)).withColumn("__parts", parts)
     parsed = split.select(
         *lines.columns, *[F.col("__parts")[i + 1].alias(f) for i, f in enumerate(fields)]
     )

@@ -55,13 +55,18 @@ def elapsed_seconds(
     return runs.withColumn(name, seconds_between(F.lag(start).over(w), F.col(start)))
 
 
-def link_runs(runs: DataFrame, start: str = "batch_ts") -> DataFrame:
-    """Per run: the runs before and after it and the seconds since the one before."""
-    w = Window.partitionBy(F.lit(0)).orderBy(start)
+def link_runs(runs: DataFrame, start: str = "batch_ts", by: Sequence[str] = ()) -> DataFrame:
+    """Per run: the runs before and after it and the seconds since the one before.
+
+    ``by`` names what keeps a run history of its own, such as the cluster; without it there is one
+    history, of one row per run.
+    """
+    w = Window.partitionBy(*by).orderBy(start)
     return (
-        runs.select(start)
+        runs.select(*by, start)
         .distinct()
         .select(
+            *by,
             start,
             F.lag(start).over(w).alias("previous_ts"),
             F.lead(start).over(w).alias("following_ts"),

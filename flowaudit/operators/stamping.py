@@ -41,7 +41,13 @@ def with_row_id(
     The id is a 64-bit hash: among a thousand million rows a clash has a chance of about 3 %, among
     many more clashes are certain. ``duplicate_keys`` finds them.
     """
-    return df.withColumn(name, F.xxhash64(F.lit(table), *[F.col(c) for c in natural_key]))
+    return df.withColumn(name, natural_key_hash(table, natural_key))
+
+
+def natural_key_hash(table: str, natural_key: Sequence[str]) -> Column:
+    """64-bit hash of a key. The hash function skips nulls, so each column's null mark is hashed too."""
+    parts = [part for c in natural_key for part in (F.col(c).isNull(), F.col(c))]
+    return F.xxhash64(F.lit(table), *parts)
 
 
 def with_row_id_in_batch(

@@ -245,3 +245,25 @@ def delta_by_row_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.try_subtract("k", "k0").alias("k_sli"),
         F.try_subtract("lag_ms", "lag0").alias("lag_ms_sli"),
     )
+
+
+@query(
+    "delta_by_run_clusters",
+    f"""WITH {i.EV}, n AS (
+  SELECT 'c' || (hour(hour_ts) % 2) AS cluster, app_name, hour_ts, count(*) AS n_events FROM ev GROUP BY 1, 2, 3),
+r AS (SELECT DISTINCT cluster, hour_ts FROM n),
+l AS (SELECT *, lag(hour_ts) OVER (PARTITION BY cluster ORDER BY hour_ts) AS before FROM r)
+SELECT n.cluster, n.app_name, epoch_ms(n.hour_ts) AS batch_ms, n.n_events, n.n_events - p.n_events AS n_events_sli,
+  (epoch_ms(n.hour_ts) - epoch_ms(l.before)) // 1000 AS timesincelastbatch
+FROM n JOIN l ON n.cluster = l.cluster AND n.hour_ts = l.hour_ts
+LEFT JOIN n p ON p.cluster = n.cluster AND p.app_name = n.app_name AND p.hour_ts = l.before""",
+)
+def delta_by_run_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two clusters polled in turn: each has its own run before."""
+    ev = i.events(spark, sf_dir)
+    cluster = F.concat(F.lit("c"), F.hour("hour_ts") % 2).alias("cluster")
+    counts = ev.groupBy(cluster, "app_name", F.col("hour_ts").alias("batch_ts")).agg(F.count(F.lit(1)).alias("n_events"))
+    deltas = compare.delta_by_run(counts, counts, ["app_name"], ["n_events"], by=["cluster"])
+    return deltas.select(
+        "cluster", "app_name", i.ms("batch_ts").alias("batch_ms"), "n_events", "n_events_sli", "timesincelastbatch"
+    )

@@ -35,7 +35,6 @@ def build_session(app: str = "flowaudit", master: str | None = None, **conf: obj
 
 
 PARTITION_BYTES = 128 * 1024 * 1024
-MOST_PARTITIONS = 100_000
 
 
 def shuffle_settings(shuffled_bytes: int, cores: int) -> dict[str, object]:
@@ -43,7 +42,7 @@ def shuffle_settings(shuffled_bytes: int, cores: int) -> dict[str, object]:
 
     Adaptive execution starts with this many partitions and merges those that stay small.
     """
-    wanted = min(max(-(-shuffled_bytes // PARTITION_BYTES), cores), MOST_PARTITIONS)
+    wanted = max(-(-shuffled_bytes // PARTITION_BYTES), cores)
     return {
         "spark.sql.shuffle.partitions": wanted,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": PARTITION_BYTES,

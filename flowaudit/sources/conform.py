@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowaudit.operators.stamping import natural_key_hash
 from flowaudit.schemas import Table
 
 
@@ -62,6 +63,6 @@ def shape(df: DataFrame, table: Table) -> DataFrame:
     same when the row is computed again.
     """
     typed = conform(df.drop(table.row_id), table.schema)
-    key = F.xxhash64(F.lit(table.name), *[F.col(c) for c in table.natural_key])
+    key = natural_key_hash(table.name, table.natural_key)
     comment = table.schema[table.row_id].metadata
     return typed.withColumn(table.row_id, key.alias(table.row_id, metadata=comment))
