@@ -12,14 +12,15 @@ counts is confirmed on the full sets.
    not n^2. The packed bits estimate the similarity, corrected for chance collisions, and only
    the most similar candidate of each node goes on to the exact test.
 3. Components of these links are formed. In buckets that still hold several components, members are
-   compared block by block inside tasks by their odd sketches, whose error is a hundredth, and each
-   node gives out its most similar partner in every lower component for the exact test. When these
-   links are in, every pair across components that the sketches do not rule out is tested, so no
-   link between two components is missed.
+   compared block by block inside tasks by their odd sketches, and each block gives out the most
+   similar pairs that would join its components, fewer than it has components, for the exact test.
+   When these links are in, every pair across components that the sketches do not rule out is
+   tested, each in the first band it shares, so no link between two components is missed.
 
 A pair at the threshold shares a band with probability 1 - (1 - s^rows)^bands: with 0.8, 6 rows
-and 48 bands all but 5 in 10 million. The estimates may lie ``slack`` (packed bits) and ``SURE``
-(odd sketch) below the threshold, about five of their standard deviations each.
+and 48 bands all but 5 in 10 million. The packed bits' estimate may lie ``slack`` below the threshold,
+about five of its standard deviations. The odd sketch rules out no link: two sketches differ on at
+most as many places as the sets have runs not in common.
 
 Defined results: null, empty or wordless texts have an empty set and are linked with nothing. Rows
 of one id count as one document. Rows without id are linked with nothing and get no component.
@@ -29,7 +30,7 @@ Columns besides id and text are left out.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,10 +46,7 @@ _LANES = 64 // BITS
 _FEATURES = (
     "id bigint, n_shingles bigint, digest binary, packed array<bigint>, bands array<bigint>, odd array<bigint>"
 )
-SKETCH_BITS = 2048
-SURE = 0.05
-#: Sets above this size fill the odd sketch; their pairs are tested exactly.
-SKETCHED = 5000
+SKETCH_BITS = 4096
 #: Members of a bucket that are compared in one block.
 BLOCK = 4096
 _CHUNK = 2048
@@ -85,10 +83,10 @@ def near_duplicates(
     links = _confirmed(scratch.keep(best), texts, shingle, percent)
     labels = components(links, scratch)
     open_rows = scratch.keep(_open_buckets(members, labels, nodes))
-    best = scratch.keep(_crossing(open_rows, percent / 100 - SURE, all_pairs=False).select("node", "other").distinct())
+    best = scratch.keep(_crossing(open_rows, percent, all_pairs=False).select("node", "other").distinct())
     labels = components(_joined(labels, _confirmed(best, texts, shingle, percent)), scratch)
     open_rows = scratch.keep(_open_buckets(members, labels, nodes))
-    rest = scratch.keep(_crossing(open_rows, percent / 100 - SURE, all_pairs=True).select("node", "other").distinct())
+    rest = scratch.keep(_crossing(open_rows, percent, all_pairs=True).select("node", "other").distinct())
     if not rest.isEmpty():
         labels = components(_joined(labels, _confirmed(rest, texts, shingle, percent)), scratch)
 
@@ -278,8 +276,8 @@ def _tester(shingle: int, percent: int):
 def _open_buckets(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
     """Members of the buckets that hold more than one component, dealt to pairs of blocks.
 
-    Returns (key, low, high, part, node, label, n_shingles, odd); a bucket of k blocks makes every
-    pair of blocks meet once.
+    Returns (key, low, high, part, node, label, n_shingles, odd, bands); a bucket of k blocks makes
+    every pair of blocks meet once.
     """
     labelled = members.join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
     labelled = labelled.select("key", "node", F.coalesce("label", "node").alias("label"))
@@ -296,16 +294,16 @@ def _open_buckets(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> Da
         lambda k: F.struct(F.least(k, "part").alias("low"), F.greatest(k, "part").alias("high")),
     )
     dealt = shared.select("key", "node", "label", "part", F.explode(blocks).alias("block"))
-    sketches = nodes.select(F.col("node").alias("of"), "n_shingles", "odd")
+    sketches = nodes.select(F.col("node").alias("of"), "n_shingles", "odd", "bands")
     return dealt.join(sketches, F.col("node") == F.col("of")).select(
-        "key", "block.low", "block.high", "part", "node", "label", "n_shingles", "odd"
+        "key", "block.low", "block.high", "part", "node", "label", "n_shingles", "odd", "bands"
     )
 
 
-def _crossing(open_rows: DataFrame, least: float, all_pairs: bool) -> DataFrame:
+def _crossing(open_rows: DataFrame, percent: int, all_pairs: bool) -> DataFrame:
     """(node, other, likeness) of pairs across components that the odd sketches do not rule out.
 
-    Either all pairs, or for each node of a block its most similar partner in each lower component.
+    Either all pairs, or of each block the most similar ones that would join its components.
     """
     wide = int(open_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = open_rows.repartition(wide, "key", "low", "high").sortWithinPartitions("key", "low", "high")
@@ -321,47 +319,85 @@ def _crossing(open_rows: DataFrame, least: float, all_pairs: bool) -> DataFrame:
             for low, high in zip([0, *cuts], [*cuts, len(batch)]):
                 key = tuple(keys[:, low])
                 if key != current and held:
-                    yield _block_pairs(pa.Table.from_batches(held), least, all_pairs)
+                    yield _block_pairs(pa.Table.from_batches(held), percent, all_pairs)
                     held = []
                 current = key
                 held.append(batch.slice(low, high - low))
         if held:
-            yield _block_pairs(pa.Table.from_batches(held), least, all_pairs)
+            yield _block_pairs(pa.Table.from_batches(held), percent, all_pairs)
 
     return met.mapInArrow(run, "node bigint, other bigint, likeness double")
 
 
-def _block_pairs(members: pa.Table, least: float, all_pairs: bool) -> pa.RecordBatch:
+def _block_pairs(members: pa.Table, percent: int, all_pairs: bool) -> pa.RecordBatch:
     node, label, part, size = (members.column(c).to_numpy() for c in ("node", "label", "part", "n_shingles"))
-    odd = np.stack(members.column("odd").combine_chunks().to_numpy(zero_copy_only=False)).view(np.uint64)
+    odd, bands = (
+        np.stack(members.column(c).combine_chunks().to_numpy(zero_copy_only=False)) for c in ("odd", "bands")
+    )
+    odd = odd.view(np.uint64)
+    earlier = bands[:, : int(np.flatnonzero(bands[0] == members.column("key")[0].as_py())[0])]
     between = members.column("low")[0].as_py() != members.column("high")[0].as_py()
+
+    def likeness_to(i: int, at: np.ndarray) -> np.ndarray:
+        return _odd_likeness(odd[at] ^ odd[i], size[at], size[i], percent)
+
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for i in range(len(node)):
-        across = label < label[i]
-        if between:
-            across &= part != part[i]
-        at = np.flatnonzero(across)
-        if not len(at):
-            continue
-        likeness = _odd_likeness(odd[at] ^ odd[i], size[at], size[i])
-        if not all_pairs:
-            order = np.argsort(-likeness, kind="stable")
-            _, firsts = np.unique(label[at[order]], return_index=True)
-            at, likeness = at[order[firsts]], likeness[order[firsts]]
-        keep = likeness >= least
-        found.append((np.full(int(keep.sum()), node[i]), node[at][keep], likeness[keep]))
+    if all_pairs:
+        for i in range(len(node)):
+            across = label < label[i]
+            if between:
+                across &= part != part[i]
+            at = np.flatnonzero(across)
+            likeness = likeness_to(i, at)
+            at, likeness = at[likeness >= 0], likeness[likeness >= 0]
+            new = ~(earlier[at] == earlier[i]).any(axis=1)
+            found.append((np.full(int(new.sum()), node[i]), node[at][new], likeness[new]))
+    else:
+        found.append(_spanning_pairs(node, label, part if between else None, likeness_to))
     empty = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
     columns = [np.concatenate(c) for c in zip(*(found or [empty]))]
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["node", "other", "likeness"])
 
 
-def _odd_likeness(differing: np.ndarray, sizes: np.ndarray, size: int) -> np.ndarray:
-    """Similarity from the number of places whose parity differs; 1 where the sketch is too full."""
-    ones = np.bitwise_count(differing).sum(axis=1)
+def _spanning_pairs(
+    node: np.ndarray, label: np.ndarray, part: np.ndarray | None, likeness_to: Callable
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The most similar pairs that would join the components of a block: fewer pairs than components.
+
+    A tree grows by the member most similar to any member in it; those of its own components come
+    for free. Where none is similar enough, a new tree starts.
+    """
+    n = len(node)
+    best, via = np.full(n, -1.0), np.zeros(n, dtype=np.int64)
+    pairs: list[tuple[int, int, float]] = []
+    for _ in range(n):
+        i = int(np.argmax(best))
+        j = int(via[i])
+        if best[i] >= 0 and label[i] != label[j]:
+            pairs.append((max(node[i], node[j]), min(node[i], node[j]), best[i]))
+        best[i] = -np.inf
+        left = best > -np.inf
+        own = left & (label == label[i])
+        other = left & ~own
+        if part is not None:
+            other &= part != part[i]
+        at = np.flatnonzero(other)
+        likeness = likeness_to(i, at)
+        closer = likeness > best[at]
+        best[at[closer]], via[at[closer]] = likeness[closer], i
+        # Already linked, so nearer than any pair across components.
+        best[own], via[own] = 2.0, i
+    columns = list(zip(*pairs)) or [(), (), ()]
+    return np.array(columns[0], np.int64), np.array(columns[1], np.int64), np.array(columns[2], np.float64)
+
+
+def _odd_likeness(differing: np.ndarray, sizes: np.ndarray, size: int, percent: int) -> np.ndarray:
+    """Similarity from the number of places whose parity differs; -1 where no link is possible."""
+    ones = np.bitwise_count(differing).sum(axis=1).astype(np.int64)
+    both = sizes + size
     free = np.maximum(1 - 2 * ones / SKETCH_BITS, 1e-9)
-    apart_by = -SKETCH_BITS / 2 * np.log(free)
-    both = (sizes + size).astype(np.float64)
-    # The sizes alone bound the similarity.
-    bound = np.minimum(sizes, size) / np.maximum(sizes, size)
-    estimate = np.where(np.maximum(sizes, size) > SKETCHED, 1.0, (both - apart_by) / (both + apart_by))
-    return np.minimum(estimate, bound)
+    apart_by = np.minimum(-SKETCH_BITS / 2 * np.log(free), both)
+    # Each run not in common changes one parity, so at least ``ones`` runs are not in common.
+    possible = ones * (100 + percent) <= both * (100 - percent)
+    possible &= 100 * np.minimum(sizes, size) >= percent * np.maximum(sizes, size)
+    return np.where(possible, (both - apart_by) / (both + apart_by), -1.0)
