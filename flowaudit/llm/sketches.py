@@ -21,6 +21,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -255,7 +256,7 @@ def with_next_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Ids are cut at quantiles into parts of about equal size, four per shuffle partition, and each
     part is ordered by itself, together with a copy of the row that follows it, so whole texts are
-    shuffled once. The driver holds one id per part.
+    shuffled once, compressed text by text. The driver holds one id per part.
 
     Defined results: rows of one id come by the hash of their texts; rows without id have no place
     in the order and an empty next text.
@@ -273,19 +274,44 @@ def with_next_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     if len(follows) <= MOST_BROADCAST:
         heads_df = F.broadcast(heads_df)
 
-    text = F.coalesce(F.col(text_col), F.lit(""))
     own = df.withColumn("__part", F.coalesce(_part_of(ids, bounds), F.lit(-1))).withColumn("__copy", F.lit(False))
     copies = df.join(heads_df, ids == F.col("__head")).drop("__head").withColumn("__copy", F.lit(True))
-    order = Window.partitionBy("__part").orderBy("__copy", ids, F.xxhash64(text))
-    following = F.when(ids.isNotNull(), F.lead(text).over(order))
+    place = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    small = [part.withColumn("__tie", place).withColumn(text_col, _packed(F.col(text_col))) for part in (own, copies)]
+    order = Window.partitionBy("__part").orderBy("__copy", ids, "__tie")
+    following = F.when(ids.isNotNull(), F.lead(text_col).over(order))
     return (
-        own.unionByName(copies)
-        .withColumn(name, F.coalesce(following, F.lit("")))
+        small[0]
+        .unionByName(small[1])
+        .withColumn(name, following)
         .where(~F.col("__copy"))
-        .drop("__part", "__copy")
+        .withColumns({text_col: _unpacked(F.col(text_col)), name: F.coalesce(_unpacked(F.col(name)), F.lit(""))})
+        .drop("__part", "__copy", "__tie")
     )
 
 
+def _packed(text: Column) -> Column:
+    """Each text compressed by itself; null stays null."""
+
+    @F.pandas_udf("binary")
+    def pack(values):
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        return values.map(lambda t: squeeze(t.encode()) if isinstance(t, str) else None)
+
+    return pack(text)
+
+
+def _unpacked(packed: Column) -> Column:
+    """The texts of ``_packed``."""
+
+    @F.pandas_udf("string")
+    def unpack(values):
+        expand = zstandard.ZstdDecompressor().decompress
+        return values.map(lambda b: None if b is None else expand(b).decode())
+
+    return unpack(packed)
+
+
 def _part_of(ids: Column, bounds: list[int]) -> Column:
     """Number of the part an id falls in: how many bounds are below it; null stays null."""
 
