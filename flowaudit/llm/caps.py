@@ -7,9 +7,13 @@ every combination of words is a direction. A vector is list-decoded: block by bl
 sums that can still reach ``least`` are extended, so the work follows the number of caps found, not
 the number of directions. ``codes`` independent codes make the odds even across vectors.
 
-Vectors that share a cap are compared exactly. With the defaults (5 codes of 2 x 64 words, 0.33)
-two vectors of 64 dimensions at cosine 0.93 share a cap in all but about 4 of 100,000 cases, and
-closer ones more surely.
+Vectors that share a cap are compared exactly. Inner products with a direction shrink as vectors get
+longer, so ``least`` is found for each vector length and cosine: a sample of pairs at just that
+cosine gives the highest ``least`` at which each pair still shares a cap, and ``least`` is set as far
+below their mean as leaves about 5 of 100,000 pairs without a shared cap; closer pairs share one more
+surely. With 5 codes of 2 x 64 words that is 0.33 for 64 dimensions at cosine 0.93. Where caps would
+not save comparisons (short vectors, low cosines), all vectors of a length are put in one cap, which
+compares them exactly block by block.
 
 Equal vectors are one node with a weight. Buckets larger than ``most`` are cut into blocks and every
 pair of blocks is a task of its own. A pair that shares several caps is counted in the lowest one.
@@ -30,11 +34,23 @@ from flowaudit.llm.components import components
 from flowaudit.llm.scratch import Scratch, apart
 
 
+# Vectors shorter than SHORT have a heavy tail of pairs that share no cap, and those
+# shorter than LONG one that is a little heavier than for all longer ones; how many standard
+# deviations below the mean ``least`` lies, for both kinds.
+SHORT, LONG = 24, 64
+BELOW, BELOW_SHORT = 3.0, 3.6
+SAMPLE = 2000
+
+
 class CapCode:
-    """Filter directions for vectors of one length."""
+    """Filter directions for vectors of one length; ``least`` is None where all are compared."""
 
-    def __init__(self, dims: int, codes: int, blocks: int, words: int, least: float, seed: int):
+    def __init__(
+        self, dims: int, codes: int, blocks: int, words: int, least: float | None, seed: int, cosine: float
+    ):
         self.blocks, self.words, self.least = min(blocks, dims), words, least
+        if least is None and dims < SHORT:
+            return
         self.edges = np.linspace(0, dims, self.blocks + 1).astype(int)
         self.books = []
         for c in range(codes):
@@ -46,9 +62,34 @@ class CapCode:
                 directions /= np.linalg.norm(directions, axis=1, keepdims=True) * np.sqrt(self.blocks)
                 book.append(directions @ turn[:, low:high].T)
             self.books.append(book)
+        if least is None:
+            self.least = self._least(dims, cosine, seed)
+
+    def _least(self, dims: int, cosine: float, seed: int) -> float | None:
+        """The bound that nearly all pairs at ``cosine`` reach in a cap they share."""
+        rng = np.random.default_rng([seed, dims])
+        cosine = min(max(cosine, -1.0), 1.0)
+        step = max(1, 2**20 // self.words**self.blocks)
+        tops, seen = [], []
+        for low in range(0, SAMPLE, step):
+            x, y = rng.standard_normal((2, min(step, SAMPLE - low), dims))
+            x /= np.linalg.norm(x, axis=1, keepdims=True)
+            y -= (x * y).sum(axis=1, keepdims=True) * x
+            y /= np.linalg.norm(y, axis=1, keepdims=True)
+            y = cosine * x + np.sqrt(1 - cosine**2) * y
+            both = [np.minimum(_sums(x, book), _sums(y, book)).max(axis=1) for book in self.books]
+            tops.append(np.max(both, axis=0))
+            seen.append(x[:50])
+        tops = np.concatenate(tops)
+        self.least = tops.mean() - (BELOW if dims >= LONG else BELOW_SHORT) * tops.std()
+        caps = np.mean([len(found) for found in self.decode(np.concatenate(seen)[:200])])
+        # Members of a cap are compared pairwise: so many caps meet as often as all pairs would.
+        return float(self.least) if caps**2 < len(self.books) * self.words**self.blocks else None
 
     def decode(self, units: np.ndarray) -> list[np.ndarray]:
         """For each unit vector the sorted numbers of all directions whose cap it lies in."""
+        if self.least is None:
+            return [np.zeros(1, np.int64) for _ in units]
         size = self.words**self.blocks
         found: list[list[np.ndarray]] = [[] for _ in units]
         for c, book in enumerate(self.books):
@@ -67,10 +108,20 @@ class CapCode:
         return [np.concatenate(parts) for parts in found]
 
 
-@lru_cache(maxsize=8)
-def cap_code(dims: int, codes: int, blocks: int, words: int, least: float, seed: int) -> CapCode:
+def _sums(units: np.ndarray, book: list[np.ndarray]) -> np.ndarray:
+    """Inner products with all directions of a code."""
+    sums = np.zeros((len(units), 1))
+    for words in book:
+        sums = (sums[:, :, None] + (units @ words.T)[:, None, :]).reshape(len(units), -1)
+    return sums
+
+
+@lru_cache(maxsize=32)
+def cap_code(
+    dims: int, codes: int, blocks: int, words: int, least: float | None, seed: int, cosine: float
+) -> CapCode:
     """The code for a vector length, made once per worker; the seed fixes it."""
-    return CapCode(dims, codes, blocks, words, least, seed)
+    return CapCode(dims, codes, blocks, words, least, seed, cosine)
 
 
 def near_vectors(
@@ -82,13 +133,14 @@ def near_vectors(
     codes: int = 5,
     blocks: int = 2,
     words: int = 64,
-    least: float = 0.33,
+    least: float | None = None,
     most: int = 512,
     seed: int = 7,
 ) -> DataFrame:
     """Return id_col, n_links, component_id and kept, one row per row of ``df``.
 
-    Vectors are compared in double precision within a label, and linked from ``cosine`` on.
+    Vectors are compared in double precision within a label, and linked from ``cosine`` on. A given
+    ``least`` holds for vectors of every length; without, it is found for each length.
 
     Defined results: a null label, a null, empty or zero vector, and one with null or non-finite
     parts are linked with nothing, and so are vectors of different lengths. Repeated rows are linked
@@ -97,9 +149,12 @@ def near_vectors(
     """
     spark = df.sparkSession
     scratch = Scratch(spark, "caps")
+    # Floats are kept as they are; every other type is read as double.
+    given = df.schema[vector_col].dataType.simpleString()
+    vectors = given if given == "array<float>" else "array<double>"
     rows = df.select(
         F.col(id_col).cast("bigint").alias("id"),
-        F.col(vector_col).cast("array<float>").alias("vector"),
+        F.col(vector_col).cast(vectors).alias("vector"),
         F.col(label_col).alias("label"),
     )
     sound = (
@@ -110,9 +165,9 @@ def near_vectors(
     )
     valid = rows.where(sound)
     nodes = valid.groupBy("label", "vector").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("weight"))
-    options = (codes, blocks, words, least, seed)
+    options = (codes, blocks, words, least, seed, cosine)
     label_type = rows.schema["label"].dataType.simpleString()
-    kind = f"label {label_type}, vector array<float>, node bigint, weight bigint, caps array<bigint>"
+    kind = f"label {label_type}, vector {vectors}, node bigint, weight bigint, caps array<bigint>"
     nodes = scratch.keep(nodes.mapInArrow(_decoder(options), kind))
 
     wide = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -162,7 +217,13 @@ def near_vectors(
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=np.float64) for v in column.to_numpy(zero_copy_only=False)])
+    return _in_range(np.stack([np.asarray(v, dtype=np.float64) for v in column.to_numpy(zero_copy_only=False)]))
+
+
+def _in_range(vectors: np.ndarray) -> np.ndarray:
+    """Vectors times a power of two each, so that squares neither overflow nor vanish."""
+    _, power = np.frexp(np.abs(vectors).max(axis=1, keepdims=True))
+    return np.ldexp(vectors, -power)
 
 
 def _decoder(options: tuple):
@@ -177,7 +238,7 @@ def _decoder(options: tuple):
                 at = np.flatnonzero(lengths == dims)
                 for low in range(0, len(at), 1024):
                     some = at[low : low + 1024]
-                    units = np.stack([np.asarray(vectors[i], dtype=np.float64) for i in some])
+                    units = _in_range(np.stack([np.asarray(vectors[i], dtype=np.float64) for i in some]))
                     units /= np.linalg.norm(units, axis=1, keepdims=True)
                     for i, numbers in zip(some, cap_code(int(dims), *options).decode(units)):
                         caps[i] = numbers

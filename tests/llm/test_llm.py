@@ -233,6 +233,38 @@ def test_near_vectors_equal_brute_force(spark):
     assert caps.near_vectors(df.limit(0)).count() == 0
 
 
+def test_near_vectors_of_any_length_equal_brute_force(spark):
+    """Pairs just above the wanted cosine, at lengths whose caps differ, wide ones included."""
+    rng = np.random.default_rng(11)
+    rows, links = [], {}
+    for dims in (8, 32, 128, 384):
+        for _ in range(60):
+            x, y = rng.standard_normal((2, dims))
+            y -= x * (x @ y) / (x @ x)
+            y = 0.932 * x / np.linalg.norm(x) + math.sqrt(1 - 0.932**2) * y / np.linalg.norm(y)
+            rows += [(len(rows), x.tolist(), 0), (len(rows) + 1, y.tolist(), 0)]
+    for a, x, _ in rows:
+        near = [b for b, y, _ in rows if b != a and len(x) == len(y)
+                and np.dot(x, y) >= 0.93 * np.linalg.norm(x) * np.linalg.norm(y)]
+        links[a] = len(near)
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = by_id(caps.near_vectors(df, most=50), "vec_id")
+    assert {k: r.n_links for k, r in got.items()} == links
+    assert min(links.values()) >= 1
+
+
+def test_near_vectors_keep_doubles_apart(spark):
+    """Doubles that are equal as floats, or too large or small for a float."""
+    big, tiny = 1e300, 1e-300
+    rows = [(0, [1.0, 0.0], 0), (1, [1.0, 1e-12], 0), (2, [big, big], 0), (3, [2 * big, big], 0),
+            (4, [tiny, -tiny], 0), (5, [-tiny, -tiny], 0)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = by_id(caps.near_vectors(df, cosine=0.94), "vec_id")
+    assert [got[k].n_links for k in range(6)] == [1, 1, 1, 1, 0, 0]
+    got = by_id(caps.near_vectors(df, cosine=1.1), "vec_id")
+    assert [got[k].n_links for k in range(6)] == [0] * 6
+
+
 # 5 licences
 
 
