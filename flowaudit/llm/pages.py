@@ -6,13 +6,16 @@ word density, length, share of text inside links, and the place it stands in.
 First pass, block by block: blocks in boilerplate places (menus, headers, footers, sidebars,
 notices, adverts, forms, comments, by element, role or a word of class or id) and blocks mostly made
 of links are bad; long blocks rich in stop words are good; blocks of an article or main element are
-good if rich in stop words; everything else is undecided. Where a page has an article with text,
-blocks outside of it are bad.
+good if rich in stop words; everything else is undecided. Where most of a page's long text is not
+rich in the stop words of any list, its language is not among them, and long blocks are good by length
+and links alone. Where a page has an article with text, blocks outside of it are bad as long as what
+could be main text out there is less than a quarter of the article's text; else the article is one
+part of the page among others.
 
 Second pass: an undecided block takes the label of its nearest decided neighbours. Inside an
 article the article itself counts as a good neighbour; elsewhere the ends of a page with
 good blocks count as bad, and between two different neighbours, or where nothing is decided, its
-own stop words settle it.
+own stop words settle it, or its length if the page's language is not known.
 """
 
 from __future__ import annotations
@@ -71,6 +74,8 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _WORD = re.compile(r"[^\W\d_]+")
+# Characters that say as much as about three letters: Chinese, Japanese, Korean.
+_WIDE = re.compile("[\u2e80-\ufaff]")
 
 
 @dataclass
@@ -199,21 +204,37 @@ def _opened(name: str, raw: str, stack: list[_Open]) -> _Open:
 
 
 def label_blocks(
-    blocks: list[Block], long: int = 140, rich: float = 0.3, poor: float = 0.15, linked: float = 0.5
+    blocks: list[Block],
+    long: int = 140,
+    rich: float = 0.3,
+    poor: float = 0.15,
+    linked: float = 0.5,
+    share: float = 0.25,
 ) -> list[Block]:
     """Label every block good or bad by the two passes."""
-    has_article = any(b.in_article and not b.bad_place for b in blocks)
     density = [_stop_density(b.text) for b in blocks]
-    for b, stops in zip(blocks, density):
-        if b.bad_place or b.link_chars > linked * len(b.text) or has_article and not b.in_article:
+    length = [_length(b.text) for b in blocks]
+    light = [not b.bad_place and b.link_chars <= linked * len(b.text) for b in blocks]
+    strange = _strange(density, [n if ok else 0 for n, ok in zip(length, light)], long, rich)
+    inside = sum(n for b, n, ok in zip(blocks, length, light) if ok and b.in_article)
+    outside = sum(
+        n
+        for b, stops, n, ok in zip(blocks, density, length, light)
+        if ok and not b.in_article and (n >= long or not b.n_links) and (strange or stops >= rich)
+    )
+    only_article = inside > 0 and outside < share * inside
+    for b, stops, n, ok in zip(blocks, density, length, light):
+        if not ok or only_article and not b.in_article:
             b.label = "bad"
-        elif stops >= rich and (b.in_article or len(b.text) >= long):
+        elif (stops >= rich and (b.in_article or n >= long)) or strange and n >= long:
             b.label = "good"
-        elif not b.in_article and b.n_links and len(b.text) < long:
+        elif not b.in_article and b.n_links and n < long:
             b.label = "bad"
     decided = [b.label for b in blocks]
     after = _next_decided(decided)
     before = edge = "bad" if "good" in decided else ""
+    # Without a good block anywhere, menus say nothing about a text in a language not known.
+    alone = strange and not edge
     for k, b in enumerate(blocks):
         if decided[k]:
             before = decided[k]
@@ -221,13 +242,26 @@ def label_blocks(
         near = {before, after[k] or edge} - {""}
         if b.in_article:
             b.label = "good"
-        elif len(near) == 1:
+        elif len(near) == 1 and not alone:
             b.label = near.pop()
         else:
-            b.label = "good" if density[k] >= poor else "bad"
+            own = density[k] >= poor or strange and length[k] >= long / 4
+            b.label = "good" if own else "bad"
     return blocks
 
 
+def _strange(density: list[float], length: list[int], long: int, rich: float) -> bool:
+    """Whether most of the long text, or of all where none is long, is not rich in stop words."""
+    least = long if max(length, default=0) >= long else 1
+    known = sum(n for n, stops in zip(length, density) if n >= least and stops >= rich)
+    return 2 * known < sum(n for n in length if n >= least)
+
+
+def _length(text: str) -> int:
+    """Characters, with those that stand for a syllable or a word counted three times."""
+    return len(text) if text.isascii() else len(text) + 2 * len(_WIDE.findall(text))
+
+
 def _next_decided(labels: list[str]) -> list[str]:
     out, following = [""] * len(labels), ""
     for k in range(len(labels) - 1, -1, -1):

@@ -455,6 +455,31 @@ def test_main_text(page, text):
     assert pages.main_text(page) == text
 
 
+RUSSIAN = "Кошка сидит в саду около дома, потому что там тепло и никто её не трогает весь день. " * 3
+CHINESE = "这只猫整天坐在房子旁边的花园里，因为那里很暖和，没有人打扰它，直到天黑以后它才慢慢地走回家去吃晚饭。"
+MENU = "<nav><a href=a>Дом</a></nav><ul><li><a href=b>Ещё</a></li></ul>"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        # Main text outside of a small article.
+        (f"<div><p>{LONG}</p><article class='card'><p>A card of it</p></article><p>{LONG}</p></div>", f"{LONG.strip()} A card of it {LONG.strip()}"),
+        (f"<article><a href=x>Only a link</a></article><div><p>{LONG}</p></div>", LONG.strip()),
+        (f"<p>{RUSSIAN}</p><article class='card'><p>Да</p></article><p>{RUSSIAN}</p>", f"{RUSSIAN.strip()} Да {RUSSIAN.strip()}"),
+        # A little text outside of a large one.
+        (f"<article>{f'<p>{LONG}</p>' * 5}</article><p>{LONG}</p>", " ".join([LONG.strip()] * 5)),
+        # Languages without a list of stop words.
+        (f"{MENU}<p>{RUSSIAN}</p><p>Коротко.</p><p>{RUSSIAN}</p><div>Copyright 2020</div>", f"{RUSSIAN.strip()} Коротко. {RUSSIAN.strip()}"),
+        (f"{MENU}<p>{CHINESE}</p><div>2020</div>", CHINESE),
+        (f"{MENU}<p>{RUSSIAN[:86]}</p><p>{RUSSIAN[:86]}</p><div>2020</div>", f"{RUSSIAN[:86].strip()} {RUSSIAN[:86].strip()}"),
+        (f"{MENU}<div class='ad'>{RUSSIAN}</div><p><a href=x>{RUSSIAN}</a></p>", ""),
+    ],
+)
+def test_main_text_without_a_wrapper_or_a_stop_list(page, text):
+    assert pages.main_text(page) == text
+
+
 def test_extraction_keeps_columns_and_replaces_text(spark):
     df = spark.createDataFrame([(1, "u", "<article>x</article>", "old"), (1, "u", None, "old")], "page_id int, url string, html string, text string")
     assert sorted(r.text for r in pages.extract_pages(df).collect()) == ["", "x"]
