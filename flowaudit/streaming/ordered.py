@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator, Sequence
+from decimal import ROUND_HALF_UP, Context, Decimal
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
@@ -22,7 +23,7 @@ from flowaudit.streaming.sinks import use_keyed_state
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _AT = "__at_us"
-_LONG_MAX = 2**63 - 1
+_BITS = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}
 
 
 class InTimeOrder(StatefulProcessor):
@@ -91,23 +92,30 @@ class InTimeOrder(StatefulProcessor):
 class RowDeltas(InTimeOrder):
     """Change of each counter since the key's row before."""
 
-    def __init__(self, row_schema, sort_by, result, cols: Sequence[str], suffix: str):
+    def __init__(self, row_schema, sort_by, result, changes: dict[str, T.StructField]):
         super().__init__(row_schema, sort_by, result)
-        self.cols = list(cols)
-        self.suffix = suffix
+        self.changes = changes
 
     def follow(self, before, row):
         out = dict(row)
-        for c in self.cols:
-            change = None
-            if before is not None and row[c] is not None and before[c] is not None:
-                change = row[c] - before[c]
-                if abs(change) > _LONG_MAX:
-                    change = None
-            out[f"{c}{self.suffix}"] = change
+        for c, field in self.changes.items():
+            out[field.name] = _change(before and before[c], row[c], field.dataType)
         return out
 
 
+def _change(before, now, kind: T.DataType):
+    """``now`` less ``before`` as the type Spark gives it, or None where that cannot hold it."""
+    if before is None or now is None:
+        return None
+    if isinstance(kind, T.DecimalType):
+        exact = Context(prec=100, rounding=ROUND_HALF_UP)
+        change = exact.quantize(exact.subtract(now, before), Decimal(1).scaleb(-kind.scale))
+        return change if len(change.as_tuple().digits) <= kind.precision else None
+    change = now - before
+    bits = _BITS.get(kind.simpleString())
+    return None if bits and not -(1 << bits - 1) <= change < 1 << bits - 1 else change
+
+
 class Changes(InTimeOrder):
     """Rows seen first for their key, or whose version differs from the row before."""
 
@@ -130,7 +138,8 @@ def _encoded(df: DataFrame, ts: str, delay: str | None) -> DataFrame:
 
     Instants would take the time zone of the worker on their way through Python. The event time
     column stays beside its number, because Spark recognises late rows by it. A row without time
-    has no place in the order and is left out.
+    has no place in the order of a stream, as the rows after it may be out already; such rows are
+    those of ``time_rejects``.
     """
     use_keyed_state(df.sparkSession)
     if delay is not None:
@@ -159,6 +168,14 @@ def _decoded(out: DataFrame, df: DataFrame, ts: str, added: Sequence[str] = ())
     )
 
 
+def time_rejects(df: DataFrame, ts: str = "batch_ts") -> DataFrame:
+    """The rows without a time, which ``delta_by_row_stream`` and ``emit_on_change_stream`` leave out.
+
+    A stream of its own, kept without state: drain it beside the other, and no row is lost.
+    """
+    return df.where(F.col(ts).isNull())
+
+
 def delta_by_row_stream(
     df: DataFrame,
     keys: Sequence[str],
@@ -168,13 +185,17 @@ def delta_by_row_stream(
     sort_by: Sequence[str] = (),
     suffix: str = "_sli",
 ) -> DataFrame:
-    """Streaming form of ``delta_by_row``; rows come out once the watermark has passed them."""
+    """Streaming form of ``delta_by_row``; rows come out once the watermark has passed them.
+
+    A change has the type it has in the batch form. Rows without a time are in ``time_rejects``.
+    """
     rows = _encoded(df, ts, delay)
-    changes = [T.StructField(f"{c}{suffix}", T.LongType()) for c in cols]
-    result = _result_schema(df, ts, changes)
-    processor = RowDeltas(_held_schema(rows, ts), sort_by, result.fieldNames(), cols, suffix)
+    kinds = df.select(*[F.try_subtract(c, c).alias(c) for c in cols]).schema
+    changes = {f.name: T.StructField(f"{f.name}{suffix}", f.dataType) for f in kinds}
+    result = _result_schema(df, ts, list(changes.values()))
+    processor = RowDeltas(_held_schema(rows, ts), sort_by, result.fieldNames(), changes)
     out = rows.groupBy(*keys).transformWithState(processor, result, "append", "eventTime")
-    return _decoded(out, df, ts, [c.name for c in changes])
+    return _decoded(out, df, ts, [c.name for c in changes.values()])
 
 
 def emit_on_change_stream(
@@ -185,7 +206,7 @@ def emit_on_change_stream(
     delay: str | None = None,
     sort_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Streaming form of ``emit_on_change``."""
+    """Streaming form of ``emit_on_change``; rows without a time are in ``time_rejects``."""
     rows = _encoded(df, ts, delay)
     result = _result_schema(df, ts)
     processor = Changes(_held_schema(rows, ts), sort_by, result.fieldNames(), version)

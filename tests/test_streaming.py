@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -203,6 +204,35 @@ def test_hot_record_is_collapsed_before_the_state(spark, tmp_path, rows):
     assert rows(out, "id") == sorted([(7,)] + [(100 + n,) for n in range(400)], key=repr)
 
 
+def test_rows_without_time_are_rejects_and_changes_keep_their_type(spark, tmp_path, rows):
+    schema = ("app_name string, table_name string, batch_ts timestamp, n int, small smallint, part double,"
+              " thin float, money decimal(12,2), wide decimal(38,10)")
+    made = [
+        ("app", key, START + timedelta(hours=run), 2**31 - 1 if run % 2 else -5, 30000 if run % 2 else -30000,
+         run / 7, run / 4, Decimal(run * run) / 4, Decimal("1234567890123456789012345678.0123456785") * (run % 3 - 1))
+        for key in "ab" for run in range(6)
+    ]
+    timeless = [("app", key, None, 1, 1, 1.0, 1.0, Decimal(1), Decimal(1)) for key in ("a", "a", "c")]
+    for n, piece in enumerate((made[::2] + timeless[:2], made[1::2] + timeless[2:])):
+        spark.createDataFrame(piece, schema).coalesce(1).write.parquet(f"{tmp_path}/in/part={n}")
+    cols = ["n", "small", "part", "thin", "money", "wide"]
+    batch = spark.createDataFrame(made, schema)
+    stream = run_by_file(
+        spark, batch.schema, tmp_path,
+        lambda s: ordered.delta_by_row_stream(s, KEYS, cols, delay="10 hours"),
+    )
+    expected = compare.delta_by_row(batch, KEYS, cols)
+    assert rows(stream) == rows(expected, *stream.columns)
+    kinds = {f.name: f.dataType for f in expected.schema}
+    assert {f.name: f.dataType for f in stream.schema} == kinds
+    feed = sinks.read_landed(spark, str(tmp_path / "feed"), batch.schema, files_per_trigger=1)
+    rejects = sinks.drain_to_files(
+        ordered.time_rejects(feed), str(tmp_path / "rejects"), str(tmp_path / "rejects-log")
+    )
+    assert rows(rejects) == sorted(map(tuple, spark.createDataFrame(timeless, schema).collect()), key=repr)
+    assert stream.count() + rejects.count() == len(made) + len(timeless)
+
+
 def test_rows_beyond_the_delay_are_left_out(spark, tmp_path, rows):
     """A row later than the delay neither comes out nor disturbs the rows in order."""
     made = [("app", "a", START + timedelta(hours=n), n * n, 0) for n in range(6)]
