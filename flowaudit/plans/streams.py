@@ -23,7 +23,9 @@ from flowaudit.sources import landed, tables
 from flowaudit.sources.conform import shape
 from flowaudit.streaming import logs, ordered, sinks, windows
 
-NO_DELAY = "0 seconds"
+# Files of a bounded feed land in any order, each with rows of the whole time. A century covers any such time
+# and still ends, counted back from the closing row, after all real rows.
+ANY_ORDER = "36500 days"
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,9 +49,9 @@ def landed_stream(df: DataFrame, label: str) -> DataFrame:
 @query("stream_delta_by_row", compare.EXPECTED_DELTA_BY_ROW)
 def stream_delta_by_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = compare.totals(i.events(spark, sf_dir))
-    feed = sinks.closed(landed_stream(totals, "totals"), "batch_ts")
-    delta = ordered.delta_by_row_stream(feed, compare.KEYS, compare.PAIR_COLS, delay="1 hour")
-    out = sinks.before_closing(sinks.drain(delta, "delta-by-row"), "batch_ts")
+    feed, close = sinks.closable(landed_stream(totals, "totals"), "batch_ts")
+    delta = ordered.delta_by_row_stream(feed, compare.KEYS, compare.PAIR_COLS, delay=ANY_ORDER)
+    out = sinks.before_closing(sinks.drain_closed(delta, close, "delta-by-row"), "batch_ts")
     return out.select(
         *compare.KEYS, i.ms("batch_ts").alias("batch_ms"),
         *[f"{c}_sli" for c in compare.PAIR_COLS],
@@ -61,9 +63,9 @@ def stream_delta_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = i.events(spark, sf_dir)
     linked = link_runs(i.day_runs(ev)).select("batch_ts", "previous_ts")
     counters = compare.totals(ev).join(linked, "batch_ts")
-    feed = sinks.closed(landed_stream(counters, "linked-totals"), "batch_ts")
-    delta = ordered.delta_by_run_stream(feed, compare.KEYS, compare.PAIR_COLS, delay="2 days")
-    out = sinks.before_closing(sinks.drain(delta, "delta-by-run"), "batch_ts")
+    feed, close = sinks.closable(landed_stream(counters, "linked-totals"), "batch_ts")
+    delta = ordered.delta_by_run_stream(feed, compare.KEYS, compare.PAIR_COLS, delay=ANY_ORDER)
+    out = sinks.before_closing(sinks.drain_closed(delta, close, "delta-by-run"), "batch_ts")
     return out.select(
         *compare.KEYS, i.ms("batch_ts").alias("batch_ms"),
         *counter_columns(("src", "tgt"), "_sli"),
@@ -89,9 +91,9 @@ def stream_emit_on_change(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.max_by("k", F.struct("ts", "event_id")).alias("k"))
         .select("type_name", "batch_ts", F.floor(F.col("k") / 25).cast("bigint").alias("band"))
     )
-    feed = sinks.closed(landed_stream(polls, "polls"), "batch_ts")
-    fresh = ordered.emit_on_change_stream(feed, ("type_name",), "band", delay="1 hour")
-    out = sinks.before_closing(sinks.drain(fresh, "changes"), "batch_ts")
+    feed, close = sinks.closable(landed_stream(polls, "polls"), "batch_ts")
+    fresh = ordered.emit_on_change_stream(feed, ("type_name",), "band", delay=ANY_ORDER)
+    out = sinks.before_closing(sinks.drain_closed(fresh, close, "changes"), "batch_ts")
     return out.select("type_name", i.ms("batch_ts").alias("batch_ms"), "band")
 
 
@@ -101,9 +103,9 @@ def stream_emit_on_change(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM ev GROUP BY 1, 2""",
 )
 def stream_time_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = sinks.closed(event_stream(spark, sf_dir).select("app_name", "ts"), "ts")
-    counts = windows.time_batches_stream(feed, ["app_name"], "ts", "1 hour", NO_DELAY)
-    out = sinks.before_closing(sinks.drain(counts, "time-batches"), "batch_ts")
+    feed, close = sinks.closable(event_stream(spark, sf_dir).select("app_name", "ts"), "ts")
+    counts = windows.time_batches_stream(feed, ["app_name"], "ts", "1 hour", ANY_ORDER)
+    out = sinks.before_closing(sinks.drain_closed(counts, close, "time-batches"), "batch_ts")
     return out.select("app_name", i.ms("batch_ts").alias("batch_ms"), "row_count")
 
 
@@ -124,9 +126,9 @@ def stream_drop_replays(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stream_reconcile", compare.EXPECTED_ONE_FEED)
 def stream_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = i.both_sides(event_stream(spark, sf_dir)).select(*compare.KEYS, "ts", "side", "op")
-    feed = sinks.closed(changes, "ts")
-    paired = windows.reconcile_stream(feed, compare.KEYS, "ts", "1 day", NO_DELAY)
-    out = sinks.before_closing(sinks.drain(paired, "reconciled"), "batch_ts")
+    feed, close = sinks.closable(changes, "ts")
+    paired = windows.reconcile_stream(feed, compare.KEYS, "ts", "1 day", ANY_ORDER)
+    out = sinks.before_closing(sinks.drain_closed(paired, close, "reconciled"), "batch_ts")
     return out.select(*compare.KEYS, i.ms("batch_ts").alias("batch_ms"), *counter_columns())
 
 

@@ -73,18 +73,24 @@ def closing_row(spark: SparkSession, schema: T.StructType, ts: str) -> DataFrame
     return spark.createDataFrame([tuple(values)], schema)
 
 
-def closed(stream: DataFrame, ts: str) -> DataFrame:
-    """End a feed of which all has landed: a late row moves the watermark past every real row.
+def closable(stream: DataFrame, ts: str) -> tuple[DataFrame, Callable[[], None]]:
+    """A feed with a place for its closing row, and what lands the row there.
 
-    Without it the rows of the last watermark delay, and windows not yet over, stay in the state
-    until more data lands. Results leave the row out by its time. For feeds drained in one trigger;
-    with several, land the closing row after the last file.
+    A late row moves the watermark past every real row. Without it the rows of the last watermark
+    delay, and windows not yet over, stay in the state until more data lands. Land it when the feed
+    is drained, as ``drain_closed`` does: rows read after it are too late. Results leave the row
+    out by its time.
     """
     spark = stream.sparkSession
     nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in stream.schema])
     path = fresh_path(spark, "closing")
-    closing_row(spark, nullable, ts).write.parquet(path)
-    return stream.unionByName(read_landed(spark, path, nullable))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+    def close() -> None:
+        closing_row(spark, nullable, ts).coalesce(1).write.mode("append").parquet(path)
+
+    return stream.unionByName(read_landed(spark, path, nullable)), close
 
 
 def before_closing(df: DataFrame, ts: str) -> DataFrame:
@@ -96,3 +102,16 @@ def drain(df: DataFrame, label: str) -> DataFrame:
     """Drain into a new folder of the shared checkpoint folder."""
     spark = df.sparkSession
     return drain_to_files(df, fresh_path(spark, f"{label}-out"), fresh_path(spark, f"{label}-log"))
+
+
+def drain_closed(df: DataFrame, close: Callable[[], None], label: str) -> DataFrame:
+    """Drain a closable feed in as many triggers as it takes, then land its closing row.
+
+    The second run goes on from the checkpoint of the first, so the closing row is read after every
+    real row. The delay must cover how far rows of different triggers are out of order.
+    """
+    spark = df.sparkSession
+    out, log = fresh_path(spark, f"{label}-out"), fresh_path(spark, f"{label}-log")
+    drain_to_files(df, out, log)
+    close()
+    return drain_to_files(df, out, log)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from flowaudit.operators import compare, payloads
 from flowaudit.operators.runs import link_runs
 from flowaudit.plans import inputs as i
+from flowaudit.plans import streams
 from flowaudit.schemas import OP_KINDS, counter_columns
 from flowaudit.streaming import logs, ordered, sinks, windows
 
@@ -250,6 +251,35 @@ def test_rows_beyond_the_delay_are_left_out(spark, tmp_path, rows):
     )
 
 
+CLOSED = ["stream_delta_by_row", "stream_delta_by_run", "stream_emit_on_change", "stream_time_batches", "stream_reconcile"]
+
+
+@pytest.mark.parametrize("name", CLOSED)
+def test_closed_queries_in_one_trigger_per_file(spark, tmp_path, monkeypatch, name):
+    """Events in four files without order, every landed file in a trigger of its own."""
+    import duckdb
+
+    import __spark_entry__ as entry_point
+
+    given = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    given.repartition(4, "event_id").write.parquet(str(tmp_path / "events.parquet"))
+    read = sinks.read_landed
+    monkeypatch.setattr(sinks, "read_landed", lambda s, path, schema: read(s, path, schema, 1))
+    land_one = streams.land
+
+    def land_parts(df, label):
+        return land_one(df.repartition(3), label)
+
+    monkeypatch.setattr(streams, "land", land_parts)
+    out = entry_point.queries()[name](spark, str(tmp_path))
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    result = duck.execute(entry_point.oracle_sql()[name])
+    names = [d[0] for d in result.description]
+    theirs = sorted((tuple(map(repr, r)) for r in result.fetchall()))
+    assert sorted(tuple(repr(r[c]) for c in names) for r in out.collect()) == theirs
+
+
 @pytest.fixture
 def log_folder(spark, tmp_path):
     raw = spark.createDataFrame(
