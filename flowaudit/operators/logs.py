@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowaudit.operators.ordered import SPLIT_ROWS, with_neighbour_text
+from flowaudit.operators.ordered import SPLIT_ROWS, with_neighbour_text, with_running_sum
 
 # Default line layout: <date> <time> @<server> -<LEVEL> <app> : <message>
 LINE_PATTERN = r"^(\d\S* \S+) @(\S+) -(\S+) (\S+) : (.*)$"
@@ -44,6 +44,43 @@ def parse_logs(
     )
 
 
+def parse_whole_logs(
+    lines: DataFrame,
+    pattern: str = LINE_PATTERN,
+    keys: Sequence[str] = ("file_path",),
+    order: Sequence[str] = ("block_start", "row_no"),
+    line: str = "value",
+    split_rows: int | None = SPLIT_ROWS,
+    **options: object,
+) -> DataFrame:
+    """Typed entries whose line is followed by the lines up to the next entry of the same file.
+
+    Lines that do not match (stack traces, garbled lines) belong to the entry before, so that
+    ``with_context`` shows them. Those ahead of the first entry of a file belong to none; they are
+    in ``log_rejects``, with all other lines that do not match. ``lines`` must carry ``keys`` and
+    ``order``, as ``read_logs`` gives them; further options are those of ``parse_logs``. ``lines``
+    is read up to three times.
+    """
+    matches = F.coalesce(F.col(line).rlike(pattern), F.lit(False))
+    flagged = lines.withColumn("__starts", matches.cast("bigint"))
+    numbered = with_running_sum(flagged, keys, order, {"__entry": "__starts"}, split_rows)
+    others = [c for c in lines.columns if c not in keys and c not in order and c != line]
+    place = F.struct(*order)
+    after = F.sort_array(F.collect_list(F.when(F.col("__starts") == 0, F.struct(*order, line))))
+    whole = (
+        numbered.where("__entry > 0")
+        .groupBy(*keys, "__entry")
+        .agg(F.min_by(F.struct(*order, line, *others), place).alias("__first"), after.alias("__after"))
+    )
+    texts = F.concat(F.array(F.col("__first")[line]), F.transform("__after", lambda a: a[line]))
+    heads = whole.select(
+        *[c if c in keys else F.col("__first")[c].alias(c) for c in lines.columns],
+        F.array_join(texts, "\n").alias("__text"),
+    )
+    parsed = parse_logs(heads, pattern, line=line, **options)
+    return parsed.withColumn(line, F.col("__text")).drop("__text")
+
+
 def log_rejects(lines: DataFrame, pattern: str = LINE_PATTERN, line: str = "value") -> DataFrame:
     """The lines that do not match."""
     return lines.where(~F.coalesce(F.col(line).rlike(pattern), F.lit(False)))

@@ -19,8 +19,17 @@ def read_payloads(spark: SparkSession, path: str, whole_files: bool = False) ->
 
 
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
-    """Log lines with the file they come from."""
-    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file_path"))
+    """Log lines with the file they come from and their place in it.
+
+    ``block_start`` is where the piece of the file begins that a task reads, ``row_no`` rises from
+    line to line within the piece; in this order the lines stand in the file.
+    """
+    return spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("row_no"),
+    )
 
 
 def stream_logs(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:

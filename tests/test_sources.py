@@ -127,3 +127,35 @@ def test_shuffle_settings_follow_the_volume():
     large = session.shuffle_settings(10**13, cores=16)
     assert small["spark.sql.shuffle.partitions"] == 16
     assert large["spark.sql.shuffle.partitions"] == -(-(10**13) // session.PARTITION_BYTES)
+
+
+@pytest.mark.parametrize("split", [None, 7])
+def test_lines_between_entries_are_part_of_the_context(spark, tmp_path, split):
+    """Stack traces and garbled lines stay with the entry before; files are read in small pieces."""
+    from flowaudit.operators import logs
+
+    kept, texts = {}, []
+    for name in ("a", "b"):
+        written, blocks = ["~~ ahead of all"], []
+        for n in range(40):
+            level = "ERROR" if n % 5 == 0 else "INFO"
+            block = [f"2024-01-01 00:00:{n:02d}.000000 @{name} -{level} app : m{n}"]
+            block += [f"\tat frame{n}.{k}" for k in range(n % 4)]
+            blocks.append("\n".join(block))
+            written += block
+        (tmp_path / f"{name}.log").write_text("\n".join(written) + "\n")
+        for n in range(0, 40, 5):
+            kept[name, f"m{n}"] = "\n".join(blocks[max(n - 1, 0) : n + 2])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        lines = landed.read_logs(spark, str(tmp_path))
+        assert lines.rdd.getNumPartitions() > 4
+        entries = logs.parse_whole_logs(lines, split_rows=split)
+        order = ("log_date", "file_path", "block_start", "row_no")
+        around = logs.errors_only(logs.with_context(entries, 1, 1, order=order, split_rows=split))
+        assert {(r.server, r.message): r.contextbuffertext for r in around.collect()} == kept
+        assert entries.count() == 80
+        ahead = [r.value for r in logs.log_rejects(lines).where("value like '~~%'").collect()]
+        assert ahead == ["~~ ahead of all"] * 2
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
