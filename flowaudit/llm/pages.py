@@ -13,7 +13,8 @@ could be main text out there is less than a quarter of the article's text; else
 part of the page among others.
 
 Second pass: an undecided block takes the label of its nearest decided neighbours. Inside an
-article the article itself counts as a good neighbour; elsewhere the ends of a page with
+article the article itself counts as a good one, and only a short block between two bad ones of the
+article, which outvote it, is bad; elsewhere the ends of a page with
 good blocks count as bad, and between two different neighbours, or where nothing is decided, its
 own stop words settle it, or its length if the page's language is not known.
 """
@@ -232,6 +233,10 @@ def label_blocks(
             b.label = "bad"
     decided = [b.label for b in blocks]
     after = _next_decided(decided)
+    # Neighbours inside the article, for the blocks in it.
+    own_labels = [b.label if b.in_article else "" for b in blocks]
+    own_after = _next_decided(own_labels)
+    own_before = _next_decided(own_labels[::-1])[::-1]
     before = edge = "bad" if "good" in decided else ""
     # Without a good block anywhere, menus say nothing about a text in a language not known.
     alone = strange and not edge
@@ -241,7 +246,8 @@ def label_blocks(
             continue
         near = {before, after[k] or edge} - {""}
         if b.in_article:
-            b.label = "good"
+            outvoted = own_before[k] == own_after[k] == "bad" and not b.heading and length[k] < long
+            b.label = "bad" if outvoted else "good"
         elif len(near) == 1 and not alone:
             b.label = near.pop()
         else:

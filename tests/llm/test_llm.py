@@ -480,6 +480,26 @@ def test_main_text_without_a_wrapper_or_a_stop_list(page, text):
     assert pages.main_text(page) == text
 
 
+AD = "<div class='ad'>Buy</div>"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        # Between two bad blocks of the article.
+        (f"<article><p>{LONG}</p>{AD}<p>Advertisement</p>{AD}<p>{LONG}</p></article>", f"{LONG.strip()} {LONG.strip()}"),
+        (f"<article><p>{LONG}</p><ul><li><a href=a>More</a><li>Share<li><a href=b>Less</a></ul></article>", LONG.strip()),
+        # One bad neighbour, or bad ones outside of the article only.
+        (f"<article><p>{LONG}</p><p>Share</p>{AD}</article>", f"{LONG.strip()} Share"),
+        (f"{AD}<article><p>Share</p></article>{AD}", "Share"),
+        # Headings and long blocks stay.
+        (f"<article>{AD}<h2>Head</h2>{AD}<p>{RUSSIAN}</p>{AD}<p>{LONG * 3}</p></article>", f"Head {RUSSIAN.strip()} {(LONG * 3).strip()}"),
+    ],
+)
+def test_neighbours_decide_inside_an_article(page, text):
+    assert pages.main_text(page) == text
+
+
 def test_extraction_keeps_columns_and_replaces_text(spark):
     df = spark.createDataFrame([(1, "u", "<article>x</article>", "old"), (1, "u", None, "old")], "page_id int, url string, html string, text string")
     assert sorted(r.text for r in pages.extract_pages(df).collect()) == ["", "x"]
