@@ -10,14 +10,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from flowaudit.plans.catalog import EXPECTED_SQL as SQL
+from flowaudit.plans.catalog import QUERIES
 
 DATA = os.environ.get("FLOWAUDIT_TEST_DATA", "/root/testdata/sf0.001")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
 
@@ -108,6 +108,9 @@ def test_only_the_hot_key_list_is_broadcast_by_hint(spark):
 
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
+    assert entry_point.queries().keys() >= QUERIES.keys()
+    assert entry_point.oracle_sql().keys() >= SQL.keys()
+    assert entry_point.oracle_sql().keys() <= entry_point.queries().keys()
 
 
 def test_all_tables_are_stored_in_their_schema(spark, tmp_path):
