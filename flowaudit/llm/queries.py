@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowaudit.llm import bitplanes, caps, chat, licenses, minhash, mixing, pages, pieces, rules, sketches
+from flowaudit.llm import (
+    alignment,
+    bitplanes,
+    caps,
+    chat,
+    decontaminate,
+    divergence,
+    licenses,
+    minhash,
+    mixing,
+    pages,
+    pieces,
+    rules,
+    sketches,
+)
 from flowaudit.llm.scratch import Scratch
 from flowaudit.llm.tokens import library_encoder
 from flowaudit.session import fresh_path, use_utc
@@ -110,11 +124,31 @@ def op10_block_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+def op11_arrow_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How byte-level ids and piece ids of every document cover each other."""
+    return alignment.align_vocabularies(
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
+def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in a benchmark item."""
+    return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources set against the other sources and the terms of their language."""
+    return divergence.divergence(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_bit_planes, op2_minhash, op3_paragraph_sketch, op4_cap_filters, op5_license_index,
         op6_source_mix, op7_chat_parts, op8_piece_backtracking, op9_rule_ensemble, op10_block_rules,
+        op11_arrow_alignment, op12_winnowing, op13_source_divergence,
     )
 }
 
@@ -229,4 +263,84 @@ EXPECTED_SQL = {
             sum(chars)::bigint as formatted_chars
         from l group by conv_id
     """,
+    "op12_winnowing": f"""
+        with d as (
+            select row_number() over () as row_id, doc_id,
+                regexp_extract_all({_LOWER},
+                    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+            from documents
+        ),
+        i as (
+            select coalesce(item_id::varchar, '') as item,
+                regexp_extract_all({_LOWER},
+                    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+            from benchmark
+        ),
+        iw as (
+            select distinct item, n, array_to_string(w[s : s + n - 1], ' ') as run
+            from (select item, w, least(len(w), 10) as n, unnest(range(1, len(w) - least(len(w), 10) + 2)) as s
+                from i where len(w) > 0)
+        ),
+        dw as (
+            select row_id, s, n, array_to_string(w[s : s + n - 1], ' ') as run
+            from (select row_id, w, n, unnest(range(1, (len(w) - n + 2)::bigint)) as s
+                from d, (select distinct n from iw) where len(w) >= n)
+        ),
+        m as (select row_id, s, dw.n, item from dw join iw on dw.n = iw.n and dw.run = iw.run),
+        h as (select row_id, count(distinct p) as n_hit from (select row_id, unnest(range(s, s + n)) as p from m) group by 1),
+        t as (
+            select row_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+            from (select distinct row_id, item from m) group by 1
+        )
+        select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+            sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+        from d left join h using (row_id) left join t using (row_id)
+    """,
+    "op13_source_divergence": f"""
+        with d as (
+            select coalesce(lang, '') as lang, coalesce(source, '') as source, row_number() over () as row_id,
+                {_LOWER} as t
+            from documents
+        ),
+        w as (
+            select lang, source, row_id,
+                unnest(regexp_extract_all(t, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term
+            from d
+        ),
+        k as (
+            select lang, term, count(*) as lang_n from w group by lang, term having count(distinct row_id) >= 30
+        ),
+        v as (select lang, count(*) as kept, sum(lang_n) as lang_total from k group by lang),
+        c as (select lang, source, term, count(*) as n from w join k using (lang, term) group by all),
+        g as (
+            select a.lang, a.source, coalesce(b.total, 0) as total, coalesce(v.kept, 0) as kept
+            from (select distinct lang, source from d) a
+            left join (select lang, source, sum(n) as total from c group by all) b using (lang, source)
+            left join v using (lang)
+        ),
+        p as (
+            select g.lang, g.source, k.term, coalesce(c.n, 0) as n,
+                1 + 1000000000::hugeint * (coalesce(c.n, 0) + 5) // (g.total + 5 * g.kept) as p,
+                1 + 1000000000::hugeint * (k.lang_n + 5) // (v.lang_total + 5 * v.kept) as q
+            from g join k using (lang) join v using (lang) left join c using (lang, source, term)
+        ),
+        s as (
+            select x.lang, x.source, y.source as item, sum(abs(x.p - y.p)) as value
+            from p x join p y on x.lang = y.lang and x.term = y.term and x.source <> y.source group by all
+        ),
+        pairs as (
+            select x.lang, x.source, 'pair' as part, y.source as item, coalesce(s.value, 0)::bigint as value
+            from g x join g y on x.lang = y.lang and x.source <> y.source
+            left join s on s.lang = x.lang and s.source = x.source and s.item = y.source
+        ),
+        scored as (
+            select * from pairs
+            union all
+            select lang, source, 'term', term, (p - q)::bigint from p where n > 0 and p > q
+        ),
+        ranked as (
+            select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank from scored
+        )
+        select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 50
+    """,
 }
