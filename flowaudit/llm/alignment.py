@@ -44,6 +44,7 @@ from flowaudit.llm.segments import (
     byte_level_entries,
     bytes_of,
     piece_entries,
+    row_ranges,
     segment_ids,
     segments,
     taken,
@@ -149,12 +150,8 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, pa.LargeStringArr
     front = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", " ").cast(pa.large_string())
     texts = pc.binary_join_element_wise(front, texts, _text(""))
     _, places = bytes_of(texts)
-    low = 0
-    while low < len(texts):
-        high = int(np.searchsorted(places, places[low] + BLOCK_BYTES, side="right")) - 1
-        high = min(max(high, low + 1), len(texts))
+    for low, high in row_ranges(places, BLOCK_BYTES):
         yield batch.column("id").slice(low, high - low), texts.slice(low, high - low)
-        low = high
 
 
 def _read_texts(make: Callable[[], Vocabularies], schema: pa.Schema):
@@ -245,10 +242,7 @@ def _texts_of_pairs(
     """How many texts hold each pair, texts being lists of segments and segments lists of links."""
     counts = np.zeros(n_pairs, dtype=np.int64)
     of_segment = pa.LargeListArray.from_arrays(pa.array(link_places.astype(np.int64)), pa.array(links))
-    low, n = 0, len(places) - 1
-    while low < n:
-        high = int(np.searchsorted(places, places[low] + _COUNTED, side="right")) - 1
-        high = min(max(high, low + 1), n)
+    for low, high in row_ranges(places, _COUNTED):
         text = np.repeat(np.arange(high - low), np.diff(places[low : high + 1]))
         held = np.unique(text * len(of_segment) + numbers[places[low] : places[high]])
         if len(held):
@@ -260,7 +254,6 @@ def _texts_of_pairs(
             once = met.group_by(["text", "pair"], use_threads=False).aggregate([])
             found = once.group_by("pair", use_threads=False).aggregate([([], "count_all")])
             counts[found["pair"].to_numpy()] += found["count_all"].to_numpy()
-        low = high
     return counts
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowaudit.llm.scratch import Scratch
-from flowaudit.llm.segments import bytes_of
+from flowaudit.llm.segments import bytes_of, row_ranges
 
 #: Bytes of text worked on together (a longer text stands alone), and counts held before they are given out.
 SLICE_BYTES = 8 << 20
@@ -51,12 +51,8 @@ _COUNTS = "lang string, source string, digest bigint, term string, n bigint, doc
 
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     _, places = bytes_of(batch.column("text").cast(pa.large_string()).fill_null(""))
-    low = 0
-    while low < len(batch):
-        high = int(np.searchsorted(places, places[low] + SLICE_BYTES, side="right")) - 1
-        high = min(max(high, low + 1), len(batch))
+    for low, high in row_ranges(places, SLICE_BYTES):
         yield batch.slice(low, high - low)
-        low = high
 
 
 def _terms(texts: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray, np.ndarray]:

@@ -9,7 +9,7 @@ segments' ids taken in order.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -63,6 +63,16 @@ def bytes_of(column: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
     return data[places[0] : places[-1]], places - places[0]
 
 
+def row_ranges(places: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of at most ``most`` bytes in order; a longer text stands alone."""
+    low, n = 0, len(places) - 1
+    while low < n:
+        high = int(np.searchsorted(places, places[low] + most, side="right")) - 1
+        high = min(max(high, low + 1), n)
+        yield low, high
+        low = high
+
+
 class Vocabulary(NamedTuple):
     """An encoder of many strings, the bytes of each id, and the bytes it puts in front of a string."""
 
