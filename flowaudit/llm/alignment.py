@@ -40,12 +40,12 @@ from pyspark.sql.types import StructType
 
 from flowaudit.llm.scratch import Scratch
 from flowaudit.llm.segments import (
+    Remembered,
     Vocabulary,
     byte_level_entries,
     bytes_of,
     piece_entries,
     row_ranges,
-    segment_ids,
     segments,
     taken,
 )
@@ -58,12 +58,14 @@ _TEXT, _PAIR, _LINKS = 0, 1, 2
 
 
 class Vocabularies(NamedTuple):
-    """Both encoders, and the decimal form of every id of each."""
+    """Both encoders, the decimal form of every id of each, and the segments they have seen."""
 
     first: Vocabulary
     second: Vocabulary
     first_names: pa.LargeStringArray
     second_names: pa.LargeStringArray
+    first_ids: Remembered
+    second_ids: Remembered
 
 
 @lru_cache(maxsize=2)
@@ -94,7 +96,8 @@ def load_vocabularies(byte_level_path: str, pieces_path: str) -> Vocabularies:
         0,
     )
     second = Vocabulary(lambda texts: pieces.encode(texts, num_threads=1), entries, 1)
-    return Vocabularies(first, second, names(len(first.entries)), names(len(second.entries)))
+    both = names(len(first.entries)), names(len(second.entries))
+    return Vocabularies(first, second, *both, Remembered(first), Remembered(second))
 
 
 class Aligned(NamedTuple):
@@ -180,8 +183,8 @@ def _as(values, kind: pa.DataType, rows: int) -> pa.Array:
 def _block_rows(ids: pa.Array, texts: pa.LargeStringArray, vocabularies: Vocabularies) -> Iterator[dict]:
     block = uuid.uuid4().hex
     cut = segments(*bytes_of(texts))
-    first, good_first = segment_ids(cut.distinct, vocabularies.first)
-    second, good_second = segment_ids(cut.distinct, vocabularies.second)
+    first, good_first = vocabularies.first_ids.ids(cut.distinct)
+    second, good_second = vocabularies.second_ids.ids(cut.distinct)
     good = good_first & good_second
     # A text with a segment whose bytes do not come back has no tokens.
     spoilt = np.concatenate([[0], np.cumsum(~good[cut.numbers])])
@@ -244,7 +247,8 @@ def _texts_of_pairs(
     of_segment = pa.LargeListArray.from_arrays(pa.array(link_places.astype(np.int64)), pa.array(links))
     for low, high in row_ranges(places, _COUNTED):
         text = np.repeat(np.arange(high - low), np.diff(places[low : high + 1]))
-        held = np.unique(text * len(of_segment) + numbers[places[low] : places[high]])
+        held = np.sort(text * len(of_segment) + numbers[places[low] : places[high]])
+        held = held[np.concatenate([[True], held[1:] != held[:-1]])] if len(held) else held
         if len(held):
             lists = of_segment.take(pa.array(held % len(of_segment)))
             parents = pc.list_parent_indices(lists)

@@ -2,13 +2,14 @@
 
 Terms are counted per language and source with late string materialization:
 
-1. One pass cuts texts into terms and counts them, combined per task. A term gets a 64-bit digest.
-   Counts go to the shared folder with digest and string side by side; as files hold columns
-   apart, what follows reads strings only where it needs them.
-2. Document counts are shuffled by language and digest and leave the digests that may be in enough
-   documents. For those alone the smallest and the largest string of a digest are found. Where they
-   differ the digest stands for several terms, and its rows are counted by string; all other
-   rows travel as digests.
+1. A first pass over the texts counts documents by language and 64-bit digest of the term, combined
+   per task. What is shuffled is digests; those that may be in enough documents are marked in a
+   bitmap of fixed size.
+2. A second pass counts by source the terms whose digest is marked, and stores digest and string side
+   by side; as files hold columns apart, what follows reads strings only where it needs them. The
+   smallest and the largest string of each digest are found. Where they differ the digest stands for
+   several terms, and its rows are counted by string; all other rows travel as digests. Terms that
+   the bitmap let through by chance, or with others of their digest, fall to their exact counts.
 3. Shares are exact integers. The best terms of a source are cut by value first, ties included; their
    strings are joined to what is left and settle the ties.
 4. Distances of all pairs of sources are summed over slices of terms: a task holds the shares of up
@@ -18,7 +19,7 @@ Terms are counted per language and source with late string materialization:
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -39,6 +40,8 @@ SLICE_COUNTS = 200_000
 #: Shares are counted in parts of this.
 PARTS = 1_000_000_000
 _CELLS = 1 << 20
+#: Bits of the map of digests that may be kept: 2 MB, a power of two.
+BITMAP_BITS = 1 << 24
 
 #: Lower-cased letters and all bytes of characters beyond ASCII; a space for every other byte.
 _TERM_BYTES = np.full(256, 32, dtype=np.uint8)
@@ -46,7 +49,7 @@ _TERM_BYTES[97:123] = np.arange(97, 123)
 _TERM_BYTES[65:91] = np.arange(97, 123)
 _TERM_BYTES[128:] = np.arange(128, 256)
 
-_COUNTS = "lang string, source string, digest bigint, term string, n bigint, docs bigint"
+_COUNTS = "digest bigint, term string, n bigint, docs bigint"
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -75,15 +78,18 @@ def _terms(texts: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray,
     return trimmed.dictionary, text[held], numbers[held]
 
 
-def _counter(digest_bits: int):
+def _counter(names: Sequence[str], digest_bits: int, bitmap: np.ndarray | None = None):
+    """Texts to counts per group and term; with a bitmap only of terms whose digest may be in it."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pa.set_cpu_count(1)
-        held = _Held(digest_bits)
+        held = _Held(names, digest_bits, bitmap)
         for batch in batches:
             for part in _slices(batch):
                 held.add(part)
                 if held.rows > HELD:
                     yield held.take()
+            pa.default_memory_pool().release_unused()
         yield held.take()
 
     return run
@@ -92,50 +98,58 @@ def _counter(digest_bits: int):
 class _Held:
     """Counts of several slices, combined when they are taken."""
 
-    def __init__(self, digest_bits: int):
+    def __init__(self, names: Sequence[str], digest_bits: int, bitmap: np.ndarray | None):
+        self.names = names
         self.mask = np.uint64((1 << digest_bits) - 1)
+        self.bitmap = bitmap
         self._clear()
 
     def _clear(self) -> None:
         self.rows = 0
-        self.groups: dict[tuple[str, str], int] = {}
+        self.groups: dict[tuple[str, ...], int] = {}
         self.terms: list[pa.LargeStringArray] = []
+        self.digests: list[np.ndarray] = []
         self.counts: list[tuple[np.ndarray, ...]] = []
 
+    def _digests(self, terms: pa.LargeStringArray) -> np.ndarray:
+        strings = np.array(terms.to_pylist(), dtype=object)
+        found = pd.util.hash_array(strings, categorize=False) if len(strings) else np.zeros(0)
+        return (found.astype(np.uint64) & self.mask).view(np.int64)
+
     def add(self, part: pa.RecordBatch) -> None:
-        names = zip(part.column("lang").to_pylist(), part.column("source").to_pylist())
-        group = np.array([self.groups.setdefault(g, len(self.groups)) for g in names], dtype=np.int64)
+        named = zip(*[part.column(c).to_pylist() for c in self.names])
+        group = np.array([self.groups.setdefault(g, len(self.groups)) for g in named], dtype=np.int64)
         terms, text, numbers = _terms(part.column("text").cast(pa.large_string()).fill_null(""))
-        in_text, n = np.unique(text * max(len(terms), 1) + numbers, return_counts=True)
-        docs = np.ones(len(n), dtype=np.int64)
-        key = group[in_text // max(len(terms), 1)] * len(terms) + in_text % max(len(terms), 1)
-        key, n, docs = _summed(key, n, docs)
-        offset = sum(map(len, self.terms))
+        digests = self._digests(terms)
+        if self.bitmap is not None:
+            wanted = _in_bitmap(digests, self.bitmap)
+            kept = wanted[numbers]
+            text, numbers = text[kept], (np.cumsum(wanted) - 1)[numbers[kept]]
+            terms, digests = terms.filter(pa.array(wanted)), digests[wanted]
+        known = max(len(terms), 1)
+        in_text, n = np.unique(text * known + numbers, return_counts=True)
+        key, n, docs = _summed(group[in_text // known] * known + in_text % known, n, np.ones(len(n)))
+        self.counts.append((key // known, key % known + sum(map(len, self.terms)), n, docs))
         self.terms.append(terms)
-        self.counts.append((key // max(len(terms), 1), key % max(len(terms), 1) + offset, n, docs))
+        self.digests.append(digests)
         self.rows += len(key)
 
     def take(self) -> pa.RecordBatch:
-        counts = [np.concatenate(c) for c in zip(*self.counts)] or [np.zeros(0, np.int64)] * 4
-        group, number, n, docs = counts
+        group, number, n, docs = [np.concatenate(c) for c in zip(*self.counts)] or [np.zeros(0, np.int64)] * 4
         coded = pa.chunked_array(self.terms, pa.large_string()).combine_chunks().dictionary_encode()
-        known = max(len(coded.dictionary), 1)
-        key, n, docs = _summed(group * known + coded.indices.to_numpy()[number], n, docs)
-        strings = coded.dictionary.to_pylist()
-        digests = pd.util.hash_array(np.array(strings, dtype=object), categorize=False) if strings else np.zeros(0)
-        digests = (digests.astype(np.uint64) & self.mask).view(np.int64)
-        names = list(self.groups) or [("", "")]
-        at, term = key // known, key % known
-        columns = [
-            pa.array([g[0] for g in names], pa.string()).take(pa.array(at)),
-            pa.array([g[1] for g in names], pa.string()).take(pa.array(at)),
-            pa.array(digests[term]),
-            coded.dictionary.take(pa.array(term)).cast(pa.string()),
-            pa.array(n),
-            pa.array(docs),
-        ]
+        numbers = coded.indices.to_numpy()
+        digests = np.zeros(len(coded.dictionary), dtype=np.int64)
+        if self.digests:
+            digests[numbers] = np.concatenate(self.digests)
+        known = max(len(digests), 1)
+        key, n, docs = _summed(group * known + numbers[number], n, docs)
+        at, term = pa.array(key // known), key % known
+        names = list(zip(*self.groups)) or [[]] * len(self.names)
+        columns = [pa.array(column, pa.string()).take(at) for column in names]
+        terms = coded.dictionary.take(pa.array(term)).cast(pa.string())
+        columns += [pa.array(digests[term]), terms, pa.array(n), pa.array(docs)]
         self._clear()
-        return pa.RecordBatch.from_arrays(columns, ["lang", "source", "digest", "term", "n", "docs"])
+        return pa.RecordBatch.from_arrays(columns, [*self.names, "digest", "term", "n", "docs"])
 
 
 def _summed(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -148,6 +162,22 @@ def _summed(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     return key[first], *(np.add.reduceat(v[order].astype(np.int64), first) for v in values)
 
 
+def _bitmap(digests: DataFrame) -> np.ndarray:
+    """A bitmap of ``BITMAP_BITS`` bits, whatever the number of digests, with the bit of each one set."""
+    place = F.col("digest").bitwiseAND(BITMAP_BITS - 1)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place.bitwiseAND(31).cast("int"))
+    words = digests.select(F.shiftright(place, 5).alias("word"), bit.alias("bit"))
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bitmap = np.zeros(BITMAP_BITS >> 5, dtype=np.uint32)
+    bitmap[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return bitmap
+
+
+def _in_bitmap(digests: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    place = digests & (BITMAP_BITS - 1)
+    return (bitmap[place >> 5] >> (place & 31).astype(np.uint32) & 1).astype(bool)
+
+
 def share(count: Column, total: Column, kept: Column) -> Column:
     """1 + floor(PARTS * (count + 5) / (total + 5 * kept)), exact; null where nothing is kept."""
     wide = "decimal(38,0)"
@@ -188,11 +218,11 @@ def divergence(
         ]
     )
     groups = scratch.keep(rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("rows")))
-    counted = scratch.keep(rows.mapInArrow(_counter(digest_bits), _COUNTS))
-    counts, vocabulary = _kept_counts(counted, least_docs, scratch)
+    counts, vocabulary = _kept_counts(rows, least_docs, digest_bits, scratch)
 
-    of_term = counts.groupBy("lang", "digest", "split").agg(F.sum("n").alias("lang_n"))
-    of_lang = of_term.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("lang_n").alias("lang_total"))
+    of_lang = counts.groupBy("lang").agg(
+        F.count(F.when(F.col("first"), 1)).alias("kept"), F.sum("n").alias("lang_total")
+    )
     of_group = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("filled"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
     zero = F.lit(0).cast("bigint")
@@ -204,51 +234,49 @@ def divergence(
         .withColumn("none", F.coalesce(share(zero, F.col("total"), F.col("kept")), zero))
         .select("lang", "source", "place", "total", "filled", "kept", "lang_total", "none")
     )
-    shares = counts.join(groups.select("lang", "source", "place", "total", "kept"), ["lang", "source"]).withColumn(
-        "p", share(F.col("n"), F.col("total"), F.col("kept"))
+    of_source = groups.select("lang", "source", "place", "total", "kept", "lang_total")
+    shares = (
+        counts.join(of_source, ["lang", "source"])
+        .withColumn("p", share(F.col("n"), F.col("total"), F.col("kept")))
+        .withColumn("q", share(F.col("lang_n"), F.col("lang_total"), F.col("kept")))
+        .select("lang", "source", "place", "digest", "split", "p", "q")
     )
-    terms = _best_terms(shares, of_term, groups, vocabulary, top)
+    terms = _best_terms(shares, vocabulary, top)
     pairs = _distances(shares, groups, block_sources, slice_counts)
     columns = ["lang", "source", "part", "item", "value", "rank"]
     return pairs.select(*columns).unionByName(terms.select(*columns))
 
 
-def _kept_counts(counted: DataFrame, least_docs: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Counts (lang, source, digest, split, n) of kept terms, and the strings (digest, low) of digests.
+def _kept_counts(rows: DataFrame, least_docs: int, digest_bits: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Counts of kept terms in groups, and the strings (digest, low) of their digests.
 
-    ``split`` is the term where its digest stands for several terms, else null.
+    Counts are (lang, source, digest, split, n, lang_n, first): ``split`` is the term where its digest
+    stands for several terms, else null; ``lang_n`` counts the whole language, and one row of each
+    term of a language is its first.
     """
-    enough = F.sum("docs") >= least_docs
-    maybe = scratch.keep(
-        counted.groupBy("lang", "digest").agg(enough.alias("enough")).where("enough").select("lang", "digest")
-    )
-    left = counted.join(maybe, ["lang", "digest"])
-    strings = left.select("digest", "term").distinct()
+    seen = rows.select("lang", "text").mapInArrow(_counter(["lang"], digest_bits), f"lang string, {_COUNTS}")
+    maybe = seen.groupBy("lang", "digest").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least_docs)
+    bitmap = _bitmap(maybe)
+    kinds = f"lang string, source string, {_COUNTS}"
+    counted = scratch.keep(rows.mapInArrow(_counter(["lang", "source"], digest_bits, bitmap), kinds))
+    strings = counted.select("digest", "term").distinct()
     vocabulary = scratch.keep(strings.groupBy("digest").agg(F.min("term").alias("low"), F.max("term").alias("high")))
-    shared = vocabulary.where("low < high").select(F.col("digest").alias("of"))
-    marked = left.join(shared, F.col("digest") == F.col("of"), "left").withColumn(
+    several = vocabulary.where("low < high").select(F.col("digest").alias("of"))
+    marked = counted.join(several, F.col("digest") == F.col("of"), "left").withColumn(
         "split", F.when(F.col("of").isNotNull(), F.col("term"))
     )
-    summed = scratch.keep(
-        marked.groupBy("lang", "source", "digest", "split").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    )
-    kept = summed.groupBy("lang", "digest", "split").agg(enough.alias("enough")).where("enough")
-    kept = kept.select(F.col("lang").alias("l"), F.col("digest").alias("d"), F.col("split").alias("s"))
-    same = (F.col("lang") == F.col("l")) & (F.col("digest") == F.col("d")) & F.col("split").eqNullSafe(F.col("s"))
-    counts = scratch.keep(summed.join(kept, same).select("lang", "source", "digest", "split", "n"))
-    return counts, vocabulary.select("digest", "low")
-
-
-def _best_terms(shares: DataFrame, of_term: DataFrame, groups: DataFrame, vocabulary: DataFrame, top: int) -> DataFrame:
-    totals = groups.select("lang", "kept", "lang_total").distinct()
-    q = of_term.join(totals, "lang").select(
-        F.col("lang").alias("l"),
-        F.col("digest").alias("d"),
-        F.col("split").alias("s"),
-        share(F.col("lang_n"), F.col("lang_total"), F.col("kept")).alias("q"),
-    )
-    same = (F.col("lang") == F.col("l")) & (F.col("digest") == F.col("d")) & F.col("split").eqNullSafe(F.col("s"))
-    above = shares.join(q, same).where("p > q").withColumn("value", F.col("p") - F.col("q"))
+    summed = marked.groupBy("lang", "source", "digest", "split").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    of_term = Window.partitionBy("lang", "digest", "split")
+    whole = summed.select(
+        "*", F.sum("n").over(of_term).alias("lang_n"), F.sum("docs").over(of_term).alias("lang_docs"),
+        (F.row_number().over(of_term.orderBy("source")) == 1).alias("first"),
+    )
+    counts = whole.where(F.col("lang_docs") >= least_docs).drop("docs", "lang_docs")
+    return scratch.keep(counts), vocabulary.select("digest", "low")
+
+
+def _best_terms(shares: DataFrame, vocabulary: DataFrame, top: int) -> DataFrame:
+    above = shares.where("p > q").withColumn("value", F.col("p") - F.col("q"))
     by_value = Window.partitionBy("lang", "source").orderBy(F.desc("value"))
     ties = above.withColumn("at", F.rank().over(by_value)).where(F.col("at") <= top)
     ties = ties.select("lang", "source", "digest", "split", "value")

@@ -18,6 +18,8 @@ import pyarrow.compute as pc
 
 #: Bytes of segments that are joined to one string for the library.
 _JOINED = 1 << 15
+#: Segments kept for the blocks to come, and the bytes of the longest worth keeping.
+REMEMBERED, _SHORT = 1_000_000, 64
 _GAP = np.zeros(256, dtype=bool)
 _GAP[[10, 32]] = True
 _PRINTED = np.zeros(256, dtype=bool)
@@ -48,7 +50,10 @@ def segments(data: np.ndarray, places: np.ndarray) -> Segments:
     """Cut texts, given as their bytes and the n + 1 places where they start and end."""
     gaps = np.flatnonzero(_GAP[data])
     gaps = gaps[gaps > 0]
-    cuts = np.union1d(gaps[_solid(data, gaps)], places[:-1][np.diff(places) > 0])
+    cut = np.zeros(len(data), dtype=bool)
+    cut[gaps[_solid(data, gaps)]] = True
+    cut[places[:-1][np.diff(places) > 0]] = True
+    cuts = np.flatnonzero(cut)
     offsets = np.append(cuts, len(data)).astype(np.int64)
     found = pa.LargeStringArray.from_buffers(len(cuts), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data)))
     coded = found.dictionary_encode()
@@ -139,6 +144,37 @@ def segment_ids(distinct: pa.LargeStringArray, vocabulary: Vocabulary) -> tuple[
     return lists, _same_bytes(distinct, lists, vocabulary.entries)
 
 
+class Remembered:
+    """``segment_ids`` that keeps short segments of earlier blocks, at most ``REMEMBERED`` of them."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = pa.array([], pa.large_string())
+        self.lists = pa.array([], pa.large_list(pa.int32()))
+        self.good = np.zeros(0, dtype=bool)
+
+    def ids(self, distinct: pa.LargeStringArray) -> tuple[pa.LargeListArray, np.ndarray]:
+        at = pc.index_in(distinct, value_set=self.known)
+        missing = pc.is_null(at)
+        new = distinct.filter(missing)
+        new_lists, new_good = segment_ids(new, self.vocabulary)
+        places = at.fill_null(0).to_numpy().astype(np.int64)
+        places[missing.to_numpy(zero_copy_only=False)] = len(self.known) + np.arange(len(new))
+        lists = pa.concat_arrays([self.lists, new_lists]).take(pa.array(places))
+        good = np.concatenate([self.good, new_good])[places]
+        if len(self.known) + len(new) > REMEMBERED:
+            self._forget()
+            new, new_lists, new_good = distinct, lists, good
+        short = pc.less_equal(pc.binary_length(new), _SHORT)
+        self.known = pa.concat_arrays([self.known, new.filter(short)])
+        self.lists = pa.concat_arrays([self.lists, new_lists.filter(short)])
+        self.good = np.concatenate([self.good, new_good[short.to_numpy(zero_copy_only=False)]])
+        return lists, good
+
+
 def _same_bytes(distinct: pa.LargeStringArray, lists: pa.LargeListArray, entries: pa.LargeBinaryArray) -> np.ndarray:
     ours, theirs = _joined_bytes(lists, entries), bytes_of(distinct)
     same = np.diff(ours[1]) == np.diff(theirs[1])

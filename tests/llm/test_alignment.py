@@ -69,6 +69,21 @@ def test_piece_ids_of_segments_and_texts_whose_bytes_do_not_come_back(vocabulari
         assert bad or ids == wanted
 
 
+def test_remembered_segments_have_the_same_ids(monkeypatch, vocabularies):
+    from flowaudit.llm import segments as module
+
+    remembered = module.Remembered(vocabularies.second)
+    for most in (1_000_000, 40):
+        monkeypatch.setattr(module, "REMEMBERED", most)
+        for seed in range(4):
+            texts = [" " + t for t in random_texts(60, seed=seed % 2 + 10)] + [" " + "x" * 200]
+            distinct = segments(*bytes_of(pa.array(texts, pa.large_string()))).distinct
+            lists, good = remembered.ids(distinct)
+            wanted, wanted_good = segment_ids(distinct, vocabularies.second)
+            assert lists.to_pylist() == wanted.to_pylist() and (good == wanted_good).all()
+            assert len(remembered.known) == len(remembered.lists) == len(remembered.good)
+
+
 def brute(texts, vocabularies):
     from sentencepiece import SentencePieceProcessor
     from tokenizers import Tokenizer

@@ -99,7 +99,7 @@ def test_counts_do_not_depend_on_slices(monkeypatch):
 
     def summed():
         total: Counter = Counter()
-        for part in divergence._counter(64)(iter([batch])):
+        for part in divergence._counter(["lang", "source"], 64)(iter([batch])):
             for r in part.to_pylist():
                 key = r["lang"], r["source"], r["digest"], r["term"]
                 total[key, "n"] += r["n"]
