@@ -31,9 +31,14 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from flowaudit.llm.segments import row_ranges
+from flowaudit.llm.textops import text_bytes
+
 MAGIC = b"BPLANES1"
 _ENTRY = struct.Struct("<QIIIB")
-Encoder = Callable[[Sequence[str]], list[bytes]]
+#: Bytes of text encoded together; a longer text stands alone.
+ENCODED_BYTES = 8 << 20
+Encoder = Callable[[pa.Array], list[bytes]]
 
 
 def planes_of(ids: np.ndarray, unit: str = "bit") -> list[bytes]:
@@ -206,7 +211,8 @@ def write_shards(
 ) -> DataFrame:
     """Encode every text, append ``end_id``, write shards in ascending id order and a manifest.
 
-    ``encoder`` is called once per task and gives a function from texts to little-endian id bytes.
+    ``encoder`` is called once per task and gives a function from an Arrow array of texts to
+    the little-endian id bytes of each.
     Returns the manifest: shard (in order), file, n_ids, n_documents, first (ids before it).
 
     Defined results: a null text counts as empty and has the end id only; rows without id come
@@ -226,9 +232,9 @@ def write_shards(
                 writer, encode = ShardWriter(out, block_ids, unit, level), encoder()
                 shard = batch.column("shard")[0].as_py()
             names, texts = batch.column("id"), batch.column("text")
-            for low in range(0, len(batch), 512):
-                found = encode([t or "" for t in texts.slice(low, 512).to_pylist()])
-                for doc, ids in zip(names.slice(low, 512).to_pylist(), found):
+            for low, high in row_ranges(text_bytes(texts)[1], ENCODED_BYTES):
+                found = encode(texts.slice(low, high - low))
+                for doc, ids in zip(names.slice(low, high - low).to_pylist(), found):
                     writer.add(doc, ids + end)
         if writer is not None:
             writer.close()

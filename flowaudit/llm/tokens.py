@@ -1,34 +1,27 @@
-"""Ids of a vocabulary file of the tokenizers library, without encoding a word twice.
-
-The byte-level scheme splits a text into words before it merges, and no word reaches over the
-place between a character that is not white space and a space or line end after it. Texts are cut
-there, pieces that were seen before are looked up, and the library encodes the others together.
-"""
+"""Ids of a vocabulary file of the tokenizers library, each distinct segment encoded once."""
 
 from __future__ import annotations
 
 import os
 import re
-import sys
-from array import array
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
+
+import pyarrow as pa
 
-#: Pieces kept per worker, and the longest piece worth keeping.
-REMEMBERED = 800_000
-_LONGEST = 48
-_PIECES = re.compile(r"\s*\S+|\s+")
-#: White space to Python but not to the library: a text that holds one is not cut.
-_ODD = re.compile("[\x1c-\x1f]")
-_loaded: dict[str, Callable[[Sequence[str]], list[bytes]]] = {}
+from flowaudit.llm.segments import Remembered, Vocabulary, byte_level_entries, segments, taken
+from flowaudit.llm.textops import text_bytes
 
+_loaded: dict[str, Callable[[pa.Array], list[bytes]]] = {}
 
-def library_encoder(path: str) -> Callable[[], Callable[[Sequence[str]], list[bytes]]]:
+
+def library_encoder(path: str) -> Callable[[], Callable[[pa.Array], list[bytes]]]:
     """A maker of encoders for ``bitplanes.write_shards``: texts to little-endian id bytes.
 
-    Equal to ``Tokenizer.encode(text, add_special_tokens=False).ids`` for every text.
+    Equal to ``Tokenizer.encode(text, add_special_tokens=False).ids`` for every text; null counts as
+    empty. The vocabulary must be a byte-level one whose added tokens hold and take no white space.
     """
 
-    def make() -> Callable[[Sequence[str]], list[bytes]]:
+    def make() -> Callable[[pa.Array], list[bytes]]:
         if path not in _loaded:
             _loaded[path] = _encoder(path)
         return _loaded[path]
@@ -36,50 +29,27 @@ def library_encoder(path: str) -> Callable[[], Callable[[Sequence[str]], list[by
     return make
 
 
-def _encoder(path: str) -> Callable[[Sequence[str]], list[bytes]]:
+def _encoder(path: str) -> Callable[[pa.Array], list[bytes]]:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(path)
-    special = [t.content for t in library.get_added_tokens_decoder().values()]
-    uncut = re.compile("|".join([_ODD.pattern, *map(re.escape, special)]))
-    young: dict[str, bytes] = {}
-    old: dict[str, bytes] = {}
-
-    def learn(pieces: list[str]) -> None:
-        found = library.encode_batch_fast(pieces, add_special_tokens=False)
-        for piece, ids in zip(pieces, found):
-            young[piece] = _bytes(ids.ids)
-
-    def encode(texts: Sequence[str]) -> list[bytes]:
-        nonlocal young, old
-        if len(young) > REMEMBERED // 2:
-            young, old = {}, young
-        cut = [[t] if uncut.search(t) else _PIECES.findall(t) for t in texts]
-        found = [[*map(young.get, pieces)] for pieces in cut]
-        new: set[str] = set()
-        for pieces, ids in zip(cut, found):
-            if None in ids:
-                new.update([p for p, known in zip(pieces, ids) if known is None])
-        for p in [p for p in new if p in old]:
-            young[p] = old[p]
-            new.remove(p)
-        learn(list(new))
-        out = [
-            b"".join([known or young[p] for p, known in zip(pieces, ids)] if None in ids else ids)
-            for pieces, ids in zip(cut, found)
-        ]
-        for p in new:
-            if len(p) > _LONGEST:
-                del young[p]
-        return out
+    for token in library.get_added_tokens_decoder().values():
+        if token.lstrip or token.rstrip or re.search(r"\s", token.content):
+            raise ValueError(f"added token {token.content!r} reaches over white space")
+    remembered = Remembered(
+        Vocabulary(
+            lambda texts: [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)],
+            byte_level_entries(library),
+            0,
+        )
+    )
+
+    def encode(texts: pa.Array) -> list[bytes]:
+        cut = segments(*text_bytes(texts))
+        lists, _ = remembered.ids(cut.distinct)
+        flat, places = taken(lists, cut.numbers, cut.places)
+        raw = flat.astype("<u4").tobytes()
+        return [raw[4 * a : 4 * b] for a, b in zip(places[:-1].tolist(), places[1:].tolist())]
 
     return encode
-
-
-def _bytes(ids: list[int]) -> bytes:
-    """Ids as little-endian unsigned 32-bit integers."""
-    packed = array("I", ids)
-    if sys.byteorder == "big":
-        packed.byteswap()
-    return packed.tobytes()
