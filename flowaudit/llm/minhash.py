@@ -6,7 +6,7 @@ counts is confirmed on the full sets.
 
 1. One pass turns each text into a digest of its set, packed low bits of its minima, one key per
    band of minima, and an odd sketch (the parity of how many runs fall on each of ``SKETCH_BITS``
-   places). Equal sets become one node, so exact copies never meet each other again.
+   places, or of more for a larger set). Equal sets become one node, so exact copies never meet each other again.
 2. Nodes that share a band key are candidates. In a first round every member of a bucket is
    compared with the bucket's smallest member only: a group of n near copies gives n candidates,
    not n^2. The packed bits estimate the similarity, corrected for chance collisions, and only
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from flowaudit.llm.components import components
 from flowaudit.llm.scratch import Scratch, apart
-from flowaudit.llm.textops import mix, shingle_hashes, text_bytes, word_hashes
+from flowaudit.llm.textops import mix, parts_of, shingle_hashes, text_bytes, word_hashes
 
 BITS = 4
 _LANES = 64 // BITS
@@ -47,7 +47,7 @@ _FEATURES = (
     "id bigint, n_shingles bigint, digest binary, packed array<bigint>, bands array<bigint>, odd array<bigint>"
 )
 SKETCH_BITS = 4096
-#: Members of a bucket that are compared in one block.
+#: Members of a bucket that are compared in one block, fewer where their sketches are long.
 BLOCK = 4096
 _CHUNK = 2048
 
@@ -121,7 +121,7 @@ def one_of_each_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _featurizer(shingle: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         minima = _Minima(bands * rows)
-        for batch in batches:
+        for batch in parts_of(batches, "text"):
             data, places = text_bytes(batch.column("text"))
             words, ends = word_hashes(data, places)
             n = len(batch)
@@ -191,21 +191,36 @@ def _band_keys(least: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def _odd_sketch(found: np.ndarray) -> np.ndarray:
-    """Parity of the number of runs on each place."""
-    parity = np.bincount((found >> np.uint64(40)) & np.uint64(SKETCH_BITS - 1), minlength=SKETCH_BITS) & 1
+    """Parity of the number of runs on each place; the number of places doubles until 4/3 fit each run.
+
+    The first half of a sketch, combined with the second, is the sketch of half as many places.
+    """
+    bits = min(max(SKETCH_BITS, 1 << int(len(found) * 4 // 3).bit_length()), 1 << 24)
+    parity = np.bincount((found >> np.uint64(40)) & np.uint64(bits - 1), minlength=bits) & 1
     return np.packbits(parity.astype(np.uint8)).view(np.int64)
 
 
+def _folded(sketches: np.ndarray, words: int) -> np.ndarray:
+    while sketches.shape[-1] > words:
+        half = sketches.shape[-1] // 2
+        sketches = sketches[..., :half] ^ sketches[..., half:]
+    return sketches
+
+
 def _shared_buckets(nodes: DataFrame) -> DataFrame:
-    """(key, node, first) of every bucket with several nodes; first is its smallest node."""
-    keys = nodes.select(F.explode("bands").alias("key"), "node")
+    """(key, node, first, weight) of every bucket with several nodes; first is its smallest node.
+
+    A node weighs as many smallest sketches as its own is long.
+    """
+    weight = F.size("odd") * 64 / SKETCH_BITS
+    keys = nodes.select(F.explode("bands").alias("key"), "node", weight.alias("weight"))
     firsts = (
         keys.groupBy("key")
         .agg(F.min("node").alias("first"), F.max("node").alias("last"))
         .where("first < last")
         .select(F.col("key").alias("of"), "first")
     )
-    return keys.join(firsts, apart(F.col("key")) == apart(F.col("of"))).select("key", "node", "first")
+    return keys.join(firsts, apart(F.col("key")) == apart(F.col("of"))).select("key", "node", "first", "weight")
 
 
 def _similar(pairs: DataFrame, nodes: DataFrame, minima: int, least: float) -> DataFrame:
@@ -259,7 +274,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -
 
 def _tester(shingle: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches, "text_a", "text_b"):
             words_a, ends_a = word_hashes(*text_bytes(batch.column("text_a")))
             words_b, ends_b = word_hashes(*text_bytes(batch.column("text_b")))
             linked = []
@@ -280,12 +295,12 @@ def _open_buckets(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> Da
     every pair of blocks meet once.
     """
     labelled = members.join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
-    labelled = labelled.select("key", "node", F.coalesce("label", "node").alias("label"))
+    labelled = labelled.select("key", "node", "weight", F.coalesce("label", "node").alias("label"))
     mixed = (
         labelled.groupBy("key")
-        .agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count(F.lit(1)).alias("members"))
+        .agg(F.min("label").alias("least"), F.max("label").alias("most"), F.sum("weight").alias("weight"))
         .where("least < most")
-        .select(F.col("key").alias("of"), F.ceil(F.col("members") / BLOCK).cast("int").alias("parts"))
+        .select(F.col("key").alias("of"), F.ceil(F.col("weight") / BLOCK).cast("int").alias("parts"))
     )
     shared = labelled.join(mixed, apart(F.col("key")) == apart(F.col("of")))
     shared = shared.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
@@ -331,15 +346,11 @@ def _crossing(open_rows: DataFrame, percent: int, all_pairs: bool) -> DataFrame:
 
 def _block_pairs(members: pa.Table, percent: int, all_pairs: bool) -> pa.RecordBatch:
     node, label, part, size = (members.column(c).to_numpy() for c in ("node", "label", "part", "n_shingles"))
-    odd, bands = (
-        np.stack(members.column(c).combine_chunks().to_numpy(zero_copy_only=False)) for c in ("odd", "bands")
-    )
-    odd = odd.view(np.uint64)
+    bands = np.stack(members.column("bands").combine_chunks().to_numpy(zero_copy_only=False))
+    sketches = _Sketches(members.column("odd"), size, percent)
     earlier = bands[:, : int(np.flatnonzero(bands[0] == members.column("key")[0].as_py())[0])]
     between = members.column("low")[0].as_py() != members.column("high")[0].as_py()
-
-    def likeness_to(i: int, at: np.ndarray) -> np.ndarray:
-        return _odd_likeness(odd[at] ^ odd[i], size[at], size[i], percent)
+    likeness_to = sketches.likeness
 
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     if all_pairs:
@@ -391,12 +402,41 @@ def _spanning_pairs(
     return np.array(columns[0], np.int64), np.array(columns[1], np.int64), np.array(columns[2], np.float64)
 
 
+class _Sketches:
+    """Odd sketches of sets, kept by their number of places."""
+
+    def __init__(self, odd: pa.ChunkedArray, sizes: np.ndarray, percent: int):
+        self.sizes, self.percent = sizes, percent
+        rows = odd.combine_chunks()
+        self.long = rows.value_lengths().to_numpy()
+        self.row = np.zeros(len(sizes), dtype=np.int64)
+        self.of: dict[int, np.ndarray] = {}
+        for n in np.unique(self.long):
+            at = np.flatnonzero(self.long == n)
+            self.row[at] = np.arange(len(at))
+            flat = rows.take(pa.array(at)).flatten().to_numpy().view(np.uint64)
+            self.of[int(n)] = flat.reshape(len(at), int(n))
+
+    def likeness(self, i: int, at: np.ndarray) -> np.ndarray:
+        """Similarity of a set to others by their sketches, the longer one folded; -1 where no link is possible."""
+        own = int(self.long[i])
+        mine = self.of[own][self.row[i]]
+        out = np.full(len(at), -1.0)
+        for n, held in self.of.items():
+            those = np.flatnonzero(self.long[at] == n)
+            if len(those):
+                differing = _folded(held[self.row[at[those]]], own) ^ _folded(mine, n)
+                out[those] = _odd_likeness(differing, self.sizes[at[those]], self.sizes[i], self.percent)
+        return out
+
+
 def _odd_likeness(differing: np.ndarray, sizes: np.ndarray, size: int, percent: int) -> np.ndarray:
     """Similarity from the number of places whose parity differs; -1 where no link is possible."""
+    bits = 64 * differing.shape[1]
     ones = np.bitwise_count(differing).sum(axis=1).astype(np.int64)
     both = sizes + size
-    free = np.maximum(1 - 2 * ones / SKETCH_BITS, 1e-9)
-    apart_by = np.minimum(-SKETCH_BITS / 2 * np.log(free), both)
+    free = np.maximum(1 - 2 * ones / bits, 1e-9)
+    apart_by = np.minimum(-bits / 2 * np.log(free), both)
     # Each run not in common changes one parity, so at least ``ones`` runs are not in common.
     possible = ones * (100 + percent) <= both * (100 - percent)
     possible &= 100 * np.minimum(sizes, size) >= percent * np.maximum(sizes, size)

@@ -64,6 +64,23 @@ def slices(places: np.ndarray) -> Iterator[tuple[int, int]]:
         first = last
 
 
+def parts_of(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that the texts of the columns are a few slices long; a longer row stands alone.
+
+    Between batches, memory that Arrow holds but does not use goes back to the system: the worker
+    shares an executor's memory with others.
+    """
+    for batch in batches:
+        places = sum(text_bytes(batch.column(c))[1] for c in columns)
+        low, n = 0, len(batch)
+        while low < n:
+            high = int(np.searchsorted(places, places[low] + 4 * SLICE_BYTES, side="right")) - 1
+            high = min(max(high, low + 1), n)
+            yield batch.slice(low, high - low)
+            low = high
+        pa.default_memory_pool().release_unused()
+
+
 def _spans(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of words; ``cuts`` are places where a word may not go on."""
     inside = IN_WORD[data]
