@@ -4,9 +4,13 @@ A page is read as a sequence of blocks, runs of text between block-level tags, e
 word density, length, share of text inside links, and the place it stands in.
 
 First pass, block by block: blocks in boilerplate places (menus, headers, footers, sidebars,
-notices, adverts, forms, comments, by element, role or a word of class or id) and blocks mostly made
-of links are bad; long blocks rich in stop words are good; blocks of an article or main element are
-good if rich in stop words; everything else is undecided. Where most of a page's long text is not
+notices, adverts, forms, comments) and blocks mostly made of links are bad; long blocks rich in stop
+words are good; blocks of an article or main element are good if rich in stop words; everything else
+is undecided. A place is known by its element or by a class, id or role that is about nothing else
+("site-footer", "comment-list", but not "share-price" or "with-sidebar"); headings are never judged by
+theirs. An element named for a part of the layout is taken by its word only if it holds no
+article and less than half of the page's text. A name that only contains such a word makes a block doubtful:
+outside of an article it is bad unless long and rich. Where most of a page's long text is not
 rich in the stop words of any list, its language is not among them, and long blocks are good by length
 and links alone. Where a page has an article with text, blocks outside of it are bad as long as what
 could be main text out there is less than a quarter of the article's text; else the article is one
@@ -16,7 +20,8 @@ Second pass: an undecided block takes the label of its nearest decided neighbour
 article the article itself counts as a good one, and only a short block between two bad ones of the
 article, which outvote it, is bad; elsewhere the ends of a page with
 good blocks count as bad, and between two different neighbours, or where nothing is decided, its
-own stop words settle it, or its length if the page's language is not known.
+own stop words settle it, or its length if the page's language is not known. On a page of a few
+short lines, none of them good, every line that holds a word and no copyright is good.
 """
 
 from __future__ import annotations
@@ -51,21 +56,33 @@ BLOCKS = frozenset(
     " menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe xmp template svg math object canvas".split())
+RAW = frozenset(
+    "script style textarea title noscript iframe xmp template svg object canvas annotation annotation-xml".split()
+)
 PLACES = frozenset("nav header footer aside form dialog menu button select".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
-# Words of class, id and role attributes.
-BAD_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie"
-    " cookies consent gdpr notice popup modal overlay sidebar menu nav navbar navigation breadcrumb breadcrumbs"
-    " footer header masthead share sharing social newsletter subscribe subscription signup login paywall toolbar"
-    " pagination pager widget copyright contentinfo complementary search alert dialog".split()
+# Words of class, id and role attributes, and what a whole name around them says.
+LAYOUT_WORDS = frozenset(
+    "banner popup modal overlay sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead"
+    " share sharing social toolbar pagination pager widget widgets contentinfo complementary search alert dialog".split()
+)
+NOTICE_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion cookie cookies"
+    " consent gdpr notice newsletter subscribe subscription signup login paywall copyright".split()
 )
 SIDE_WORDS = frozenset(
-    "comment comments disqus respond reply replies related recommended recommendations teaser".split()
+    "comment comments disqus discussion respond reply replies related recommended recommendations teaser".split()
 )
+BAD_WORDS = LAYOUT_WORDS | NOTICE_WORDS | SIDE_WORDS
 GOOD_WORDS = frozenset("article content post entry story main".split())
+PLAIN_WORDS = frozenset(
+    "area articles bar block body bottom box center col column container content entries first form group holder"
+    " inner item items last left link links list main outer page panel posts primary region right row secondary"
+    " section site slot stories text thread title top unit wrap wrapper".split()
+)
+WITHOUT_WORDS = frozenset("has hide is js no not show with without".split())
+ROOTS = ("comment", "sidebar", "newsletter", "breadcrumb", "advert")
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -87,21 +104,88 @@ class Block:
     bad_place: bool
     in_article: bool
     heading: bool
+    doubtful: bool = False
     label: str = ""
 
 
 @dataclass
 class _Open:
+    """An open element and what it counts for while it is open."""
+
     name: str
-    bad: bool = False
-    cleared_by_article: bool = False
+    hard: bool = False
+    header: bool = False
     article: bool = False
+    doubtful: bool = False
+    #: Number of its span, for an element that its content may clear.
+    span: int = -1
+
+
+class _Stack:
+    """Open elements, with counts of what stands around a place, so that no tag looks at all of them."""
+
+    def __init__(self) -> None:
+        self.items: list[_Open] = []
+        self.places: dict[str, list[int]] = {}
+        self.hard = self.headers = self.articles = self.headings = self.doubtful = 0
+        #: Of every element that its content may clear: first block, block after its last, characters, articles.
+        self.spans: list[list[int]] = []
+        self.blocks = self.chars = self.articles_seen = 0
+
+    def _count(self, o: _Open, by: int) -> None:
+        self.hard += by * o.hard
+        self.headers += by * o.header
+        self.articles += by * o.article
+        self.headings += by * (o.name in HEADINGS)
+        self.doubtful += by * o.doubtful
+
+    def push(self, o: _Open) -> None:
+        if o.span >= 0:
+            o.span = len(self.spans)
+            self.spans.append([self.blocks, -1, -self.chars, -self.articles_seen])
+        self.articles_seen += o.article and o.name in ("article", "main")
+        self.places.setdefault(o.name, []).append(len(self.items))
+        self.items.append(o)
+        self._count(o, 1)
+
+    def last(self, name: str) -> int:
+        found = self.places.get(name)
+        return found[-1] if found else -1
+
+    def cut(self, place: int) -> None:
+        """Close the element at a place and all inside it."""
+        while len(self.items) > place >= 0:
+            o = self.items.pop()
+            self.places[o.name].pop()
+            self._count(o, -1)
+            if o.span >= 0:
+                span = self.spans[o.span]
+                span[1] = self.blocks
+                span[2] += self.chars
+                span[3] += self.articles_seen
+
+    def uncleared(self) -> list[bool]:
+        """Of every block whether it stands in an element named for boilerplate that stays so.
+
+        An element is cleared by an article inside it, or by holding half of the text or more.
+        """
+        steps = [0] * (self.blocks + 1)
+        for first, after, chars, articles in self.spans:
+            if not articles and 2 * chars < self.chars:
+                steps[first] += 1
+                steps[after] -= 1
+        out, depth = [], 0
+        for step in steps[:-1]:
+            depth += step
+            out.append(depth > 0)
+        return out
 
 
 def blocks_of(page: str) -> list[Block]:
-    """The blocks of a page in order; text that cannot be seen is left out."""
+    """The blocks of a page in order; text that cannot be seen is left out. Time grows with its length."""
     found: list[Block] = []
-    stack: list[_Open] = []
+    headed: list[bool] = []
+    stack = _Stack()
     texts: list[str] = []
     link_texts: list[str] = []
     links = 0
@@ -110,12 +194,13 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal links
         text = " ".join("".join(texts).split())
         if text:
-            bad = any(o.bad for o in stack)
-            article = any(o.article for o in stack)
-            heading = any(o.name in HEADINGS for o in stack)
-            if bad and article and heading and not any(o.bad and o.name != "header" for o in stack):
-                bad = False
-            found.append(Block(text, len(" ".join("".join(link_texts).split())), links, bad, article, heading))
+            linked = len(" ".join("".join(link_texts).split()))
+            heading = stack.headings > 0
+            # The heading of an article may stand in the article's own header.
+            bad = stack.hard > (stack.headers if heading and stack.articles else 0)
+            found.append(Block(text, linked, links, bad, stack.articles > 0, heading, stack.doubtful > 0))
+            stack.blocks += 1
+            stack.chars += len(text) - linked
         texts.clear()
         link_texts.clear()
         links = 0
@@ -124,15 +209,9 @@ def blocks_of(page: str) -> list[Block]:
         if raw:
             text = entities.unescape(raw)
             texts.append(text)
-            if any(o.name == "a" for o in stack):
+            if stack.last("a") >= 0:
                 link_texts.append(text)
 
-    def close(name: str) -> None:
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k].name == name:
-                del stack[k:]
-                return
-
     at, end = 0, len(page)
     while at < end:
         token = _TOKEN.search(page, at)
@@ -147,7 +226,7 @@ def blocks_of(page: str) -> list[Block]:
         if token[1]:
             if name in BLOCKS:
                 flush()
-            close(name)
+            stack.cut(stack.last(name))
             continue
         if name in RAW:
             if not token[3].rstrip().endswith("/"):
@@ -159,49 +238,62 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if name in BLOCKS:
             flush()
-            if any(o.name == "p" for o in stack):
-                close("p")
+            stack.cut(stack.last("p"))
             if name in ("li", "td", "th", "tr", "dt", "dd", "option"):
-                _close_sibling(stack, name)
+                # An open list item or cell of the same list or row ends.
+                place = stack.last(name)
+                if place > max(map(stack.last, ("ul", "ol", "dl", "table", "select", "menu"))):
+                    stack.cut(place)
         elif name == "a":
-            close("a")
+            stack.cut(stack.last("a"))
             links += 1
-        if name in VOID:
-            continue
-        opened = _opened(name, token[3], stack)
-        if opened.article and name in ("article", "main"):
-            for o in stack:
-                if o.cleared_by_article:
-                    o.bad = False
-        stack.append(opened)
+        if name not in VOID:
+            stack.push(_opened(name, token[3], stack.hard > 0))
     flush()
+    stack.cut(0)
+    for block, named in zip(found, stack.uncleared()):
+        block.bad_place = block.bad_place or named
     return found
 
 
-def _close_sibling(stack: list[_Open], name: str) -> None:
-    """End an open list item or cell of the same list or row."""
-    for k in range(len(stack) - 1, -1, -1):
-        if stack[k].name == name:
-            del stack[k:]
-            return
-        if stack[k].name in ("ul", "ol", "dl", "table", "select", "menu"):
-            return
+def _named(token: str) -> tuple[set[str], bool]:
+    """The bad words of one name, and whether the name is about nothing else."""
+    words = [w.lower() for w in _NAME_PART.findall(token)]
+    if not words or words[0] in WITHOUT_WORDS:
+        return set(), False
+    words = [_root(w) for w in words]
+    bad = {w for w in words if w in BAD_WORDS}
+    return bad, bool(bad) and (words[-1] in BAD_WORDS or all(w in BAD_WORDS or w in PLAIN_WORDS for w in words))
 
 
-def _opened(name: str, raw: str, stack: list[_Open]) -> _Open:
+def _root(word: str) -> str:
+    """The bad word that a word written together begins or ends with, or the word."""
+    for root in ROOTS:
+        if word.endswith((root, f"{root}s")) or word.startswith(root) and word[len(root) :].lstrip("s") in PLAIN_WORDS:
+            return root if root in BAD_WORDS else f"{root}s"
+    return word
+
+
+def _opened(name: str, raw: str, in_bad_place: bool) -> _Open:
     attributes = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(raw)} if raw else {}
-    said = " ".join(attributes.get(k, "") for k in ("class", "id", "role"))
-    words = {w.lower() for w in _NAME_PART.findall(said)}
-    whole = name in ("html", "body")
     hidden = "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true"
     hidden = hidden or re.search(r"display\s*:\s*none", attributes.get("style", ""), re.I) is not None
-    side = bool(words & SIDE_WORDS) and not whole and name != "main"
-    hinted = bool(words & BAD_WORDS) and not whole and name not in ("main", "article")
-    bad = name in PLACES or hidden or side or hinted
-    article = name in ("article", "main") or (name in ("div", "section", "td") and bool(words & GOOD_WORDS))
-    around = any(o.bad and not o.cleared_by_article for o in stack)
-    # A wrapper named for something it also holds gives way to an article inside it.
-    return _Open(name, bad, bad and (name == "form" or name not in PLACES) and not (side or hidden), article and not bad and not around)
+    surely: set[str] = set()
+    maybe = False
+    good = False
+    if name not in ("html", "body", "main") and name not in HEADINGS:
+        for token in " ".join(attributes.get(k, "") for k in ("class", "id", "role")).split():
+            bad, whole = _named(token)
+            surely |= bad if whole else set()
+            maybe = maybe or bool(bad)
+            good = good or not bad and not GOOD_WORDS.isdisjoint(w.lower() for w in _NAME_PART.findall(token))
+    if name == "article":
+        surely &= SIDE_WORDS
+    hard = (name in PLACES and name != "form") or hidden or not surely.isdisjoint(SIDE_WORDS | NOTICE_WORDS)
+    clearable = not hard and (name == "form" or bool(surely))
+    article = name in ("article", "main") or good and name in ("div", "section", "td")
+    article = article and not hard and not clearable and not in_bad_place
+    return _Open(name, hard, hard and name == "header", article, maybe and not surely, 0 if clearable else -1)
 
 
 def label_blocks(
@@ -227,6 +319,8 @@ def label_blocks(
     for b, stops, n, ok in zip(blocks, density, length, light):
         if not ok or only_article and not b.in_article:
             b.label = "bad"
+        elif b.doubtful and not b.in_article and not (n >= long and (strange or stops >= rich)):
+            b.label = "bad"
         elif (stops >= rich and (b.in_article or n >= long)) or strange and n >= long:
             b.label = "good"
         elif not b.in_article and b.n_links and n < long:
@@ -240,6 +334,8 @@ def label_blocks(
     before = edge = "bad" if "good" in decided else ""
     # Without a good block anywhere, menus say nothing about a text in a language not known.
     alone = strange and not edge
+    # Nor is there a long text to compare with on a page of a few short lines.
+    short = not edge and max((n for n, ok in zip(length, light) if ok), default=0) < long / 2
     for k, b in enumerate(blocks):
         if decided[k]:
             before = decided[k]
@@ -248,14 +344,19 @@ def label_blocks(
         if b.in_article:
             outvoted = own_before[k] == own_after[k] == "bad" and not b.heading and length[k] < long
             b.label = "bad" if outvoted else "good"
-        elif len(near) == 1 and not alone:
+        elif len(near) == 1 and not alone and not short:
             b.label = near.pop()
         else:
             own = density[k] >= poor or strange and length[k] >= long / 4
-            b.label = "good" if own else "bad"
+            b.label = "good" if own or short and _says(b.text) else "bad"
     return blocks
 
 
+def _says(text: str) -> bool:
+    """Whether a block holds a word and is no copyright line."""
+    return _WORD.search(text) is not None and not text.lower().startswith(("copyright", "©", "(c)", "all rights"))
+
+
 def _strange(density: list[float], length: list[int], long: int, rich: float) -> bool:
     """Whether most of the long text, or of all where none is long, is not rich in stop words."""
     least = long if max(length, default=0) >= long else 1
