@@ -1,19 +1,24 @@
 """Ordered per-key calculations that survive a hot key.
 
 A plain window puts all rows of a key into one task. Here a count per key (one pass over the key
-columns and the time, combined on the map side) finds the hot keys, those with more than
-``split_rows`` rows. The time range of a hot key is cut into equal chunks of about ``split_rows``
+columns, combined on the map side) finds the hot keys, those with more than ``split_rows`` rows; where
+there is none the plain window does. Hot keys are cut by rank into chunks of about ``split_rows``
 rows and the window runs per (keys, chunk); a cold key is one chunk. What a chunk must know of the
 rows before it comes from a small frame of chunk summaries, which is folded along the key and added
 to each chunk as extra rows, marked and dropped at the end. The large side is shuffled once, on
 (keys, chunk), so a key holding a third of all rows is spread over as many tasks as it has chunks,
-and data without hot keys pays for the count only. The input is read up to three times; give rows
+and data without hot keys pays for the count only. The input is read up to four times; give rows
 that are dear to compute through ``session.cut``.
 
-Chunks are equal in time, so a burst makes a chunk larger in proportion; rows of one instant cannot
-be parted. The first column of ``order`` must be a timestamp or an integer. The input must give the
-same rows each time it is read. Without ``split_rows`` the window is plain, right for inputs of
-bounded length per key, such as one row per key and run.
+Where to cut is read from a sample of the hot keys' order columns, taken by a hash of the row: about
+``POINTS`` rows stand for a chunk, and up to ``EXACT_ROWS`` rows a chunk all of them do. A cut is a value of
+all order columns together, so rows of one time, or without a time, are parted by the columns that
+follow; only rows equal in all of them stay together. Counts and cuts are small stored tables, read
+when the plan is made, and joined without a hint: Spark broadcasts them below its threshold, and
+beyond it splits the hot partitions of the join.
+
+The input must give the same rows each time it is read. Without ``split_rows`` the window is plain,
+right for inputs of bounded length per key, such as one row per key and run.
 """
 
 from __future__ import annotations
@@ -22,51 +27,73 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from flowaudit.session import cut
 
 CHUNK = "__chunk"
 EXTRA = "__extra"
 SPLIT_ROWS = 1_000_000
+#: Rows of the sample that stand for a chunk, and the largest chunk that is cut by all its rows.
+POINTS = 256
+EXACT_ROWS = 2048
+_HASHES = 1 << 30
 
 
-def _split(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], split_rows: int
-) -> DataFrame:
-    """Add the chunk of each row: null for cold keys, rising with the order for hot ones.
-
-    Of N rows at most N / split_rows keys are hot, which bounds the list that is broadcast.
-    """
-    place = F.col(order[0])
-    if isinstance(df.schema[order[0]].dataType, (T.TimestampType, T.TimestampNTZType)):
-        place = F.unix_micros(place.cast("timestamp"))
-    chunks = F.ceil(F.col("__rows") / split_rows)
-    hot = (
-        df.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("__rows"),
-            F.min(place).alias("__low"),
-            F.max(place).alias("__high"),
-        )
-        .where(F.col("__rows") > split_rows)
-        .select(
-            *[F.col(k).alias(f"__hot_{k}") for k in keys],
-            "__low",
-            (F.floor((F.col("__high") - F.col("__low")) / chunks) + 1).alias("__width"),
-        )
-    )
+def _same_keys(keys: Sequence[str]) -> Column:
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"__hot_{k}"))
-    # Rows without a place in the order come first, as in a sort.
-    chunk = F.coalesce(F.floor((place - F.col("__low")) / F.col("__width")), F.lit(-1))
+    return same
+
+
+def _hot_cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], split_rows: int) -> DataFrame | None:
+    """The hot keys (as ``__hot_`` columns) with their cuts in groups of ``__wide``; None without hot keys.
+
+    Of N rows at most N / split_rows keys are hot, and there are about as many cuts in all.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > split_rows)
+    hot = cut(counts.select(*[F.col(k).alias(f"__hot_{k}") for k in keys]), "hot-keys")
+    if hot.isEmpty():
+        return None
+    points = split_rows if split_rows <= EXACT_ROWS else POINTS
+    drawn = F.pmod(F.xxhash64(*keys, *order), F.lit(_HASHES)) < int(_HASHES * points / split_rows)
+    sample = df.select(*dict.fromkeys([*keys, *order])).where(drawn).join(hot, _same_keys(keys))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    cuts = (
+        sample.withColumn("__place", place)
+        .where(((F.col("__place") - 1) % points == 0) & (F.col("__place") > 1))
+        .groupBy(*[F.col(k).alias(f"__hot_{k}") for k in keys])
+        .agg(F.array_sort(F.collect_set(F.struct(*order))).alias("__cuts"))
+        .withColumn("__wide", F.ceil(F.sqrt(F.size("__cuts"))).cast("int"))
+    )
+    starts = F.sequence(F.lit(1), F.size("__cuts"), F.col("__wide"))
+    grouped = F.transform(starts, lambda start: F.slice("__cuts", start, F.col("__wide")))
+    return cut(cuts.withColumn("__cuts", grouped), "hot-cuts")
+
+
+def _cut_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: DataFrame) -> DataFrame:
+    """Add the chunk of each row: null for cold keys, rising with the order for hot ones.
+
+    A row's chunk is the number of cuts up to the row, found by group of cuts and then within it.
+    """
+    at = F.struct(*order)
+    group = F.size(F.filter("__cuts", lambda g: g[0] <= at))
+    within = F.size(F.filter(F.col("__cuts")[group - 1], lambda c: c <= at))
+    chunk = F.when(group == 0, F.lit(0)).otherwise((group - 1) * F.col("__wide") + within)
     return (
-        df.join(F.broadcast(hot), same, "left")
-        .withColumn(CHUNK, F.when(F.col("__width").isNotNull(), chunk.cast("bigint")))
+        df.join(cuts, _same_keys(keys), "left")
+        .withColumn(CHUNK, F.when(F.col("__wide").isNotNull(), chunk.cast("bigint")))
         .withColumn(EXTRA, F.lit(False))
-        .drop("__low", "__width", *[f"__hot_{k}" for k in keys])
+        .drop("__cuts", "__wide", *[f"__hot_{k}" for k in keys])
     )
 
 
+def _split(df: DataFrame, keys: Sequence[str], order: Sequence[str], split_rows: int | None) -> DataFrame | None:
+    """Rows with their chunks, or None where no key is hot or none is to be split."""
+    cuts = None if split_rows is None else _hot_cuts(df, keys, order, split_rows)
+    return None if cuts is None else _cut_rows(df, keys, order, cuts)
+
+
 def _hot(rows: DataFrame) -> DataFrame:
     return rows.where(F.col(CHUNK).isNotNull()).drop(EXTRA)
 
@@ -90,11 +117,11 @@ def with_previous(
 
     ``order`` must be unique within the keys.
     """
-    if split_rows is None:
+    rows = _split(df, keys, order, split_rows)
+    if rows is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({new: F.lag(c).over(w) for new, c in cols.items()})
 
-    rows = _split(df, keys, order, split_rows)
     carried = list(dict.fromkeys([*order, *cols.values()]))
     last = (
         _hot(rows)
@@ -127,11 +154,11 @@ def with_running_sum(
     ``cols`` maps new name to column. ``order`` must be unique within the keys.
     """
     frame = (Window.unboundedPreceding, Window.currentRow)
-    if split_rows is None:
+    rows = _split(df, keys, order, split_rows)
+    if rows is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*frame)
         return df.withColumns({new: F.sum(c).over(w) for new, c in cols.items()})
 
-    rows = _split(df, keys, order, split_rows)
     totals = _hot(rows).groupBy(*keys, CHUNK).agg(
         *[F.sum(c).alias(new) for new, c in cols.items()]
     )
@@ -221,10 +248,10 @@ def with_neighbour_text(
     frame = (-before, after)
     if not before and not after:
         return df.withColumn(name, F.coalesce(F.col(text), F.lit("")))
-    if split_rows is None:
+    rows = _split(df, keys, order, split_rows)
+    if rows is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*frame)
         return df.withColumn(name, F.array_join(F.collect_list(text).over(w), separator))
-    rows = _split(df, keys, order, split_rows)
     both = rows.unionByName(
         _border_rows(_hot(rows), keys, order, text, before, after), allowMissingColumns=True
     )

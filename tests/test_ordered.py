@@ -9,6 +9,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from flowaudit.operators import ordered
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 START = datetime(2024, 1, 1)
@@ -136,6 +137,37 @@ def test_a_hot_key_is_cut_into_pieces(spark):
     assert pieces.where("key >= 0").count() == 50
 
 
+@pytest.mark.parametrize("split", [1_000, 5_000])
+@pytest.mark.parametrize("shape", ["stray", "half null", "one instant", "burst"])
+def test_no_piece_is_twice_the_limit(spark, split, shape):
+    """Whatever the times of a hot key: one stray early time, half of them null, all equal, one burst."""
+    at = F.timestamp_seconds(1_700_000_000 + F.col("id"))
+    times = {
+        "stray": F.when(F.col("id") == 7, F.timestamp_seconds(F.lit(0))).otherwise(at),
+        "half null": F.when(F.col("id") % 2 == 0, at),
+        "one instant": F.timestamp_seconds(F.lit(1_700_000_000)),
+        "burst": F.when(F.col("id") % 10 == 0, at).otherwise(F.timestamp_seconds(F.lit(1_700_090_000))),
+    }
+    df = spark.range(200_000).select(F.lit("a").alias("key"), times[shape].alias("ts"), F.col("id").alias("n"))
+    cut = ordered._split(df, ["key"], ["ts", "n"], split)
+    pieces = cut.groupBy("key", ordered.CHUNK).agg(
+        F.count("*").alias("rows"), F.min(F.struct("ts", "n")).alias("low"), F.max(F.struct("ts", "n")).alias("high")
+    )
+    found = pieces.orderBy(ordered.CHUNK).collect()
+    assert sum(r["rows"] for r in found) == 200_000
+    assert max(r["rows"] for r in found) <= 2 * split
+    assert len(found) >= 200_000 / split * 0.7
+    ahead = spark.createDataFrame(found).withColumn("next", F.lead("low").over(Window.orderBy(ordered.CHUNK)))
+    assert ahead.where("next <= high").count() == 0
+
+
+def test_without_a_hot_key_the_window_is_plain(spark):
+    df = spark.range(100).select((F.col("id") % 7).alias("key"), F.col("id").alias("n"))
+    assert ordered._split(df, ["key"], ["n"], 50) is None
+    plan = ordered.with_previous(df, ["key"], ["n"], {"pn": "n"}, 50)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Union" not in plan
+
+
 def test_rows_at_one_instant_stay_in_order(spark, rows):
     df = spark.range(50).select(F.lit("a").alias("key"), F.lit(START).alias("ts"), F.col("id").alias("n"))
     out = ordered.with_previous(df, ["key"], ["ts", "n"], {"pn": "n"}, 5)
