@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowaudit.operators import batches
+from flowaudit.operators import batches, opening
 from flowaudit.plans import inputs as i
 from flowaudit.plans.registry import query
 from flowaudit.schemas import WAREHOUSE_TARGET_STATS
@@ -176,6 +176,51 @@ def batches_by_either(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(TARGET, i.ms("batch_start").alias("batch_ms"), "batch_no", "row_count", "first_event")
 
 
+def _opened_sql(max_events: int | None, every_s: int | None) -> str:
+    """From each event to the one that opens the next batch, and along those from the first."""
+    ends = ["total + 1"]
+    if max_events is not None:
+        ends.append(f"p + {max_events}")
+    if every_s is not None:
+        ends.append(
+            "1 + count(*) OVER (PARTITION BY target_name ORDER BY epoch_us(ts) "
+            f"RANGE BETWEEN UNBOUNDED PRECEDING AND {every_s * 1_000_000 - 1} FOLLOWING)"
+        )
+    return f"""WITH RECURSIVE {i.EV}, {_NUMBERED_SQL},
+n AS (SELECT target_name, event_id, ts, row_number() OVER w AS p, count(*) OVER (PARTITION BY target_name) AS total
+  FROM numbered WINDOW w AS (PARTITION BY target_name ORDER BY ts, event_id)),
+nx AS (SELECT target_name, p, least({", ".join(ends)}) AS q FROM n),
+o(target_name, p, batch_no) AS (SELECT DISTINCT target_name, 1::BIGINT, 0::BIGINT FROM n
+  UNION ALL SELECT o.target_name, nx.q, o.batch_no + 1 FROM o JOIN nx ON o.target_name = nx.target_name AND o.p = nx.p
+  JOIN n ON n.target_name = nx.target_name AND n.p = nx.q),
+s AS (SELECT o.target_name AS t, o.p AS opening, batch_no, n.ts AS batch_start FROM o JOIN n USING (target_name, p))
+SELECT target_name, batch_no, epoch_us(batch_start) // 1000 AS batch_ms, count(*) AS row_count, min(event_id) AS first_event,
+  max(event_id) AS last_event FROM n ASOF JOIN s ON n.target_name = s.t AND n.p >= s.opening GROUP BY 1, 2, 3"""
+
+
+def _opened(spark: SparkSession, sf_dir: str, max_events: int | None, every_s: int | None) -> DataFrame:
+    events = _sized(i.events(spark, sf_dir))
+    formed = opening.open_batches(events, [TARGET], "ts", ["ts", "event_id"], max_events, every_s)
+    return formed.groupBy(TARGET, "batch_no", "batch_start").agg(
+        F.count(F.lit(1)).alias("row_count"), F.min("event_id").alias("first_event"),
+        F.max("event_id").alias("last_event"),
+    ).select(
+        TARGET, "batch_no", i.ms("batch_start").alias("batch_ms"), "row_count", "first_event", "last_event"
+    )
+
+
+@query("open_batches_by_time", _opened_sql(None, i.HOUR_S))
+def open_batches_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches that close an hour after their first event."""
+    return _opened(spark, sf_dir, None, i.HOUR_S)
+
+
+@query("open_batches_by_either", _opened_sql(10, i.DAY_S))
+def open_batches_by_either(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches that close with their tenth event or a day after their first, whichever comes first."""
+    return _opened(spark, sf_dir, 10, i.DAY_S)
+
+
 @query(
     "batch_states",
     f"WITH {i.EV}, {i.BATCHES_SQL} SELECT target_name, "

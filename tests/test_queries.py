@@ -59,13 +59,17 @@ def plan(df) -> str:
 
 
 BATCH = [n for n in QUERIES if not n.startswith("stream_")]
+#: Where a batch ends depends on where it opened; the times of a chunk are gone through in Python.
+IN_ORDER = ("open_batches_by_time", "open_batches_by_either")
 
 
 @pytest.mark.parametrize("name", BATCH)
 def test_plan_stays_in_the_engine(spark, name):
     text = plan(QUERIES[name](spark, DATA))
-    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "ArrowEval"):
-        assert unwanted not in text
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    if name not in IN_ORDER:
+        for unwanted in ("Python", "Pandas", "Arrow"):
+            assert unwanted not in text
 
 
 def test_all_deltas_share_windows(spark):
