@@ -18,7 +18,7 @@ from flowaudit.plans import inputs as i
 from flowaudit.plans import payloads
 from flowaudit.plans.registry import query
 from flowaudit.schemas import OP_KINDS, TABLE_COUNTERS, counter_columns
-from flowaudit.session import fresh_path
+from flowaudit.session import cut, fresh_path
 from flowaudit.sources import landed, tables
 from flowaudit.sources.conform import shape
 from flowaudit.streaming import logs, ordered, sinks, windows
@@ -209,3 +209,33 @@ def append_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("row_count"),
         *[F.coalesce(F.sum(f"src_num_of_{k}"), F.lit(0)).alias(f"src_{k}") for k in OP_KINDS],
     )
+
+
+@query(
+    "append_runs",
+    f"""WITH {i.EV}, {i.SIDES_SQL}, {i.COUNTERS_SQL}
+SELECT CAST(batch_ts AS DATE)::VARCHAR AS batch_date, epoch_ms(batch_ts) AS batch_ms, count(*) AS row_count, {_COUNTER_SUMS}
+FROM counters GROUP BY 1, 2""",
+)
+def append_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polls stored twice, first with wrong readings, one of them after its day was packed."""
+    paired = diff_counts(compare.counters(i.events(spark, sf_dir))).withColumns({
+        "source_name": F.col("table_name"), "target_name": F.col("table_name"),
+    })
+    snapshot = cut(shape(paired, TABLE_COUNTERS), "counter-runs")
+    path = fresh_path(spark, "table-counter-runs")
+    wrong = snapshot.withColumn("src_num_of_inserts", F.lit(-1).cast("bigint"))
+    tables.append_runs(wrong, path)
+    even = F.hour("batch_ts") % 2 == 0
+    tables.append_runs(snapshot.where(even), path)
+    days = snapshot.agg(F.min("batch_ts"), F.max("batch_ts")).first()
+    if days[0] is not None:
+        tables.compact_runs(spark, path, days[0].date(), days[0].date() + (days[1] - days[0]) / 2)
+    tables.append_runs(snapshot.where(~even), path)
+    stored = tables.read_runs(spark, path)
+    return stored.groupBy(
+        F.col("batch_date").cast("string").alias("batch_date"), i.ms("batch_ts").alias("batch_ms")
+    ).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        *[F.coalesce(F.sum(f"src_num_of_{k}"), F.lit(0)).alias(f"src_{k}") for k in OP_KINDS],
+    )

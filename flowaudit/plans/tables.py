@@ -6,6 +6,8 @@ surrogate id left out, times as epoch milliseconds, decimals as doubles.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,9 +21,10 @@ from flowaudit.operators import payloads as payload_ops
 from flowaudit.operators import runs, snapshots, stamping
 from flowaudit.plans import batches, compare, history, lag, logs, payloads
 from flowaudit.plans import inputs as i
-from flowaudit.plans.registry import query
+from flowaudit.plans.registry import EXPECTED_SQL, query
+from flowaudit.session import fresh_path
 from flowaudit.sources.conform import shape
-from flowaudit.sources.tables import append_snapshot, recreate
+from flowaudit.sources.tables import append_snapshot, catalog_columns, recreate
 
 FIRST_POLL_S = 1_704_067_200  # 2024-01-01
 ORIGIN = {"cluster_name": "north", "company_name": "example"}
@@ -423,3 +426,33 @@ def store(
     for name, build in BUILDERS.items():
         append_snapshot(build(spark, sf_dir), names[name])
     return names
+
+
+_DECLARED = {
+    "run_history": (8, 8), "app_snapshot": (11, 11), "node_snapshot": (9, 9), "search_store_snapshot": (8, 8),
+    "app_detail": (17, 17), "table_counters": (20, 20), "table_counters_delta": (21, 21), "latency_report": (15, 15),
+    "component_payload": (7, 7), "column_catalog": (9, 9), "warehouse_target_stats": (49, 11), "log_events": (8, 0),
+}
+
+
+@query(
+    "catalog_tables",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, {columns} AS n_columns, {comments} AS n_comments, "
+        f"(SELECT count(*) FROM ({EXPECTED_SQL['table_' + name.removeprefix('table_')]})) AS row_count"
+        for name, (columns, comments) in _DECLARED.items()
+    ),
+)
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twelve tables recreated, filled and read back from the catalog, with what it says of their columns."""
+    database = f"flowaudit_{uuid.uuid4().hex[:12]}"
+    names = store(spark, sf_dir, database, fresh_path(spark, "catalog"))
+    declared = catalog_columns(spark, database).where(F.col("column_name") != s.BATCH_DATE)
+    columns = declared.groupBy("table_name").agg(
+        F.count(F.lit(1)).cast("int").alias("n_columns"), F.count("comment").cast("int").alias("n_comments")
+    )
+    rows = None
+    for name, stored in names.items():
+        counted = spark.table(stored).agg(F.count(F.lit(1)).alias("row_count")).withColumn("of", F.lit(name))
+        rows = counted if rows is None else rows.unionByName(counted)
+    return columns.join(rows, F.col("table_name") == F.col("of")).drop("of")

@@ -59,6 +59,107 @@ def test_compaction_keeps_all_rows(spark, tmp_path, rows):
     assert len(list((tmp_path / "out" / "batch_date=2024-01-01").glob("*.parquet"))) == 1
 
 
+@pytest.mark.parametrize("fails_at", range(1, 7))
+def test_recreate_puts_the_old_tables_back_when_it_fails(spark, tmp_path, rows, monkeypatch, fails_at):
+    spark.sql("DROP DATABASE IF EXISTS fa_t3 CASCADE")
+    chosen = [schemas.RUN_HISTORY, schemas.APP_SNAPSHOT, schemas.NODE_SNAPSHOT]
+    location = str(tmp_path) if fails_at % 2 else None
+    tables.recreate(spark, "fa_t3", chosen, location)
+    poll = spark.createDataFrame([("n", T0)], "cluster_name string, batch_ts timestamp")
+    for table in chosen:
+        tables.append_snapshot(conform.shape(poll, table), f"fa_t3.{table.name}")
+    plain, calls = tables._rename, []
+
+    def failing(*args):
+        calls.append(args)
+        if len(calls) == fails_at:
+            raise RuntimeError("lost")
+        plain(*args)
+
+    monkeypatch.setattr(tables, "_rename", failing)
+    with pytest.raises(RuntimeError):
+        tables.recreate(spark, "fa_t3", chosen, location)
+    monkeypatch.undo()
+    assert sorted(t.name for t in spark.catalog.listTables("fa_t3")) == sorted(t.name for t in chosen)
+    assert [spark.table(f"fa_t3.{t.name}").count() for t in chosen] == [1, 1, 1]
+    tables.recreate(spark, "fa_t3", chosen, location)
+    assert [spark.table(f"fa_t3.{t.name}").count() for t in chosen] == [0, 0, 0]
+    if location:
+        assert len(list(tmp_path.iterdir())) == 3
+    told = tables.catalog_columns(spark, "fa_t3").where("table_name = 'run_history' and position < 2")
+    assert rows(told, "column_name", "data_type") == sorted(
+        (f.name, f.dataType.simpleString()) for f in schemas.RUN_HISTORY.schema.fields[:2]
+    )
+    spark.sql("DROP DATABASE fa_t3 CASCADE")
+
+
+def test_a_failure_to_make_a_table_leaves_the_old_ones(spark, tmp_path, monkeypatch):
+    spark.sql("DROP DATABASE IF EXISTS fa_t4 CASCADE")
+    chosen = [schemas.RUN_HISTORY, schemas.APP_SNAPSHOT]
+    tables.recreate(spark, "fa_t4", chosen[:1], str(tmp_path))
+    plain = tables._create_empty
+
+    def failing(spark, name, table, path):
+        if table is chosen[1]:
+            raise RuntimeError("lost")
+        plain(spark, name, table, path)
+
+    monkeypatch.setattr(tables, "_create_empty", failing)
+    with pytest.raises(RuntimeError):
+        tables.recreate(spark, "fa_t4", chosen, str(tmp_path))
+    assert [t.name for t in spark.catalog.listTables("fa_t4")] == ["run_history"]
+    spark.sql("DROP DATABASE fa_t4 CASCADE")
+
+
+def polls(spark, values):
+    made = [(datetime(2024, 1, day, hour), f"k{n}", value) for (day, hour), value in values.items() for n in range(2)]
+    return spark.createDataFrame(made, "batch_ts timestamp, key string, v int")
+
+
+def files_of(path):
+    return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+
+def test_a_repeated_append_replaces_its_run(spark, tmp_path, rows):
+    path = str(tmp_path / "runs")
+    times = [(1, 5), (1, 6), (2, 5), (3, 5)]
+    right = {t: k for k, t in enumerate(times)}
+    tables.append_runs(polls(spark, {t: -1 for t in times}), path)
+    before = files_of(tmp_path / "runs")
+    tables.append_runs(polls(spark, {t: right[t] for t in times[:2]}), path)
+    after = files_of(tmp_path / "runs")
+    assert {f for f in before if after.get(f) == before[f]} == {f for f in before if "batch_date=2024-01-01" not in f}
+    for _ in range(2):
+        tables.append_runs(polls(spark, right), path)
+    tables.append_runs(polls(spark, {}), path)
+    expected = rows(polls(spark, right))
+    assert rows(tables.read_runs(spark, path), "batch_ts", "key", "v") == expected
+
+
+def test_packing_days_leaves_other_days_and_lets_runs_be_stored_again(spark, tmp_path, rows, monkeypatch):
+    path = str(tmp_path / "runs")
+    times = [(1, 5), (1, 6), (2, 5), (2, 7), (3, 5)]
+    tables.append_runs(polls(spark, {t: -1 for t in times}), path)
+    before = files_of(tmp_path / "runs")
+    plain = tables._remove
+    monkeypatch.setattr(tables, "_remove", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        tables.compact_runs(spark, path, datetime(2024, 1, 1).date(), datetime(2024, 1, 2).date())
+    everything = rows(polls(spark, {t: -1 for t in times}))
+    assert rows(tables.read_runs(spark, path), "batch_ts", "key", "v") == everything
+    monkeypatch.setattr(tables, "_remove", plain)
+    for _ in range(2):
+        tables.compact_runs(spark, path, datetime(2024, 1, 1).date(), datetime(2024, 1, 2).date())
+    after = files_of(tmp_path / "runs")
+    assert {f: t for f, t in before.items() if "2024-01-03" in f} == {f: t for f, t in after.items() if "2024-01-03" in f}
+    assert all("batch_run=packed" in f for f in after if "2024-01-03" not in f)
+    tables.append_runs(polls(spark, {(1, 6): 9}), path)
+    expected = rows(polls(spark, {t: 9 if t == (1, 6) else -1 for t in times}))
+    assert rows(tables.read_runs(spark, path), "batch_ts", "key", "v") == expected
+    tables.compact_runs(spark, path, datetime(2024, 1, 1).date(), datetime(2024, 1, 3).date())
+    assert rows(tables.read_runs(spark, path), "batch_ts", "key", "v") == expected
+
+
 SCHEMA = T.StructType([
     T.StructField("n", T.LongType()),
     T.StructField("d", schemas.NUMERIC),
