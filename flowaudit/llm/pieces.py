@@ -9,8 +9,9 @@ segment is encoded so:
 * a piece that does not fit gives way to the next shorter one at its place; where none is left the
   place is marked in a bit field as a dead end, and the piece before is tried again.
 
-Most segments are settled by the longest pieces alone. Segments recur, so each worker keeps the
-latest ones, at most ``REMEMBERED``. Characters outside the vocabulary become byte pieces.
+Most segments are settled by the longest pieces alone. Segments recur, so a block of texts is encoded by
+its distinct ones, and each worker keeps the latest ones in Arrow arrays, at most ``REMEMBERED``.
+Characters outside the vocabulary become byte pieces.
 """
 
 from __future__ import annotations
@@ -22,12 +23,19 @@ from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowaudit.llm.segments import bytes_of, row_ranges, segments, taken
+
 SPACE = "▁"
-REMEMBERED = 800_000
+#: Stretches and pairs of pieces kept per worker, and the bytes of the longest stretch worth keeping.
+REMEMBERED, _SHORT = 800_000, 64
+#: Bytes of text encoded together; a longer text stands alone.
+BLOCK_BYTES = 8 << 20
 _WINDOW = 4096
 
 
@@ -46,14 +54,10 @@ class PieceModel:
         plain = [i for i in ids if i not in self.bytes_of and i not in self.control and i not in self.unknown]
         self.ids = {self.texts[i]: i for i in plain}
         self.scores = {self.texts[i]: library.get_score(i) for i in plain}
-        self.decimals = {self.texts[i]: str(i) for i in plain}
         self.byte_ids = {b[0]: i for i, b in self.bytes_of.items()}
         if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids):
             raise ValueError("pieces reach over the start of a word; this model needs whole-text merging")
         chars = {c for p in self.ids for c in p}
-        for c in chars - self.ids.keys():
-            # A character that only longer pieces hold can still stand alone, as bytes.
-            self.decimals[c] = ",".join(str(self.byte_ids[b]) for b in c.encode())
         self.known = re.compile("([^" + "".join(re.escape(c) for c in sorted(chars)) + "]+)")
         self.longest = max(map(len, self.ids))
         self.automaton = ahocorasick.Automaton()
@@ -65,8 +69,8 @@ class PieceModel:
         self.cut = re.compile(f"{SPACE}+[^{SPACE}{inner}]*|[^{SPACE}{inner}]+" + (f"|{inner}+" if inner else ""))
         self.fitting: dict[tuple[str, str], bool] = {}
         self.standing: dict[str, bool] = {}
-        self.memory: dict[str, tuple[int, str, str]] = {}
-        self.older: dict[str, tuple[int, str, str]] = {}
+        self.at_lines = bool(inner)
+        self.remembered = _Remembered(self)
 
     def _next_shorter(self, text: str, chars: set[str]) -> str | None:
         """The longest piece that the given one starts with, shorter than itself."""
@@ -205,33 +209,52 @@ class PieceModel:
     def decode(self, ids: Sequence[int]) -> str:
         return unmarked(self.surface(ids))
 
-    def digest(self, text: str) -> tuple[int, str, str]:
-        """Number of ids, the ids as decimals joined by commas, and the decoded text."""
-        segments = self.cut.findall(self.normalized(text))
-        if not segments:
-            return 0, "", ""
-        found = [*map(self.memory.get, segments)]
-        if None in found:
-            found = [known or self._remembered(s) for known, s in zip(found, segments)]
-        counts, ids, surfaces = zip(*found)
-        return sum(counts), ",".join(ids), unmarked("".join(surfaces))
-
-    def _remembered(self, segment: str) -> tuple[int, str, str]:
-        """What ``digest`` needs of a segment; of short ones the latest are kept."""
-        known = self.older.get(segment) or self.memory.get(segment)
-        if known is None and self.known.search(segment) is None:
-            # Only pieces of the vocabulary: their texts joined are the segment again.
-            pieces = self.segment_pieces(segment)
-            decimals = ",".join([self.decimals[p] for p in pieces])
-            known = decimals.count(",") + 1, decimals, segment
-        elif known is None:
-            ids = self.segment_ids(segment)
-            known = len(ids), ",".join(map(str, ids)), self.surface(ids)
-        if len(segment) < 64:
-            if len(self.memory) >= REMEMBERED // 2:
-                self.older, self.memory = self.memory, {}
-            self.memory[segment] = known
-        return known
+    def of_stretch(self, text: str) -> tuple[list[int], str]:
+        """Ids and surface of a part of a text that starts at its start or at a space."""
+        ids: list[int] = []
+        surfaces: list[str] = []
+        for segment in self.cut.findall(text.replace(" ", SPACE)):
+            found = self.segment_ids(segment)
+            ids += found
+            # Pieces of the vocabulary joined are the segment again.
+            surfaces.append(segment if self.known.search(segment) is None else self.surface(found))
+        return ids, "".join(surfaces)
+
+
+class _Remembered:
+    """Ids, decimals and surfaces of distinct stretches; the latest short ones are kept."""
+
+    def __init__(self, model: PieceModel):
+        self.model = model
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = pa.array([], pa.large_string())
+        self.held = self._made([])
+
+    def _made(self, texts: Sequence[str]) -> list[pa.Array]:
+        found = [self.model.of_stretch(t) for t in texts]
+        flat = pa.array([i for ids, _ in found for i in ids], pa.int32())
+        ends = np.concatenate([[0], np.cumsum([len(ids) for ids, _ in found])]).astype(np.int64)
+        decimals = pa.array([",".join(map(str, ids)) for ids, _ in found], pa.large_string())
+        surfaces = pa.array([s for _, s in found], pa.large_string())
+        return [pa.LargeListArray.from_arrays(pa.array(ends), flat), decimals, surfaces]
+
+    def of(self, distinct: pa.LargeStringArray) -> list[pa.Array]:
+        at = pc.index_in(distinct, value_set=self.known)
+        missing = pc.is_null(at)
+        new = distinct.filter(missing)
+        made = self._made(new.to_pylist())
+        places = at.fill_null(0).to_numpy().astype(np.int64)
+        places[missing.to_numpy(zero_copy_only=False)] = len(self.known) + np.arange(len(new))
+        found = [pa.concat_arrays([h, m]).take(pa.array(places)) for h, m in zip(self.held, made)]
+        if len(self.known) + len(new) > REMEMBERED:
+            self._forget()
+            new, made = distinct, found
+        short = pc.less_equal(pc.binary_length(new), _SHORT)
+        self.known = pa.concat_arrays([self.known, new.filter(short)])
+        self.held = [pa.concat_arrays([h, m.filter(short)]) for h, m in zip(self.held, made)]
+        return found
 
 
 class _Longest:
@@ -300,7 +323,7 @@ def encode_texts(
     digests ``ids_sha256`` (of the decimal ids joined by commas) and ``decoded_sha256`` as
     lower-case hex. ``path`` names a model file that every worker can open.
 
-    Work is per row, without a shuffle; a worker holds one batch of texts and the remembered
+    Work is per row, without a shuffle; a worker holds one block of texts and the remembered
     segments. Defined results: a null text counts as empty and has no ids; rows without id or with
     the same id are encoded each; columns besides id and text are left out.
     """
@@ -310,17 +333,14 @@ def encode_texts(
     wanted = list(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_cpu_count(1)
         model = load_model(path)
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in wanted}
-            for value in batch.column("text"):
-                text = value.as_py() or ""
-                count, ids, decoded = model.digest(text)
-                for c in wanted:
-                    out[c].append(_value(c, count, ids, decoded))
-            kinds = {"array<int>": pa.list_(pa.int32()), "string": pa.string(), "bigint": pa.int64()}
-            arrays = [pa.array(out[c], kinds[_KINDS[c]]) for c in wanted]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *arrays], ["id", *wanted])
+            texts = batch.column("text").cast(pa.large_string()).fill_null("")
+            for low, high in row_ranges(bytes_of(texts)[1], BLOCK_BYTES):
+                found = _block_columns(model, texts.slice(low, high - low), wanted)
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(low, high - low), *found], ["id", *wanted])
+            pa.default_memory_pool().release_unused()
 
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
@@ -328,12 +348,36 @@ def encode_texts(
     return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
-def _value(column: str, count: int, ids: str, decoded: str):
-    if column == "ids":
-        return [int(i) for i in ids.split(",")] if ids else []
-    if column == "n_tokens":
-        return count
-    if column == "decoded":
-        return decoded
-    text = ids if column == "ids_sha256" else decoded
-    return hashlib.sha256(text.encode()).hexdigest()
+def _block_columns(model: PieceModel, texts: pa.LargeStringArray, wanted: Sequence[str]) -> list[pa.Array]:
+    """The wanted columns of a block of texts."""
+    front = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", " ").cast(pa.large_string())
+    opened = pc.binary_join_element_wise(front, texts, pa.scalar("", pa.large_string()))
+    cut = segments(*bytes_of(opened), at_lines=model.at_lines)
+    ids, decimals, surfaces = model.remembered.of(cut.distinct)
+    numbers = pa.array(cut.numbers)
+
+    def joined(of: pa.LargeStringArray, separator: str) -> tuple[memoryview, np.ndarray]:
+        lists = pa.LargeListArray.from_arrays(pa.array(cut.places.astype(np.int64)), of.take(numbers))
+        data, places = bytes_of(pc.binary_join(lists, pa.scalar(separator, pa.large_string())))
+        return memoryview(np.ascontiguousarray(data)), places
+
+    def decoded() -> list[bytes]:
+        plain, places = joined(pc.replace_substring(surfaces, SPACE, " "), "")
+        # The first mark is the one that encoding put in front.
+        return [bytes(plain[a + 1 : b]) for a, b in zip(places[:-1], places[1:])]
+
+    out: list[pa.Array] = []
+    for column in wanted:
+        if column in ("ids", "n_tokens"):
+            flat, places = taken(ids, cut.numbers, cut.places)
+            counts = pa.array(np.diff(places))
+            lists = pa.LargeListArray.from_arrays(pa.array(places.astype(np.int64)), pa.array(flat))
+            out.append(counts if column == "n_tokens" else lists.cast(pa.list_(pa.int32())))
+        elif column == "ids_sha256":
+            spelt, places = joined(decimals, ",")
+            out.append(pa.array([hashlib.sha256(spelt[a:b]).hexdigest() for a, b in zip(places[:-1], places[1:])], pa.string()))
+        elif column == "decoded_sha256":
+            out.append(pa.array([hashlib.sha256(t).hexdigest() for t in decoded()], pa.string()))
+        else:
+            out.append(pa.array([t.decode() for t in decoded()], pa.string()))
+    return out

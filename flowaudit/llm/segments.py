@@ -46,9 +46,9 @@ def _solid(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return _PRINTED[last] | two
 
 
-def segments(data: np.ndarray, places: np.ndarray) -> Segments:
+def segments(data: np.ndarray, places: np.ndarray, at_lines: bool = True) -> Segments:
     """Cut texts, given as their bytes and the n + 1 places where they start and end."""
-    gaps = np.flatnonzero(_GAP[data])
+    gaps = np.flatnonzero(_GAP[data] if at_lines else data == 32)
     gaps = gaps[gaps > 0]
     cut = np.zeros(len(data), dtype=bool)
     cut[gaps[_solid(data, gaps)]] = True
