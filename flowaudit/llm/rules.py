@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowaudit.llm.scratch import Scratch
-from flowaudit.llm.textops import text_bytes, word_hashes
+from flowaudit.llm.textops import parts_of, text_bytes, word_hashes
 
 STATISTICS = (
     "log_words", "mean_word", "upper_share", "digit_share", "mark_share", "symbol_share", "bang_share",
@@ -55,7 +55,7 @@ def text_statistics(df: DataFrame, text_col: str = "text", keep: Sequence[str] =
     keep = list(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches, text_col):
             data, places = text_bytes(batch.column(text_col))
             words, ends = word_hashes(data, places)
             table = np.zeros((len(batch), len(STATISTICS)))

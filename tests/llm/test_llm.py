@@ -7,6 +7,7 @@ import html
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -159,6 +160,49 @@ def test_near_duplicates_equal_brute_force(spark, size):
     }
 
 
+def test_folded_sketches_are_those_of_fewer_places():
+    found = np.unique(np.random.default_rng(1).integers(0, 2**64, 40_000, dtype=np.uint64))
+    long = minhash._odd_sketch(found)
+    assert len(long) * 64 == 65_536
+    for few in (10, 3000, 10_000):
+        short = minhash._odd_sketch(found[:few])
+        parity = np.bincount((found[:few] >> np.uint64(40)) & np.uint64(4095), minlength=4096) & 1
+        folded = minhash._folded(short, 64)
+        assert np.unpackbits(folded.view(np.uint8)).tolist() == parity.tolist()
+
+
+@pytest.mark.parametrize("n", [500, 3_000, 12_000, 60_000])
+def test_sketches_rule_out_unlike_sets_of_any_size_and_no_link(n):
+    rng = np.random.default_rng(n)
+    template = rng.integers(0, 2**64, 2 * n, dtype=np.uint64)
+
+    def sets_of(similarity):
+        shared = int(2 * n * similarity / (1 + similarity))
+        return [
+            np.unique(np.concatenate([template[:shared], rng.integers(0, 2**64, k * n // 10 - shared, dtype=np.uint64)]))
+            for k in (10, 10, 10, 11, 9, 10)
+            if k * n // 10 >= shared
+        ]
+
+    def ruled_out(similarity):
+        sets = sets_of(similarity)
+        odd = pa.chunked_array([pa.array([minhash._odd_sketch(x) for x in sets], pa.list_(pa.int64()))])
+        sketches = minhash._Sketches(odd, np.array([len(x) for x in sets]), 80)
+        out = []
+        for i in range(len(sets)):
+            at = np.arange(i)
+            for j, likeness in zip(at, sketches.likeness(i, at)):
+                shared = len(np.intersect1d(sets[i], sets[j]))
+                linked = 100 * shared >= 80 * (len(sets[i]) + len(sets[j]) - shared)
+                assert not linked or likeness >= 0
+                out.append((linked, likeness < 0))
+        return out
+
+    assert all(gone for _, gone in ruled_out(0.5))
+    assert all(gone for _, gone in ruled_out(0.1))
+    assert any(linked for linked, _ in ruled_out(0.85))
+
+
 def test_one_of_each_group_keeps_null_ids_and_one_of_repeated_rows(spark):
     text = "the same words again and again in one line"
     rows = [(1, text, "en", "s", 0), (1, text, "en", "s", 0), (2, text.upper(), "en", "s", 0), (None, text, "en", "s", 0),
@@ -356,7 +400,7 @@ def test_parts_become_ordered_placeholders(spark):
 # 8 pieces
 
 
-def test_pieces_equal_the_library():
+def test_pieces_equal_the_library(monkeypatch):
     from sentencepiece import SentencePieceProcessor
 
     path = public_tokenizers.path("piece_bpe_32k.model")
@@ -371,8 +415,17 @@ def test_pieces_equal_the_library():
         ids = library.encode(t)
         assert model.encode(t) == ids, t
         assert model.decode(ids) == library.decode(ids), t
-        assert model.digest(t) == (len(ids), ",".join(map(str, ids)), library.decode(ids)), t
         assert model.segment_pieces("ab") == model._backtracked("ab")
+    columns = ["ids", "decoded", "n_tokens", "ids_sha256", "decoded_sha256"]
+    for most in (10, 800_000):
+        monkeypatch.setattr(pieces, "REMEMBERED", most)
+        for low in range(0, len(texts), 1500):
+            part = texts[low : low + 1500]
+            found = zip(*[c.to_pylist() for c in pieces._block_columns(model, pa.array(part, pa.large_string()), columns)])
+            for t, row in zip(part, found):
+                ids = library.encode(t)
+                digests = [hashlib.sha256(x.encode()).hexdigest() for x in (",".join(map(str, ids)), library.decode(ids))]
+                assert row == (ids, library.decode(ids), len(ids), *digests), t
     raw = [model.byte_ids[b] for b in b"\xe6\x97a\xff"]
     assert model.decode(raw) == library.decode(raw)
 
@@ -500,6 +553,62 @@ def test_neighbours_decide_inside_an_article(page, text):
     assert pages.main_text(page) == text
 
 
+L = LONG.strip()
+COMMENTS = f"<li>{LONG}</li><li>{LONG * 2}</li>"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        # Names that only contain a word of boilerplate, and headings.
+        (f"<article><h2 id='navigation'>Of ships</h2><p>{LONG}</p></article>", f"Of ships {L}"),
+        (f"<article><p>{LONG}</p><section id='search-algorithms'><p>{LONG}</p></section></article>", f"{L} {L}"),
+        (f"<article><p>{LONG}</p><section class='related-work'><p>{LONG}</p></section></article>", f"{L} {L}"),
+        (f"<article><p>{LONG}</p><p class='share-price'>It fell by 3.</p></article>", f"{L} It fell by 3."),
+        (f"<div class='search-help'>Type to find</div><p>{LONG}</p><p>{LONG}</p>", f"{L} {L}"),
+        # Wrappers of the whole page.
+        *[
+            (f"<div class='{c}'><nav><a href=a>Home</a></nav><p>{LONG}</p><p>{LONG}</p></div>", f"{L} {L}")
+            for c in (
+                "content with-sidebar", "no-sidebar", "content two-column menu-left", "search-results-page", "modal",
+                "page sidebar-right",
+            )
+        ],
+        (f"<div class='sidebar'><p>{LONG}</p></div><div><p>{LONG}</p><p>{LONG}</p></div>", f"{L} {L}"),
+        # A few short lines.
+        ("<h1>Short</h1><p>MARK closed today.</p>", "Short MARK closed today."),
+        ("<h1>Notice of closure</h1><p>Bridge closed 4 May.</p><p>Call 555.</p>", "Notice of closure Bridge closed 4 May. Call 555."),
+        ("<nav><a href=a>Home</a></nav><p>Gone.</p><div>Copyright 2020</div><div class=ad>Buy now</div>", "Gone."),
+        # Formulas.
+        (f"<article><p>{LONG}so <math><mi>a</mi><mo>=</mo><mi>b</mi><annotation>a=b</annotation></math>.</p></article>", f"{LONG}so a=b."),
+        # Readers.
+        *[
+            (f"<article><p>{LONG}</p></article><{e}>{COMMENTS}</{e.split()[0]}>", L)
+            for e in (
+                "ol class='commentlist'", "div class='usercomments'", "div id='disqus_thread'", "section class='user-comments'",
+                "ul class='comments-area'",
+            )
+        ],
+        (f"<article><p>{LONG}</p><section id='discussion'>{COMMENTS}</section></article>", L),
+        (f"<div><p>{LONG}</p><div class='commentary'><p>{LONG}</p></div></div>", f"{L} {L}"),
+    ],
+)
+def test_names_are_one_hint_among_others(page, text):
+    assert pages.main_text(page) == text
+
+
+@pytest.mark.parametrize("tag", ["<div>", "<div class=menu>", "<b>x</i>", "<li>x", "<p>x<td>y</td>", "<article>", "<a href=b>", "<x '"])
+def test_time_grows_with_the_length_of_a_page(tag):
+    start = time.process_time()
+    pages.main_text(tag * 50_000 + f"<p>{LONG}</p>")
+    assert time.process_time() - start < 4
+
+
+def test_extraction_of_very_long_pages():
+    page = f"<nav><a href=a>Home</a></nav><article>{f'<p>{LONG}</p>' * 20_000}</article>"
+    assert pages.main_text(page) == " ".join([L] * 20_000)
+
+
 def test_extraction_keeps_columns_and_replaces_text(spark):
     df = spark.createDataFrame([(1, "u", "<article>x</article>", "old"), (1, "u", None, "old")], "page_id int, url string, html string, text string")
     assert sorted(r.text for r in pages.extract_pages(df).collect()) == ["", "x"]
