@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowaudit.functions.payload import is_json, property_map
+from flowaudit.functions.payload import property_map
 from flowaudit.functions.text import compose_type_name
 from flowaudit.operators.joins import lookup
 from flowaudit.operators.lag import unique_matches
@@ -18,19 +18,92 @@ COMMANDS = ("mon", "describe")
 COMPONENT_TYPES = ("APP", "SOURCE", "STREAM", "TARGET", "TYPE")
 
 
-def _well_formed(df: DataFrame) -> DataFrame:
-    known = F.col("command").isin(*COMMANDS) & F.col("type").isin(*COMPONENT_TYPES)
-    return df.withColumn("__ok", F.coalesce(known & is_json(F.col("jsondata")), F.lit(False)))
+def with_reason(df: DataFrame, payload: str = "jsondata") -> DataFrame:
+    """Add why a payload cannot be captured as ``reason``, null where it can.
+
+    The first that holds of: ``command`` or ``type`` not known, payload ``missing``, not ``json``, or JSON
+    but no ``object``. The payload is parsed once.
+    """
+    parsed = F.schema_of_variant(F.try_parse_json(F.col(payload)))
+    reason = (
+        F.when(~F.coalesce(F.col("command").isin(*COMMANDS), F.lit(False)), "command")
+        .when(~F.coalesce(F.col("type").isin(*COMPONENT_TYPES), F.lit(False)), "type")
+        .when(F.col(payload).isNull(), "missing")
+        .when(parsed.isNull(), "json")
+        .when(~parsed.startswith("OBJECT"), "object")
+    )
+    return df.withColumn("reason", reason)
 
 
 def capture(df: DataFrame) -> DataFrame:
-    """Payloads with a known command, a known component kind and JSON that parses."""
-    return _well_formed(df).where("__ok").drop("__ok")
+    """Payloads with a known command, a known component kind and a JSON object."""
+    return _judged(df).where("__reason IS NULL").drop("__reason")
 
 
 def capture_rejects(df: DataFrame) -> DataFrame:
-    """The payloads that ``capture`` leaves out."""
-    return _well_formed(df).where(~F.col("__ok")).drop("__ok")
+    """The payloads that ``capture`` leaves out; ``with_reason`` says why."""
+    return _judged(df).where("__reason IS NOT NULL").drop("__reason")
+
+
+def _judged(df: DataFrame) -> DataFrame:
+    named = with_reason(df.select("command", "type", "jsondata", F.struct("*").alias("__row")))
+    return named.select("__row.*", F.col("reason").alias("__reason"))
+
+
+def reject_counts(df: DataFrame) -> DataFrame:
+    """Rows per reason, those kept under ``kept``; they add up to the rows of ``df``."""
+    judged = _judged(df).groupBy(F.coalesce("__reason", F.lit("kept")).alias("reason"))
+    return judged.agg(F.count(F.lit(1)).alias("row_count"))
+
+
+_BRACKETS = r'"(?:[^"\\]|\\.)*"|[^\[\]{}]'
+
+
+def _depth(df: DataFrame, payload: str) -> int:
+    """Levels of the most nested payload, from its brackets outside of strings."""
+    marks = F.split(F.regexp_replace(payload, _BRACKETS, ""), "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(state, mark):
+        now = state["now"] + F.when(mark.isin("{", "["), 1).when(mark.isin("}", "]"), -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(state["most"], now).alias("most"))
+
+    deepest = F.max(F.aggregate(marks, start, step, lambda state: state["most"]))
+    return df.where(F.try_parse_json(F.col(payload)).isNotNull()).agg(deepest).first()[0] or 0
+
+
+def payload_paths(df: DataFrame, payload: str = "jsondata") -> DataFrame:
+    """One row per value of each payload at any depth: its ``path``, ``kind`` and text ``value``.
+
+    A path reads ``a.b[0].c``; keys that are no plain names stand as ``['key']``. Objects and arrays give
+    a row of their own only where they are empty. Kinds are object, array, string, number, boolean and
+    null. Payloads that are no JSON give no rows; ``with_reason`` names them. The payload is parsed once and opened
+    level by level in one pass; how many levels there are is read from the brackets first.
+    """
+    kept = [F.col(f"`{c}`") for c in df.columns if c != payload]
+    levels = _depth(df, payload)
+    rows = df.select(F.struct(*kept).alias("__kept"), F.try_parse_json(F.col(payload)).alias("__v"), F.lit("").alias("__path"))
+    rows = rows.where(F.col("__v").isNotNull())
+    for _ in range(levels):
+        held = F.to_json("__v")
+        nested = F.schema_of_variant("__v").rlike("^(OBJECT|ARRAY)") & ~held.isin("{}", "[]")
+        opened = rows.withColumn("__open", F.when(nested, F.col("__v")))
+        inside = df.sparkSession.tvf.variant_explode_outer(F.col("__open").outer())
+        plain = F.when(F.col("key").rlike(r"^\w+$"), F.concat(F.lit("."), "key"))
+        named = F.coalesce(plain, F.concat(F.lit("['"), "key", F.lit("']")))
+        step = F.when(F.col("key").isNotNull(), named).otherwise(F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]")))
+        rows = opened.lateralJoin(inside).select(
+            "__kept",
+            F.when(F.col("__open").isNull(), F.col("__v")).otherwise(F.col("value")).alias("__v"),
+            F.when(F.col("__open").isNull(), F.col("__path")).otherwise(F.concat("__path", step)).alias("__path"),
+        )
+    said = F.schema_of_variant("__v")
+    kind = (
+        F.when(said.startswith("OBJECT"), "object").when(said.startswith("ARRAY"), "array").when(said == "STRING", "string")
+        .when(said == "BOOLEAN", "boolean").when(said == "VOID", "null").otherwise("number")
+    )
+    value = F.when(kind == "string", F.col("__v").cast("string")).when(kind != "null", F.to_json("__v"))
+    return rows.select("__kept.*", F.ltrim(F.col("__path"), F.lit(".")).alias("path"), kind.alias("kind"), value.alias("value"))
 
 
 def properties(df: DataFrame, payload: str = "jsondata") -> DataFrame:

@@ -12,7 +12,7 @@ from flowaudit.operators import audit, runs, stamping
 from flowaudit.plans import inputs as i
 from flowaudit.plans.registry import query
 from flowaudit.schemas import NUMERIC
-from flowaudit.sources.conform import conform
+from flowaudit.sources.conform import conform, lost_counts
 
 FIRST_START = datetime(2023, 12, 31)
 REPEAT_S = 300
@@ -27,26 +27,43 @@ REPEAT_S = 300
   CAST(NULL AS VARCHAR) AS note FROM ev""",
 )
 def conform_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    typed = conform(_untyped(spark, sf_dir), TYPED)
+    return typed.select(
+        "event_id", F.col("reading").cast("double").alias("reading"),
+        i.us("at").alias("at_us"), "flag", "note",
+    )
+
+
+@query(
+    "conform_lost",
+    """SELECT column_name, count(*) AS lost_values FROM (
+  SELECT CASE event_type WHEN 'error' THEN ['reading', 'flag'] WHEN 'view' THEN ['at', 'flag']
+    WHEN 'click' THEN [] WHEN 'signup' THEN [] ELSE ['flag'] END AS lost FROM events), unnest(lost) AS t(column_name)
+GROUP BY 1""",
+)
+def conform_lost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many values of each column do not fit."""
+    return lost_counts(_untyped(spark, sf_dir), TYPED)
+
+
+TYPED = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("reading", NUMERIC),
+    T.StructField("at", T.TimestampType()),
+    T.StructField("flag", T.BooleanType()),
+    T.StructField("note", T.StringType()),
+])
+
+
+def _untyped(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
-    feed = i.events(spark, sf_dir).select(
+    return i.events(spark, sf_dir).select(
         "event_id",
         F.when(kind == "error", "n/a").otherwise(F.col("value").cast("string")).alias("reading"),
         F.when(kind == "view", "soon").otherwise(F.col("ts").cast("string")).alias("at"),
         F.when(kind == "click", "true").when(kind == "signup", "false").otherwise("?").alias("flag"),
         F.lit("dropped").alias("unknown"),
     )
-    schema = T.StructType([
-        T.StructField("event_id", T.LongType()),
-        T.StructField("reading", NUMERIC),
-        T.StructField("at", T.TimestampType()),
-        T.StructField("flag", T.BooleanType()),
-        T.StructField("note", T.StringType()),
-    ])
-    typed = conform(feed, schema)
-    return typed.select(
-        "event_id", F.col("reading").cast("double").alias("reading"),
-        i.us("at").alias("at_us"), "flag", "note",
-    )
 
 
 @query(

@@ -53,6 +53,43 @@ def payload_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad.groupBy("component_name").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+@query(
+    "payload_reject_reasons",
+    """SELECT CASE WHEN event_type = 'error' THEN 'command' WHEN event_type = 'click' THEN 'json'
+  WHEN event_type = 'view' AND event_id % 2 = 0 THEN 'object' WHEN event_type = 'signup' AND event_id % 3 = 0 THEN 'missing'
+  ELSE 'kept' END AS reason, count(*) AS row_count FROM events GROUP BY 1""",
+)
+def payload_reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every second view sends an array, every third signup nothing; all rows are kept or rejected once."""
+    sent = captured(i.events(spark, sf_dir))
+    array = (F.col("component_name") == "view") & (F.col("event_id") % 2 == 0)
+    nothing = (F.col("component_name") == "signup") & (F.col("event_id") % 3 == 0)
+    text = F.when(array, "[1, 2]").when(~nothing, F.col("jsondata"))
+    return payloads.reject_counts(sent.withColumn("jsondata", text))
+
+
+_NESTED_SQL = """SELECT event_id, 'band' AS path, 'number' AS kind, CAST(k // 25 AS VARCHAR) AS value FROM ev
+UNION ALL SELECT event_id, 'kind', 'string', event_type FROM ev
+UNION ALL SELECT event_id, 'limits.rows', 'number', CAST(k AS VARCHAR) FROM ev
+UNION ALL SELECT event_id, 'limits.on', 'boolean', CASE WHEN k > 50 THEN 'true' ELSE 'false' END FROM ev
+UNION ALL SELECT event_id, 'limits[''a b'']', 'null', NULL FROM ev
+UNION ALL SELECT event_id, 'steps[0].at', 'string', '{[' FROM ev
+UNION ALL SELECT event_id, 'steps[1][0]', 'number', '2' FROM ev
+UNION ALL SELECT event_id, 'steps[1][1].deep.er', 'array', '[]' FROM ev"""
+
+
+@query("payload_paths", f"WITH {i.EV} {_NESTED_SQL}")
+def payload_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested payloads of every event, opened down to their single values."""
+    ev = i.events(spark, sf_dir)
+    text = F.concat(
+        F.lit('{"band": '), F.floor(F.col("k") / 25).cast("bigint").cast("string"), F.lit(', "kind": "'), "event_type",
+        F.lit('", "limits": {"rows": '), F.col("k").cast("string"), F.lit(', "on": '), (F.col("k") > 50).cast("string"),
+        F.lit(', "a b": null}, "steps": [{"at": "{["}, [2, {"deep": {"er": []}}]]}'),
+    )
+    return payloads.payload_paths(ev.select("event_id", text.alias("jsondata")))
+
+
 @query(
     "payload_properties",
     f"""WITH {i.EV} SELECT event_id, 'band' AS property, CAST(k // 25 AS VARCHAR) AS value

@@ -56,6 +56,22 @@ def conform_rejects(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.where(_lost(df, schema))
 
 
+def lost_columns(df: DataFrame, schema: T.StructType, name: str = "lost") -> DataFrame:
+    """Add the names of the columns whose value does not fit, an empty list where all do."""
+    lost = [
+        F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name))
+        for f in schema
+        if f.name in df.columns
+    ]
+    return df.withColumn(name, F.array_compact(F.array(*lost)) if lost else F.array().cast("array<string>"))
+
+
+def lost_counts(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """How many values of each column do not fit, one row per column that has any."""
+    lost = lost_columns(df, schema, "__lost").select(F.explode("__lost").alias("column_name"))
+    return lost.groupBy("column_name").agg(F.count(F.lit(1)).alias("lost_values"))
+
+
 def shape(df: DataFrame, table: Table) -> DataFrame:
     """Bring rows to a monitoring table's schema and give them their surrogate id.
 

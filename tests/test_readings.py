@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -321,3 +322,47 @@ def test_context(spark, rows, split):
     )
     out = logs.with_context(df, 1, 1, split_rows=split)
     assert rows(out, "line_no", "contextbuffertext") == [(1, "1\n2"), (2, "1\n2\n3"), (3, "2\n3")]
+
+
+def _leaves(value, path=""):
+    if isinstance(value, dict) and value:
+        for key, inner in value.items():
+            step = f".{key}" if re.fullmatch(r"\w+", key, re.ASCII) else f"['{key}']"
+            yield from _leaves(inner, path + step)
+    elif isinstance(value, list) and value:
+        for at, inner in enumerate(value):
+            yield from _leaves(inner, f"{path}[{at}]")
+    else:
+        kind = {dict: "object", list: "array", str: "string", bool: "boolean", type(None): "null"}.get(type(value), "number")
+        text = None if value is None else value if kind == "string" else json.dumps(value)
+        yield (path.lstrip("."), kind, text)
+
+
+def test_payload_paths_reach_any_depth(spark):
+    deep = 7
+    for level in range(30):
+        deep = {"a": deep} if level % 2 else [deep]
+    values = [
+        {"a": {"b": 1}, "x y": [True, None, {"c": []}]}, {}, [], [1, "two", [3]], "alone", 5, None,
+        {"quo\"te": "{[\\\"", "e": {}}, deep, {"s": "1.5", "n": 1.5, "é": "ü"},
+    ]
+    texts = [json.dumps(v, ensure_ascii=False) for v in values]
+    rows = [(k, "clash", t) for k, t in enumerate([*texts, "{broken", None])]
+    df = spark.createDataFrame(rows, "id int, key string, jsondata string")
+    found = payloads.payload_paths(df)
+    assert found.columns == ["id", "key", "path", "kind", "value"]
+    wanted = [(k, "clash", *leaf) for k, v in enumerate(values) for leaf in _leaves(v)]
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(wanted, key=repr)
+    assert payloads.payload_paths(df.limit(0)).count() == 0
+
+
+def test_every_payload_is_kept_or_rejected_with_a_reason(spark):
+    good = ("mon", "APP", '{"a": 1}')
+    rows = [good, ("stop", "APP", "{}"), (None, None, None), ("mon", "app", "{}"), ("describe", "TYPE", None),
+            ("mon", "APP", "[1,2]"), ("mon", "APP", "3"), ("mon", "APP", "{bad"), ("mon", "APP", "")]
+    df = spark.createDataFrame(rows, "command string, type string, jsondata string").withColumn("reason", F.lit("own"))
+    assert [tuple(r)[:3] for r in payloads.capture(df).collect()] == [good]
+    rejected = payloads.capture_rejects(df)
+    assert rejected.columns == df.columns and rejected.count() == len(rows) - 1
+    counts = {r.reason: r.row_count for r in payloads.reject_counts(df).collect()}
+    assert counts == {"kept": 1, "command": 2, "type": 1, "missing": 1, "object": 2, "json": 2}
