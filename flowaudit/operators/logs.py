@@ -81,6 +81,29 @@ def parse_whole_logs(
     return parsed.withColumn(line, F.col("__text")).drop("__text")
 
 
+def parse_with_raw_context(
+    lines: DataFrame,
+    before: int,
+    after: int,
+    keys: Sequence[str] = ("file_path",),
+    order: Sequence[str] = ("block_start", "row_no"),
+    line: str = "value",
+    name: str = "contextbuffertext",
+    split_rows: int | None = SPLIT_ROWS,
+    **options: object,
+) -> DataFrame:
+    """Typed entries with the lines around each as they stand in the file, entries or not.
+
+    Stack traces and garbled lines count as lines and are shown. Only ``before + 1 + after`` lines
+    are gathered per entry, so a dump of any length between two entries stays in rows of its own.
+    ``lines`` must carry ``keys`` and ``order``, as ``read_logs`` gives them; for rotated files of
+    one server, take the server as key and ``file_path`` as first of ``order``. Further options are
+    those of ``parse_logs``. ``lines`` is read up to three times.
+    """
+    around = with_neighbour_text(lines, keys, order, line, name, before, after, split_rows)
+    return parse_logs(around, line=line, **options)
+
+
 def log_rejects(lines: DataFrame, pattern: str = LINE_PATTERN, line: str = "value") -> DataFrame:
     """The lines that do not match."""
     return lines.where(~F.coalesce(F.col(line).rlike(pattern), F.lit(False)))

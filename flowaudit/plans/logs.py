@@ -61,13 +61,13 @@ def log_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     return around.select("line_no", "server", "contextbuffertext")
 
 
-@query(
-    "error_context",
-    f"""WITH {i.EV}, {i.LINES_SQL}, c AS (
+ERROR_CONTEXT_SQL = f"""WITH {i.EV}, {i.LINES_SQL}, c AS (
 SELECT line_no, log_level, app_name, string_agg(value, chr(10)) OVER (PARTITION BY app_name ORDER BY ts, line_no
   ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS contextbuffertext FROM lines)
-SELECT line_no, app_name, contextbuffertext FROM c WHERE log_level = 'ERROR'""",
-)
+SELECT line_no, app_name, contextbuffertext FROM c WHERE log_level = 'ERROR'"""
+
+
+@query("error_context", ERROR_CONTEXT_SQL)
 def error_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of the same app around each error."""
     parsed = stored_entries(spark, sf_dir)

@@ -22,10 +22,12 @@ def read_logs(spark: SparkSession, path: str) -> DataFrame:
     """Log lines with the file they come from and their place in it.
 
     ``block_start`` is where the piece of the file begins that a task reads, ``row_no`` rises from
-    line to line within the piece; in this order the lines stand in the file.
+    line to line within the piece; in this order the lines stand in the file. Folders such as
+    ``server=a`` add a column.
     """
-    return spark.read.text(path).select(
-        "value",
+    lines = spark.read.text(path)
+    return lines.select(
+        *lines.columns,
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("row_no"),

@@ -2,13 +2,15 @@
 
 Spark refuses ``lag`` on streams. A keyed state holds each row until the watermark has passed it,
 then takes the rows of the key in time order, next to the last one taken. The inputs hold one row
-per key and run, so a key's state is the rows of the delay and one more.
+per key and run, so a key's state is the rows of the delay and one more. The one more can come from
+stored history when the stream starts, and goes again where a key's rows end.
 """
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Iterator, Sequence
+from datetime import timedelta
 from decimal import ROUND_HALF_UP, Context, Decimal
 
 from pyspark import cloudpickle
@@ -22,18 +24,20 @@ from flowaudit.streaming.sinks import use_keyed_state
 # Workers get the processors with the job and need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_AT = "__at_us"
+AT = "__at_us"
 _BITS = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}
 
 
 class InTimeOrder(StatefulProcessor):
     """Hold rows until they are final and pass them on in order; subclasses say what comes out."""
 
-    def __init__(self, row_schema: T.StructType, sort_by: Sequence[str], result: Sequence[str]):
+    def __init__(self, row_schema: T.StructType, sort_by: Sequence[str], result: Sequence[str],
+                 expire: timedelta | None = None):
         self.row_schema = row_schema
         self.names = row_schema.fieldNames()
-        self.sort_at = [self.names.index(c) for c in (_AT, *sort_by)]
+        self.sort_at = [self.names.index(c) for c in (AT, *sort_by)]
         self.result = list(result)
+        self.expire_us = None if expire is None else expire // timedelta(microseconds=1)
 
     def follow(self, before: dict | None, row: dict) -> dict | None:
         """Output of ``row`` given the row before it, or None for no output."""
@@ -45,7 +49,7 @@ class InTimeOrder(StatefulProcessor):
         self.last = handle.getValueState("last", self.row_schema)
         self.due = handle.getValueState("due", "at_ms bigint")
 
-    def _wait_for(self, at_us: int) -> None:
+    def wait_for(self, at_us: int) -> None:
         at_ms = -(-at_us // 1000)
         if self.due.exists():
             current = self.due.get()[0]
@@ -55,16 +59,30 @@ class InTimeOrder(StatefulProcessor):
         self.handle.registerTimer(at_ms)
         self.due.update((at_ms,))
 
+    def _keep_last(self, values: tuple) -> None:
+        self.last.update(values)
+        self._wait_for_end(values)
+
+    def _wait_for_end(self, values: tuple) -> None:
+        if self.expire_us is not None:
+            self.wait_for(values[self.names.index(AT)] + self.expire_us)
+
+    def _ended(self, before: dict | None, at_us: int) -> bool:
+        return None not in (before, self.expire_us) and at_us - before[AT] > self.expire_us
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self._keep_last(tuple(initialState[c] for c in self.names))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         fresh = [tuple(row[c] for c in self.names) for row in rows]
         if fresh:
             self.held.appendList(fresh)
-            self._wait_for(min(values[self.names.index(_AT)] for values in fresh))
+            self.wait_for(min(values[self.names.index(AT)] for values in fresh))
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        final_us = timerValues.getCurrentWatermarkInMs() * 1000
-        at = self.names.index(_AT)
+    def take_ready(self, final_us: int) -> list[tuple]:
+        """The held rows that are final, in order; the others go on waiting."""
+        at = self.names.index(AT)
         held = sorted(
             (tuple(r) for r in self.held.get()), key=lambda r: tuple(r[p] for p in self.sort_at)
         )
@@ -74,16 +92,26 @@ class InTimeOrder(StatefulProcessor):
         self.held.clear()
         if rest:
             self.held.put(rest)
-            self._wait_for(rest[0][at])
-        before = dict(zip(self.names, self.last.get())) if self.last.exists() else None
+            self.wait_for(rest[0][at])
+        return ready
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        final_us = timerValues.getCurrentWatermarkInMs() * 1000
+        ready = self.take_ready(final_us)
+        last = tuple(self.last.get()) if self.last.exists() else None
+        before = dict(zip(self.names, last)) if last else None
         for values in ready:
             row = dict(zip(self.names, values))
-            out = self.follow(before, row)
+            out = self.follow(None if self._ended(before, row[AT]) else before, row)
             if out is not None:
                 yield Row(**{c: out[c] for c in self.result})
             before = row
         if ready:
-            self.last.update(ready[-1])
+            self._keep_last(ready[-1])
+        elif last and self._ended(before, final_us + 1):
+            self.last.clear()
+        elif last:
+            self._wait_for_end(last)
 
     def close(self) -> None:
         pass
@@ -92,8 +120,8 @@ class InTimeOrder(StatefulProcessor):
 class RowDeltas(InTimeOrder):
     """Change of each counter since the key's row before."""
 
-    def __init__(self, row_schema, sort_by, result, changes: dict[str, T.StructField]):
-        super().__init__(row_schema, sort_by, result)
+    def __init__(self, row_schema, sort_by, result, changes: dict[str, T.StructField], expire=None):
+        super().__init__(row_schema, sort_by, result, expire)
         self.changes = changes
 
     def follow(self, before, row):
@@ -119,8 +147,8 @@ def _change(before, now, kind: T.DataType):
 class Changes(InTimeOrder):
     """Rows seen first for their key, or whose version differs from the row before."""
 
-    def __init__(self, row_schema, sort_by, result, version: str):
-        super().__init__(row_schema, sort_by, result)
+    def __init__(self, row_schema, sort_by, result, version: str, expire=None):
+        super().__init__(row_schema, sort_by, result, expire)
         self.version = version
 
     def follow(self, before, row):
@@ -133,7 +161,7 @@ def _stamps(schema: T.StructType) -> list[str]:
     return [f.name for f in schema if isinstance(f.dataType, T.TimestampType)]
 
 
-def _encoded(df: DataFrame, ts: str, delay: str | None) -> DataFrame:
+def encoded(df: DataFrame, ts: str, delay: str | None) -> DataFrame:
     """Rows as they go to the processors, with instants as microseconds.
 
     Instants would take the time zone of the worker on their way through Python. The event time
@@ -144,26 +172,41 @@ def _encoded(df: DataFrame, ts: str, delay: str | None) -> DataFrame:
     use_keyed_state(df.sparkSession)
     if delay is not None:
         df = df.withWatermark(ts, delay)
+    return _as_numbers(df, ts)
+
+
+def _as_numbers(df: DataFrame, ts: str) -> DataFrame:
     others = {c: F.unix_micros(c) for c in _stamps(df.schema) if c != ts}
-    return df.where(F.col(ts).isNotNull()).withColumns({**others, _AT: F.unix_micros(ts)})
+    return df.where(F.col(ts).isNotNull()).withColumns({**others, AT: F.unix_micros(ts)})
+
+
+def _newest(history: DataFrame | None, keys: Sequence[str], ts: str, sort_by: Sequence[str], held: T.StructType):
+    """The last row of each key of a stored result, grouped as the state a stream starts from."""
+    if history is None:
+        return None
+    rows = _as_numbers(history, ts)
+    last = F.max_by(F.struct(*held.fieldNames()), F.struct(AT, *sort_by)).alias("__last")
+    newest = rows.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(last)
+    fields = [F.col("__last")[f.name].cast(f.dataType).alias(f.name) for f in held]
+    return newest.select(*fields).groupBy(*keys)
 
 
-def _held_schema(rows: DataFrame, ts: str) -> T.StructType:
+def held_schema(rows: DataFrame, ts: str) -> T.StructType:
     return T.StructType([f for f in rows.schema if f.name != ts])
 
 
-def _result_schema(df: DataFrame, ts: str, added: Sequence[T.StructField] = ()) -> T.StructType:
+def result_schema(df: DataFrame, ts: str, added: Sequence[T.StructField] = ()) -> T.StructType:
     stamps = _stamps(df.schema)
     fields = [
-        T.StructField(_AT if f.name == ts else f.name, T.LongType() if f.name in stamps else f.dataType)
+        T.StructField(AT if f.name == ts else f.name, T.LongType() if f.name in stamps else f.dataType)
         for f in df.schema
     ]
     return T.StructType([*fields, *added])
 
 
-def _decoded(out: DataFrame, df: DataFrame, ts: str, added: Sequence[str] = ()) -> DataFrame:
+def decoded(out: DataFrame, df: DataFrame, ts: str, added: Sequence[str] = ()) -> DataFrame:
     stamps = _stamps(df.schema)
-    return out.withColumnRenamed(_AT, ts).select(
+    return out.withColumnRenamed(AT, ts).select(
         *[F.timestamp_micros(c).alias(c) if c in stamps else c for c in df.columns], *added
     )
 
@@ -184,18 +227,26 @@ def delta_by_row_stream(
     delay: str | None = None,
     sort_by: Sequence[str] = (),
     suffix: str = "_sli",
+    history: DataFrame | None = None,
+    expire: timedelta | None = None,
 ) -> DataFrame:
     """Streaming form of ``delta_by_row``; rows come out once the watermark has passed them.
 
     A change has the type it has in the batch form. Rows without a time are in ``time_rejects``.
+    With ``history``, stored rows with the columns of ``df``, the first change of a key is that
+    since its last stored row; it is read once, when the stream is started for the first time.
+    With ``expire``, a row more than that long after its key's last counts as the key's first, and
+    the state of a key goes once the watermark is so far.
     """
-    rows = _encoded(df, ts, delay)
+    rows = encoded(df, ts, delay)
     kinds = df.select(*[F.try_subtract(c, c).alias(c) for c in cols]).schema
     changes = {f.name: T.StructField(f"{f.name}{suffix}", f.dataType) for f in kinds}
-    result = _result_schema(df, ts, list(changes.values()))
-    processor = RowDeltas(_held_schema(rows, ts), sort_by, result.fieldNames(), changes)
-    out = rows.groupBy(*keys).transformWithState(processor, result, "append", "eventTime")
-    return _decoded(out, df, ts, [c.name for c in changes.values()])
+    result = result_schema(df, ts, list(changes.values()))
+    held = held_schema(rows, ts)
+    processor = RowDeltas(held, sort_by, result.fieldNames(), changes, expire)
+    start = _newest(history, keys, ts, sort_by, held)
+    out = rows.groupBy(*keys).transformWithState(processor, result, "append", "eventTime", start)
+    return decoded(out, df, ts, [c.name for c in changes.values()])
 
 
 def emit_on_change_stream(
@@ -205,13 +256,21 @@ def emit_on_change_stream(
     ts: str = "batch_ts",
     delay: str | None = None,
     sort_by: Sequence[str] = (),
+    history: DataFrame | None = None,
+    expire: timedelta | None = None,
 ) -> DataFrame:
-    """Streaming form of ``emit_on_change``; rows without a time are in ``time_rejects``."""
-    rows = _encoded(df, ts, delay)
-    result = _result_schema(df, ts)
-    processor = Changes(_held_schema(rows, ts), sort_by, result.fieldNames(), version)
-    out = rows.groupBy(*keys).transformWithState(processor, result, "append", "eventTime")
-    return _decoded(out, df, ts)
+    """Streaming form of ``emit_on_change``; rows without a time are in ``time_rejects``.
+
+    ``history`` and ``expire`` are those of ``delta_by_row_stream``; a key that comes back after
+    ``expire`` is emitted again.
+    """
+    rows = encoded(df, ts, delay)
+    result = result_schema(df, ts)
+    held = held_schema(rows, ts)
+    processor = Changes(held, sort_by, result.fieldNames(), version, expire)
+    start = _newest(history, keys, ts, sort_by, held)
+    out = rows.groupBy(*keys).transformWithState(processor, result, "append", "eventTime", start)
+    return decoded(out, df, ts)
 
 
 def delta_by_run_stream(

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
+from collections.abc import Callable, Iterable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +25,13 @@ def use_keyed_state(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def make_folder(spark: SparkSession, path: str) -> str:
+    """An empty folder, for a stream that starts before anything has landed."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    return path
+
+
 def read_landed(
     spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None
 ) -> DataFrame:
@@ -73,6 +79,27 @@ def closing_row(spark: SparkSession, schema: T.StructType, ts: str) -> DataFrame
     return spark.createDataFrame([tuple(values)], schema)
 
 
+def drain_polls(
+    polls: Iterable[DataFrame], build: Callable[[DataFrame], DataFrame], ts: str, label: str
+) -> DataFrame:
+    """Land each poll's rows and drain them before the next, then the closing row.
+
+    Every poll is one micro-batch or more of the same query, which goes on from its checkpoint.
+    Polls must follow each other in time up to the delay that ``build`` sets.
+    """
+    feed, out, log = None, None, None
+    for rows in polls:
+        spark = rows.sparkSession
+        if feed is None:
+            feed = fresh_path(spark, f"{label}-feed")
+            out, log = fresh_path(spark, f"{label}-out"), fresh_path(spark, f"{label}-log")
+            schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in rows.schema])
+        rows.write.mode("append").parquet(feed)
+        drain_to_files(build(read_landed(spark, feed, schema)), out, log)
+    closing_row(spark, schema, ts).coalesce(1).write.mode("append").parquet(feed)
+    return drain_to_files(build(read_landed(spark, feed, schema)), out, log)
+
+
 def closable(stream: DataFrame, ts: str) -> tuple[DataFrame, Callable[[], None]]:
     """A feed with a place for its closing row, and what lands the row there.
 
@@ -83,9 +110,7 @@ def closable(stream: DataFrame, ts: str) -> tuple[DataFrame, Callable[[], None]]
     """
     spark = stream.sparkSession
     nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in stream.schema])
-    path = fresh_path(spark, "closing")
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    path = make_folder(spark, fresh_path(spark, "closing"))
 
     def close() -> None:
         closing_row(spark, nullable, ts).coalesce(1).write.mode("append").parquet(path)
