@@ -336,6 +336,66 @@ def test_license_scan_equals_plain_search(spark):
     assert licenses.scan_licenses(df.limit(0)).count() == 0
 
 
+def plain_matches(w, templates, index, agree, slack):
+    """Every place tried as a start of every template."""
+    found = set()
+    for t in templates:
+        postings = index[t.label]
+        needed = licenses.needed_votes(len(postings), agree)
+        length = len(t.words)
+        for start in range(-length, len(w)):
+            if not any(0 <= start + p < len(w) and w[start + p] == x for x, p in postings):
+                continue
+            votes = sum(x in w[max(0, start + p - slack) : max(0, start + p + slack + 1)] for x, p in postings)
+            low = max(0, start - slack)
+            span = f" {' '.join(w[low : low + length + 2 * slack])} "
+            if votes >= needed and all(f" {p} " in span for p in t.phrases):
+                found.add((t.label, start, votes / len(postings)))
+    return sorted(found)
+
+
+def license_words(t):
+    return [x for x in re.split(licenses.BETWEEN, (t or "").translate({c: c + 32 for c in range(65, 91)})) if x]
+
+
+@pytest.mark.parametrize("block", [16, 1024])
+def test_license_matches_equal_trying_every_place(spark, monkeypatch, block):
+    """Whole, edited, cut, repeated and nested licence texts among other words, across block ends."""
+    monkeypatch.setattr(licenses, "BLOCK", block)
+    rng = random.Random(9)
+    texts = list(ODD_TEXTS)
+    for k in range(60):
+        parts = []
+        for t in rng.sample(licenses.TEMPLATES, rng.randrange(0, 4)):
+            w = t.text.split()
+            for _ in range(rng.choice([0, 0, 1, 4])):
+                place = rng.randrange(len(w))
+                w[place : place + rng.randrange(2)] = rng.choice([[], ["other"], ["MIT"], ["the", "software"]])
+            parts += [*["filler"] * rng.randrange(0, 40), *w[: len(w) - rng.choice([0, 0, 3])]]
+        texts.append(" ".join(parts))
+    texts += [" ".join(licenses.TEMPLATES[12].text for _ in range(30)), "license " * 3000, texts[-1], texts[-1]]
+    df = docs(spark, texts + ["plain words only"] * 200)
+    texts += ["plain words only"] * 200
+    got = by_id(licenses.scan_licenses(df))
+    vocabulary = sorted({w for t in licenses.TEMPLATES for w in t.words})
+    sets = [set(license_words(t)) for t in texts]
+    frequencies = {w: sum(w in s for s in sets) for w in vocabulary}
+    assert licenses.word_frequencies(df, "text", vocabulary) == (len(texts), frequencies)
+    index = licenses.rare_words(licenses.TEMPLATES, frequencies, len(texts), 5, 0.05)
+    found = 0
+    for k, text in enumerate(texts):
+        expected = plain_matches(license_words(text), licenses.TEMPLATES, index, 0.75, 2)
+        assert [tuple(m) for m in got[k].matches] == expected, text
+        found += len(expected)
+    assert found > 60
+
+
+def test_license_rows_with_one_id_stay_apart(spark):
+    df = spark.createDataFrame([(1, "mit license", "en", "s", 0), (1, None, "en", "s", 0), (None, "x", "en", "s", 0)], DOCS)
+    out = licenses.scan_licenses(df).collect()
+    assert sorted((r.n_words, len(r.phrase_starts)) for r in out) == [(0, 0), (1, 0), (2, 1)]
+
+
 # 6 mixing
 
 
