@@ -534,6 +534,60 @@ def test_quality_without_labels_is_constant(spark):
     assert rules.keep_good(df.limit(0), one).count() == 0
 
 
+def plain_statistics(text):
+    """The statistics of ``rules.STATISTICS``, byte by byte and word by word."""
+    w, data = words(text), (text or "").encode()
+    if not w:
+        return [0.0] * len(rules.STATISTICS)
+    counts = dict.fromkeys(("letter", "upper", "digit", "mark", "sign", "!"), 0)
+    for c in data:
+        ch = chr(c)
+        if c >= 128 or "a" <= ch <= "z":
+            counts["letter"] += 1
+        elif "A" <= ch <= "Z":
+            counts["upper"] += 1
+        elif "0" <= ch <= "9":
+            counts["digit"] += 1
+        elif ch == "!":
+            counts["!"] += 1
+        elif ch in ".,;:?'\"()-":
+            counts["mark"] += 1
+        elif 33 <= c < 127:
+            counts["sign"] += 1
+    signs, n = sum(counts.values()), len(w)
+    own = {x: w.count(x) for x in set(w)}
+    lines = data.split(b"\n")
+    ends = sum(c in b".?" and (k + 1 == len(data) or data[k + 1] <= 32) for k, c in enumerate(data))
+    return [
+        math.log1p(n), signs / n, counts["upper"] / max(1, counts["letter"] + counts["upper"]),
+        *[counts[c] / max(1, signs) for c in ("digit", "mark", "sign", "!")],
+        len(own) / n, sum(a == b for a, b in zip(w, w[1:])) / n, max(own.values()) / n,
+        len(set(lines)) / len(lines), math.log1p(n / len(lines)), ends / n,
+    ]
+
+
+def test_compiled_rules_equal_a_walk_of_the_rules(spark):
+    """Scores of the column expression against statistics, rules and weights walked in plain Python."""
+    table = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    odd = [*ODD_TEXTS, "Really? Yes! (no)\n\nA-b: 12.5%", "x\ry\tz.\n", "wort " * 5000 + "END.", "\n\n\n"]
+    extra = spark.createDataFrame([(10**6 + k, t) for k, t in enumerate(odd)], "doc_id bigint, text string")
+    df = table.unionByName(extra)
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    model, stats = rules.learn_quality(df, labels)
+    texts = {r.doc_id: r.text for r in df.collect()}
+    assert model.weights
+    scored = stats.select("*", model.score().alias("score")).collect()
+    assert len(scored) == len(texts)
+    for r in scored:
+        plain = dict(zip(rules.STATISTICS, plain_statistics(texts[r.doc_id])))
+        assert [r[f"__{s}"] for s in rules.STATISTICS] == pytest.approx(list(plain.values()), abs=1e-12), r.doc_id
+        total = model.bias
+        for rule, weight in model.weights:
+            if all((plain[s] > limit) == above for s, above, limit in rule.tests):
+                total += weight
+        assert r.score == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-9)
+
+
 # 10 pages
 
 
