@@ -45,7 +45,7 @@ def lag_stats(
     """Fastest, slowest and mean delivery per pair, over all records or the newest ``sample``."""
     if sample is not None:
         newest = [F.col(measured_at).desc(), F.col(record_id).desc()]
-        df = newest_per_key(df, pair, newest, sample)
+        df = newest_per_key(df, pair, newest, sample, by=measured_at)
     return df.groupBy(*pair).agg(
         F.min(lag).alias("min_lag"),
         F.max(lag).alias("max_lag"),
@@ -115,7 +115,7 @@ def latency_report(
     The newest record is part of the sample, so one pass gives both.
     """
     newest = [F.col(measured_at).desc(), F.col(record_id).desc()]
-    sampled = newest_per_key(df, pair, newest, sample, place="__place")
+    sampled = newest_per_key(df, pair, newest, sample, place="__place", by=measured_at)
     report = sampled.groupBy(*pair).agg(
         F.max(F.when(F.col("__place") == 1, F.col(lag))).alias("lag_end_to_end"),
         F.max(measured_at).alias("measured_at"),

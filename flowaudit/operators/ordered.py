@@ -37,6 +37,10 @@ SPLIT_ROWS = 1_000_000
 POINTS = 256
 EXACT_ROWS = 2048
 _HASHES = 1 << 30
+#: Rows per key up to which Spark keeps the first ones of each map task, and how finely levels are told apart.
+MAP_LIMIT = 1000
+_LEVELS = 24
+_FINE = 10_000
 
 
 def _same_keys(keys: Sequence[str]) -> Column:
@@ -208,13 +212,20 @@ def newest_per_key(
     n: int,
     spread: int = 64,
     place: str | None = None,
+    by: str | None = None,
 ) -> DataFrame:
     """Keep the first ``n`` rows per key in the given order.
 
     Each map task keeps ``n`` rows per key before the shuffle, ``spread`` tasks share a key in the
     first round, and the second round sees at most ``spread * n`` rows per key. ``place`` names a
     column for the 1-based place of the row.
+
+    Spark has that limit on the map side for ``n`` up to ``MAP_LIMIT``. Beyond it, name by ``by`` the
+    number or time that ``order`` starts with, descending: rows below a level that at least ``n`` rows
+    of the key reach are left out before the shuffle. ``df`` is then read three times.
     """
+    if by is not None and n > MAP_LIMIT:
+        df = _reaching_newest(df, keys, by, n)
     shared = df.withColumn("__part", F.pmod(F.spark_partition_id(), F.lit(spread)))
     first = Window.partitionBy(*keys, "__part").orderBy(*order)
     second = Window.partitionBy(*keys).orderBy(*order)
@@ -229,6 +240,32 @@ def newest_per_key(
     return kept if place else kept.drop(name)
 
 
+def _reaching_newest(df: DataFrame, keys: Sequence[str], by: str, n: int) -> DataFrame:
+    """``df`` without rows that cannot be among the ``n`` of their key with the highest ``by``.
+
+    One aggregation, combined on the map side, gives each key's levels that a half, a quarter, an
+    eighth and so on of its rows reach. The highest one is taken that ``n`` rows reach even if the
+    level is off by its bound, and it counts only if ``n`` rows are found there.
+    """
+    levels = F.percentile_approx(by, [1 - 2.0**-k for k in range(1, _LEVELS + 1)], _FINE)
+    rows = F.col("__rows")
+    step = F.least(F.floor(F.log2(rows / (n + rows / _FINE))), F.lit(_LEVELS)).cast("int")
+    names = [f"__hot_{k}" for k in keys]
+    levelled = df.groupBy(*keys).agg(F.count(by).alias("__rows"), levels.alias("__levels")).where(rows > 2 * n)
+    lows = cut(
+        levelled.withColumn("__step", step)
+        .where("__step >= 1")
+        .select(*[F.col(k).alias(f"__hot_{k}") for k in keys], F.element_at("__levels", F.col("__step")).alias("__low")),
+        "newest-levels",
+    )
+    if lows.isEmpty():
+        return df
+    reached = df.select(*dict.fromkeys([*keys, by])).join(lows, _same_keys(keys)).where(F.col(by) >= F.col("__low"))
+    sure = cut(reached.groupBy(*names, "__low").count().where(F.col("count") >= n).drop("count"), "newest-sure")
+    near = df.join(sure, _same_keys(keys), "left").where(F.col("__low").isNull() | (F.col(by) >= F.col("__low")))
+    return near.drop("__low", *names)
+
+
 def with_neighbour_text(
     df: DataFrame,
     keys: Sequence[str],

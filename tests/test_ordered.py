@@ -184,3 +184,25 @@ def test_newest_per_key(data, rows, n, spread):
     newest = [F.col("ts").desc(), F.col("n").desc()]
     out = ordered.newest_per_key(df, ["key"], newest, n, spread, place="place")
     assert rows(out, "n", "place") == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("shape", ["even", "ties", "burst", "nulls"])
+def test_newest_beyond_the_map_limit(spark, rows, shape):
+    """Levels leave out most rows of a hot key before the shuffle and none that is wanted."""
+    at = {
+        "even": F.col("id") * 7,
+        "ties": F.floor(F.col("id") / 20_000),
+        "burst": F.when(F.col("id") % 50 == 0, F.col("id")).otherwise(F.lit(90_000)),
+        "nulls": F.when(F.col("id") % 3 > 0, F.col("id")),
+    }[shape]
+    df = spark.range(0, 120_000, 1, 6).select(
+        F.when(F.col("id") % 10 < 8, F.lit("hot")).when(F.col("id") % 1000 == 9, F.lit("cold")).alias("key"),
+        F.timestamp_seconds(1_700_000_000 + at).alias("ts"), F.col("id").alias("n"),
+    )
+    n, newest = 2_000, [F.col("ts").desc(), F.col("n").desc()]
+    plain = ordered.newest_per_key(df, ["key"], newest, n, place="place")
+    assert rows(ordered.newest_per_key(df, ["key"], newest, n, place="place", by="ts")) == rows(plain)
+    left = {r.key: r["count"] for r in ordered._reaching_newest(df, ["key"], "ts", n).groupBy("key").count().collect()}
+    assert left["cold"] == 120
+    if shape in ("even", "nulls"):
+        assert n <= left["hot"] <= 4.5 * n and left[None] <= 4.5 * n
