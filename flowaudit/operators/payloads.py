@@ -56,20 +56,32 @@ def reject_counts(df: DataFrame) -> DataFrame:
     return judged.agg(F.count(F.lit(1)).alias("row_count"))
 
 
-_BRACKETS = r'"(?:[^"\\]|\\.)*"|[^\[\]{}]'
+# Possessive, as Java walks other repetitions of alternatives by recursion and fails on long strings.
+_BRACKETS = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^\[\]{}"]++'
+_EMPTY_SIBLINGS = r"(?:[{\[][}\]]){2,}+"
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows dealt to all cores: each gives many rows, and few files of small rows give few tasks."""
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
 
 
 def _depth(df: DataFrame, payload: str) -> int:
-    """Levels of the most nested payload, from its brackets outside of strings."""
-    marks = F.split(F.regexp_replace(payload, _BRACKETS, ""), "")
+    """Levels of the most nested payload, from its brackets outside of strings.
+
+    Payloads of one shape have the same brackets, so these are made distinct before they are counted.
+    """
+    is_json = F.try_parse_json(F.col(payload)).isNotNull()
+    brackets = F.regexp_replace(F.regexp_replace(F.col(payload), _BRACKETS, ""), _EMPTY_SIBLINGS, "{}")
+    shapes = _spread(df.select(F.col(payload))).where(is_json).select(brackets.alias("shape")).distinct()
     start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
 
     def step(state, mark):
         now = state["now"] + F.when(mark.isin("{", "["), 1).when(mark.isin("}", "]"), -1).otherwise(0)
         return F.struct(now.alias("now"), F.greatest(state["most"], now).alias("most"))
 
-    deepest = F.max(F.aggregate(marks, start, step, lambda state: state["most"]))
-    return df.where(F.try_parse_json(F.col(payload)).isNotNull()).agg(deepest).first()[0] or 0
+    deepest = F.max(F.aggregate(F.split("shape", ""), start, step, lambda state: state["most"]))
+    return shapes.agg(deepest).first()[0] or 0
 
 
 def payload_paths(df: DataFrame, payload: str = "jsondata") -> DataFrame:
@@ -78,31 +90,33 @@ def payload_paths(df: DataFrame, payload: str = "jsondata") -> DataFrame:
     A path reads ``a.b[0].c``; keys that are no plain names stand as ``['key']``. Objects and arrays give
     a row of their own only where they are empty. Kinds are object, array, string, number, boolean and
     null. Payloads that are no JSON give no rows; ``with_reason`` names them. The payload is parsed once and opened
-    level by level in one pass; how many levels there are is read from the brackets first.
+    level by level in one pass; how many levels there are is read from the brackets first. Opening finds
+    nothing inside plain and empty values, so only these last ones are written out as text.
     """
     kept = [F.col(f"`{c}`") for c in df.columns if c != payload]
     levels = _depth(df, payload)
-    rows = df.select(F.struct(*kept).alias("__kept"), F.try_parse_json(F.col(payload)).alias("__v"), F.lit("").alias("__path"))
-    rows = rows.where(F.col("__v").isNotNull())
+    parsed = F.try_parse_json(F.col(payload))
+    rows = _spread(df).select(F.struct(*kept).alias("__kept"), parsed.alias("__v"), F.lit("").alias("__path"))
+    rows = rows.where(F.col("__v").isNotNull()).withColumn("__open", F.col("__v"))
     for _ in range(levels):
-        held = F.to_json("__v")
-        nested = F.schema_of_variant("__v").rlike("^(OBJECT|ARRAY)") & ~held.isin("{}", "[]")
-        opened = rows.withColumn("__open", F.when(nested, F.col("__v")))
         inside = df.sparkSession.tvf.variant_explode_outer(F.col("__open").outer())
         plain = F.when(F.col("key").rlike(r"^\w+$"), F.concat(F.lit("."), "key"))
         named = F.coalesce(plain, F.concat(F.lit("['"), "key", F.lit("']")))
         step = F.when(F.col("key").isNotNull(), named).otherwise(F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]")))
-        rows = opened.lateralJoin(inside).select(
+        done = F.col("pos").isNull()
+        rows = rows.lateralJoin(inside).select(
             "__kept",
-            F.when(F.col("__open").isNull(), F.col("__v")).otherwise(F.col("value")).alias("__v"),
-            F.when(F.col("__open").isNull(), F.col("__path")).otherwise(F.concat("__path", step)).alias("__path"),
+            F.when(done, F.col("__v")).otherwise(F.col("value")).alias("__v"),
+            F.when(done, F.col("__path")).otherwise(F.concat("__path", step)).alias("__path"),
+            F.col("value").alias("__open"),
         )
-    said = F.schema_of_variant("__v")
+    rows = rows.select("__kept", "__v", "__path", F.to_json("__v").alias("__text"))
+    mark = F.substring("__text", 1, 1)
     kind = (
-        F.when(said.startswith("OBJECT"), "object").when(said.startswith("ARRAY"), "array").when(said == "STRING", "string")
-        .when(said == "BOOLEAN", "boolean").when(said == "VOID", "null").otherwise("number")
+        F.when(mark == "{", "object").when(mark == "[", "array").when(mark == '"', "string")
+        .when(mark.isin("t", "f"), "boolean").when(mark == "n", "null").otherwise("number")
     )
-    value = F.when(kind == "string", F.col("__v").cast("string")).when(kind != "null", F.to_json("__v"))
+    value = F.when(mark == '"', F.col("__v").cast("string")).when(mark != "n", F.col("__text"))
     return rows.select("__kept.*", F.ltrim(F.col("__path"), F.lit(".")).alias("path"), kind.alias("kind"), value.alias("value"))
 
 

@@ -356,6 +356,19 @@ def test_payload_paths_reach_any_depth(spark):
     assert payloads.payload_paths(df.limit(0)).count() == 0
 
 
+def test_payload_paths_of_long_strings_and_of_one_file(spark):
+    """A string of many escapes is read to its end, wide arrays too, and rows of one task go to all cores."""
+    long = "x\"{\\[" * 30_000
+    texts = [json.dumps({"a": [long], "b": [{}] * 20_000}), json.dumps([[[]] * 3, {"c": [[1]]}])]
+    df = spark.createDataFrame(enumerate(texts), "id int, jsondata string").coalesce(1)
+    found = payloads.payload_paths(df)
+    wanted = [(k, *leaf) for k, text in enumerate(texts) for leaf in _leaves(json.loads(text))]
+    assert sorted(map(tuple, found.collect())) == sorted(wanted)
+    many = payloads.payload_paths(spark.range(400, numPartitions=1).select("id", F.lit('{"a": 1}').alias("jsondata")))
+    parts = many.groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) >= 4 and sum(r["count"] for r in parts) == 400
+
+
 def test_every_payload_is_kept_or_rejected_with_a_reason(spark):
     good = ("mon", "APP", '{"a": 1}')
     rows = [good, ("stop", "APP", "{}"), (None, None, None), ("mon", "app", "{}"), ("describe", "TYPE", None),
