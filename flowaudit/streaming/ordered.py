@@ -4,17 +4,26 @@ Spark refuses ``lag`` on streams. A keyed state holds each row until the waterma
 then takes the rows of the key in time order, next to the last one taken. The inputs hold one row
 per key and run, so a key's state is the rows of the delay and one more. The one more can come from
 stored history when the stream starts, and goes again where a key's rows end.
+
+Calls to the state cost far more than the rows they carry. Keys are therefore dealt to ``BUCKETS``
+groups, each with one timer, and rows are held in packed blocks sorted by time. Final blocks are
+merged as their time comes, so that Python holds a block or so per arrived buffer and not all rows.
 """
 
 from __future__ import annotations
 
+import heapq
+import pickle
 import sys
+import zlib
 from collections.abc import Iterator, Sequence
 from datetime import timedelta
 from decimal import ROUND_HALF_UP, Context, Decimal
+from itertools import islice
+from operator import itemgetter
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -25,30 +34,52 @@ from flowaudit.streaming.sinks import use_keyed_state
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 AT = "__at_us"
+BUCKET = "__bucket"
+# Groups that keys are dealt to. A checkpoint holds its state under them, so the number is fixed.
+BUCKETS = 1024
+# Arrived rows that are sorted at once, and rows of a packed block.
+BUFFER_ROWS = 20_000
+BLOCK_ROWS = 1_000
 _BITS = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}
 
 
+def packed(rows: list) -> bytes:
+    return zlib.compress(pickle.dumps(rows, 5), 1)
+
+
+def unpacked(data: bytes) -> list:
+    return pickle.loads(zlib.decompress(data))
+
+
 class InTimeOrder(StatefulProcessor):
     """Hold rows until they are final and pass them on in order; subclasses say what comes out."""
 
-    def __init__(self, row_schema: T.StructType, sort_by: Sequence[str], result: Sequence[str],
+    def __init__(self, row_schema: T.StructType, keys: Sequence[str], sort_by: Sequence[str], result: Sequence[str],
                  expire: timedelta | None = None):
         self.row_schema = row_schema
         self.names = row_schema.fieldNames()
-        self.sort_at = [self.names.index(c) for c in (AT, *sort_by)]
+        self.at = self.names.index(AT)
+        self.key_at = [self.names.index(c) for c in keys]
+        self.sort_at = [self.names.index(c) for c in sort_by]
         self.result = list(result)
         self.expire_us = None if expire is None else expire // timedelta(microseconds=1)
 
-    def follow(self, before: dict | None, row: dict) -> dict | None:
+    def follow(self, before: tuple | None, row: tuple) -> tuple | None:
         """Output of ``row`` given the row before it, or None for no output."""
         raise NotImplementedError
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getListState("held", self.row_schema)
-        self.last = handle.getValueState("last", self.row_schema)
+        self.held = handle.getMapState("held", "place bigint", "rows binary")
+        self.blocks = handle.getListState("blocks", "low_us bigint, place bigint")
+        self.last = handle.getMapState("last", "key string", self.row_schema)
         self.due = handle.getValueState("due", "at_ms bigint")
 
+    def key_of(self, row: Sequence) -> str:
+        """The key as text, as keys may hold nulls and lists; Spark takes -0.0 for 0.0."""
+        values = [row[p] for p in self.key_at]
+        return repr([v + 0.0 if isinstance(v, float) else v for v in values])
+
     def wait_for(self, at_us: int) -> None:
         at_ms = -(-at_us // 1000)
         if self.due.exists():
@@ -59,59 +90,102 @@ class InTimeOrder(StatefulProcessor):
         self.handle.registerTimer(at_ms)
         self.due.update((at_ms,))
 
-    def _keep_last(self, values: tuple) -> None:
-        self.last.update(values)
-        self._wait_for_end(values)
-
-    def _wait_for_end(self, values: tuple) -> None:
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        values = tuple(initialState[c] for c in self.names)
+        self.last.updateValue((self.key_of(values),), values)
         if self.expire_us is not None:
-            self.wait_for(values[self.names.index(AT)] + self.expire_us)
+            self.wait_for(values[self.at] + self.expire_us)
 
-    def _ended(self, before: dict | None, at_us: int) -> bool:
-        return None not in (before, self.expire_us) and at_us - before[AT] > self.expire_us
+    def _order(self, row: tuple) -> tuple:
+        return (row[self.at], *[(row[p] is not None, row[p]) for p in self.sort_at])
 
-    def handleInitialState(self, key, initialState, timerValues) -> None:
-        self._keep_last(tuple(initialState[c] for c in self.names))
+    def _store(self, rows: list[tuple], place: int) -> list[tuple]:
+        """Hold rows as blocks from ``place`` on; first time and place of each block."""
+        rows.sort(key=self._order)
+        stored = []
+        for first in range(0, len(rows), BLOCK_ROWS):
+            block = rows[first : first + BLOCK_ROWS]
+            stored.append((block[0][self.at], place + len(stored)))
+            self.held.updateValue((stored[-1][1],), (packed(block),))
+        return stored
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        fresh = [tuple(row[c] for c in self.names) for row in rows]
-        if fresh:
-            self.held.appendList(fresh)
-            self.wait_for(min(values[self.names.index(AT)] for values in fresh))
+        first = next(rows, None)
+        if first is None:
+            return iter(())
+        pick = itemgetter(*[first.__fields__.index(c) for c in self.names])
+        place = 1 + max((b[1] for b in self.blocks.get()), default=-1)
+        fresh, buffer = [], [pick(first)]
+        while buffer:
+            buffer += map(pick, islice(rows, BUFFER_ROWS - len(buffer)))
+            fresh += self._store(buffer, place + len(fresh))
+            buffer = list(map(pick, islice(rows, 1)))
+        self.blocks.appendList(fresh)
+        self.wait_for(min(fresh)[0])
         return iter(())
 
-    def take_ready(self, final_us: int) -> list[tuple]:
+    def take_ready(self, final_us: int) -> Iterator[tuple]:
         """The held rows that are final, in order; the others go on waiting."""
-        at = self.names.index(AT)
-        held = sorted(
-            (tuple(r) for r in self.held.get()), key=lambda r: tuple(r[p] for p in self.sort_at)
-        )
-        ready = [r for r in held if r[at] <= final_us]
-        rest = held[len(ready):]
-        self.due.clear()
-        self.held.clear()
-        if rest:
-            self.held.put(rest)
-            self.wait_for(rest[0][at])
-        return ready
+        waiting = sorted(tuple(b) for b in self.blocks.get())
+        if not waiting:
+            return
+        opened, heads = 0, []
+        while True:
+            # A block is opened when the rows before its first have gone.
+            while opened < len(waiting) and waiting[opened][0] <= min(final_us, heads[0][0][0] if heads else final_us):
+                place = waiting[opened][1]
+                rows = unpacked(self.held.getValue((place,))[0])
+                self.held.removeKey((place,))
+                heapq.heappush(heads, (self._order(rows[0]), opened, 0, rows))
+                opened += 1
+            if not heads or heads[0][0][0] > final_us:
+                break
+            _, n, k, rows = heads[0]
+            yield rows[k]
+            if k + 1 < len(rows):
+                heapq.heapreplace(heads, (self._order(rows[k + 1]), n, k + 1, rows))
+            else:
+                heapq.heappop(heads)
+        rest = [row for _, _, k, rows in heads for row in rows[k:]]
+        waiting, places = waiting[opened:], max(place for _, place in waiting)
+        waiting += self._store(rest, places + 1)
+        self.blocks.clear()
+        if waiting:
+            self.blocks.put(waiting)
+            self.wait_for(min(waiting)[0])
+
+    def _ended(self, before: tuple | None, at_us: int) -> bool:
+        return None not in (before, self.expire_us) and at_us - before[self.at] > self.expire_us
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         final_us = timerValues.getCurrentWatermarkInMs() * 1000
-        ready = self.take_ready(final_us)
-        last = tuple(self.last.get()) if self.last.exists() else None
-        before = dict(zip(self.names, last)) if last else None
-        for values in ready:
-            row = dict(zip(self.names, values))
-            out = self.follow(None if self._ended(before, row[AT]) else before, row)
+        self.due.clear()
+        make = Row(*self.result)
+        last = {k[0]: tuple(v) for k, v in self.last.iterator()}
+        fresh = set()
+        for row in self.take_ready(final_us):
+            name = self.key_of(row)
+            before = last.get(name)
+            out = self.follow(None if self._ended(before, row[self.at]) else before, row)
             if out is not None:
-                yield Row(**{c: out[c] for c in self.result})
-            before = row
-        if ready:
-            self._keep_last(ready[-1])
-        elif last and self._ended(before, final_us + 1):
-            self.last.clear()
-        elif last:
-            self._wait_for_end(last)
+                yield make(*out)
+            last[name] = row
+            fresh.add(name)
+        for name in fresh:
+            self.last.updateValue((name,), last[name])
+        if self.expire_us is not None:
+            self._end_keys(last, fresh, final_us)
+
+    def _end_keys(self, last: dict[str, tuple], fresh: set[str], final_us: int) -> None:
+        """Forget the keys whose last row is too long ago, and come back for the others."""
+        ends = []
+        for name, row in last.items():
+            if name not in fresh and self._ended(row, final_us + 1):
+                self.last.removeKey((name,))
+            else:
+                ends.append(max(row[self.at] + self.expire_us, final_us + 1))
+        if ends:
+            self.wait_for(min(ends))
 
     def close(self) -> None:
         pass
@@ -120,15 +194,14 @@ class InTimeOrder(StatefulProcessor):
 class RowDeltas(InTimeOrder):
     """Change of each counter since the key's row before."""
 
-    def __init__(self, row_schema, sort_by, result, changes: dict[str, T.StructField], expire=None):
-        super().__init__(row_schema, sort_by, result, expire)
-        self.changes = changes
+    def __init__(self, row_schema, keys, sort_by, result, changes: dict[str, T.StructField], expire=None):
+        super().__init__(row_schema, keys, sort_by, result, expire)
+        self.kept = [self.names.index(c) for c in self.result[: len(self.result) - len(changes)]]
+        self.changes = [(self.names.index(c), field.dataType) for c, field in changes.items()]
 
     def follow(self, before, row):
-        out = dict(row)
-        for c, field in self.changes.items():
-            out[field.name] = _change(before and before[c], row[c], field.dataType)
-        return out
+        changes = [_change(before and before[p], row[p], kind) for p, kind in self.changes]
+        return (*[row[p] for p in self.kept], *changes)
 
 
 def _change(before, now, kind: T.DataType):
@@ -147,22 +220,23 @@ def _change(before, now, kind: T.DataType):
 class Changes(InTimeOrder):
     """Rows seen first for their key, or whose version differs from the row before."""
 
-    def __init__(self, row_schema, sort_by, result, version: str, expire=None):
-        super().__init__(row_schema, sort_by, result, expire)
-        self.version = version
+    def __init__(self, row_schema, keys, sort_by, result, version: str, expire=None):
+        super().__init__(row_schema, keys, sort_by, result, expire)
+        self.kept = [self.names.index(c) for c in self.result]
+        self.version = self.names.index(version)
 
     def follow(self, before, row):
         if before is not None and before[self.version] == row[self.version]:
             return None
-        return row
+        return tuple(row[p] for p in self.kept)
 
 
 def _stamps(schema: T.StructType) -> list[str]:
     return [f.name for f in schema if isinstance(f.dataType, T.TimestampType)]
 
 
-def encoded(df: DataFrame, ts: str, delay: str | None) -> DataFrame:
-    """Rows as they go to the processors, with instants as microseconds.
+def encoded(df: DataFrame, keys: Sequence[str], ts: str, delay: str | None) -> DataFrame:
+    """Rows as they go to the processors, with instants as microseconds and the bucket of their key.
 
     Instants would take the time zone of the worker on their way through Python. The event time
     column stays beside its number, because Spark recognises late rows by it. A row without time
@@ -172,7 +246,11 @@ def encoded(df: DataFrame, ts: str, delay: str | None) -> DataFrame:
     use_keyed_state(df.sparkSession)
     if delay is not None:
         df = df.withWatermark(ts, delay)
-    return _as_numbers(df, ts)
+    return _as_numbers(df, ts).withColumn(BUCKET, _bucket(keys))
+
+
+def _bucket(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
 
 
 def _as_numbers(df: DataFrame, ts: str) -> DataFrame:
@@ -188,11 +266,11 @@ def _newest(history: DataFrame | None, keys: Sequence[str], ts: str, sort_by: Se
     last = F.max_by(F.struct(*held.fieldNames()), F.struct(AT, *sort_by)).alias("__last")
     newest = rows.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(last)
     fields = [F.col("__last")[f.name].cast(f.dataType).alias(f.name) for f in held]
-    return newest.select(*fields).groupBy(*keys)
+    return newest.select(*fields).withColumn(BUCKET, _bucket(keys)).groupBy(BUCKET)
 
 
 def held_schema(rows: DataFrame, ts: str) -> T.StructType:
-    return T.StructType([f for f in rows.schema if f.name != ts])
+    return T.StructType([f for f in rows.schema if f.name not in (ts, BUCKET)])
 
 
 def result_schema(df: DataFrame, ts: str, added: Sequence[T.StructField] = ()) -> T.StructType:
@@ -238,14 +316,14 @@ def delta_by_row_stream(
     With ``expire``, a row more than that long after its key's last counts as the key's first, and
     the state of a key goes once the watermark is so far.
     """
-    rows = encoded(df, ts, delay)
+    rows = encoded(df, keys, ts, delay)
     kinds = df.select(*[F.try_subtract(c, c).alias(c) for c in cols]).schema
     changes = {f.name: T.StructField(f"{f.name}{suffix}", f.dataType) for f in kinds}
     result = result_schema(df, ts, list(changes.values()))
     held = held_schema(rows, ts)
-    processor = RowDeltas(held, sort_by, result.fieldNames(), changes, expire)
+    processor = RowDeltas(held, keys, sort_by, result.fieldNames(), changes, expire)
     start = _newest(history, keys, ts, sort_by, held)
-    out = rows.groupBy(*keys).transformWithState(processor, result, "append", "eventTime", start)
+    out = rows.groupBy(BUCKET).transformWithState(processor, result, "append", "eventTime", start)
     return decoded(out, df, ts, [c.name for c in changes.values()])
 
 
@@ -264,12 +342,12 @@ def emit_on_change_stream(
     ``history`` and ``expire`` are those of ``delta_by_row_stream``; a key that comes back after
     ``expire`` is emitted again.
     """
-    rows = encoded(df, ts, delay)
+    rows = encoded(df, keys, ts, delay)
     result = result_schema(df, ts)
     held = held_schema(rows, ts)
-    processor = Changes(held, sort_by, result.fieldNames(), version, expire)
+    processor = Changes(held, keys, sort_by, result.fieldNames(), version, expire)
     start = _newest(history, keys, ts, sort_by, held)
-    out = rows.groupBy(*keys).transformWithState(processor, result, "append", "eventTime", start)
+    out = rows.groupBy(BUCKET).transformWithState(processor, result, "append", "eventTime", start)
     return decoded(out, df, ts)
 
 

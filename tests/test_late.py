@@ -146,6 +146,104 @@ def test_state_store_holds_no_expired_key(spark, tmp_path):
     assert state_rows([("z", START + timedelta(days=3), 0)]) == 1
 
 
+def test_keys_share_timers(spark, tmp_path, rows):
+    """Calls to the state are made per group of keys, not per key."""
+    made = [(f"k{k}", START + timedelta(hours=h), k * h) for k in range(3_000) for h in range(2)]
+    feed, log = str(tmp_path / "feed"), str(tmp_path / "log")
+    frame = spark.createDataFrame(made, COUNTERS)
+
+    def drain(frame):
+        frame.write.mode("append").parquet(feed)
+        stream = ordered.delta_by_row_stream(sinks.read_landed(spark, feed, frame.schema), ["key"], ["n"], delay="1 day")
+        return sinks.drain_to_files(stream, str(tmp_path / "out"), log)
+
+    drain(frame)
+    due = spark.read.format("statestore").option("path", log).option("stateVarName", "due").load()
+    assert 0 < due.count() <= ordered.BUCKETS < 3_000
+    out = sinks.before_closing(drain(sinks.closing_row(spark, frame.schema, "batch_ts")), "batch_ts")
+    assert rows(out) == rows(compare.delta_by_row(frame, ["key"], ["n"]))
+
+
+class HeldInMemory:
+    """What the processors ask of a state handle, and how many held rows are out at once."""
+
+    def __init__(self):
+        self.maps, self.lists, self.values, self.out, self.most = {}, {}, {}, 0, 0
+
+    def getMapState(self, name, key, value):
+        return _Map(self, self.maps.setdefault(name, {}))
+
+    def getListState(self, name, schema):
+        return _List(self.lists.setdefault(name, []))
+
+    def getValueState(self, name, schema):
+        return _Value(self.values.setdefault(name, []))
+
+    def registerTimer(self, at_ms):
+        pass
+
+    deleteTimer = registerTimer
+
+
+class _Map:
+    def __init__(self, owner, data):
+        self.owner, self.data = owner, data
+
+    def updateValue(self, key, value):
+        self.data[key] = value
+
+    def getValue(self, key):
+        self.owner.out += len(ordered.unpacked(self.data[key][0]))
+        self.owner.most = max(self.owner.most, self.owner.out)
+        return self.data[key]
+
+    def removeKey(self, key):
+        del self.data[key]
+
+
+class _List:
+    def __init__(self, data):
+        self.data = data
+        self.get = lambda: iter(list(data))
+        self.appendList, self.clear = data.extend, data.clear
+
+    def put(self, rows):
+        self.data[:] = rows
+
+
+class _Value:
+    def __init__(self, data):
+        self.exists, self.get, self.clear = (lambda: bool(data)), (lambda: data[0]), data.clear
+        self.update = lambda value: data.__setitem__(slice(None), [value])
+
+
+def test_rows_of_a_hot_key_are_not_all_in_memory():
+    """100,000 rows of one key land in mixed order; taken in order, few blocks are open at a time."""
+    from pyspark.sql import Row
+    from pyspark.sql import types as T
+
+    schema = T.StructType().add("key", T.StringType()).add("n", T.LongType()).add(ordered.AT, T.LongType())
+    held = HeldInMemory()
+    processor = ordered.InTimeOrder(schema, ["key"], ["n"], ["key"])
+    processor.init(held)
+    made = Row("key", "n", ordered.AT)
+    count = 100_000
+    mixed = random.Random(6).sample(range(count), count)
+    for part in (mixed[:60_000], mixed[60_000:]):
+        list(processor.handleInputRows(None, (made("hot", None if n % 9 == 0 else n, n // 3 * 1000) for n in part), None))
+    taken = []
+    for final_us in (30_000_000, 31_000_000, count * 1000):
+        for row in processor.take_ready(final_us):
+            held.out -= 1
+            taken.append(row)
+        assert taken[-1][2] <= final_us
+        held.out = 0
+    assert [r[2] for r in taken] == [n // 3 * 1000 for n in range(count)]
+    assert [r[1] for r in taken if r[1]] == [n for n in range(count) if n % 9]
+    assert held.most <= 10 * ordered.BLOCK_ROWS
+    assert not held.lists["blocks"] and not held.maps["held"]
+
+
 def log_rows(count, seed=4):
     rng = random.Random(seed)
     rows = []
