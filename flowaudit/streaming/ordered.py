@@ -38,8 +38,8 @@ BUCKET = "__bucket"
 # Groups that keys are dealt to. A checkpoint holds its state under them, so the number is fixed.
 BUCKETS = 1024
 # Arrived rows that are sorted at once, and rows of a packed block.
-BUFFER_ROWS = 20_000
-BLOCK_ROWS = 1_000
+BUFFER_ROWS = 10_000
+BLOCK_ROWS = 250
 _BITS = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}
 
 
