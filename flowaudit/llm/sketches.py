@@ -277,7 +277,8 @@ def with_next_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     own = df.withColumn("__part", F.coalesce(_part_of(ids, bounds), F.lit(-1))).withColumn("__copy", F.lit(False))
     copies = df.join(heads_df, ids == F.col("__head")).drop("__head").withColumn("__copy", F.lit(True))
     order = Window.partitionBy("__part").orderBy("__copy", ids, F.xxhash64(text))
-    following = F.when(ids.isNotNull(), F.lead(text).over(order))
+    # The bare column: an expression in the window would be shuffled as a second copy of the text.
+    following = F.when(ids.isNotNull(), F.lead(text_col).over(order))
     return (
         own.unionByName(copies)
         .withColumn(name, F.coalesce(following, F.lit("")))

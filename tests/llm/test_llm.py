@@ -215,6 +215,17 @@ def test_one_of_each_group_keeps_null_ids_and_one_of_repeated_rows(spark):
 # 3 sketches
 
 
+def test_next_text_shuffles_each_text_once(spark):
+    rows = sketches.with_next_text(docs(spark, ["a", None, "", "d"]).select("doc_id", "text"))
+    assert [r["next_text"] for r in rows.orderBy("doc_id").collect()] == ["", "", "d", "a"]
+    plan = rows._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "Window":
+        plan = plan.children().apply(0)
+    shuffled = plan.children().apply(0).output()
+    kinds = [shuffled.apply(k).dataType().simpleString() for k in range(shuffled.size())]
+    assert kinds.count("string") == 1
+
+
 def test_sketches_recover_what_differs_and_retry_larger(spark):
     lines = [f"line number {k} of this text" for k in range(400)]
     rows = [("\n".join(lines), "\n".join(lines)), ("\n".join(lines), "\n".join(lines[:200])), (None, ""), ("a b", "c d"),
