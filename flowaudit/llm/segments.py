@@ -16,8 +16,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes of segments that are joined to one string for the library.
-_JOINED = 1 << 15
+#: Bytes of segments that are joined to one string for the library; longer strings take it more time a byte.
+_JOINED = 1 << 11
 #: Segments kept for the blocks to come, and the bytes of the longest worth keeping.
 REMEMBERED, _SHORT = 1_000_000, 64
 _GAP = np.zeros(256, dtype=bool)

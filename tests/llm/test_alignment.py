@@ -84,6 +84,19 @@ def test_remembered_segments_have_the_same_ids(monkeypatch, vocabularies):
             assert len(remembered.known) == len(remembered.lists) == len(remembered.good)
 
 
+def test_segments_reach_the_library_in_short_strings(vocabularies):
+    lengths = []
+
+    def encode(texts):
+        lengths.extend(map(len, texts))
+        return vocabularies.first.encode(texts)
+
+    distinct = pa.array([f" word{k}" for k in range(5000)], pa.large_string())
+    lists, good = segment_ids(distinct, vocabularies.first._replace(encode=encode))
+    assert good.all() and max(lengths) < 2200
+    assert lists.to_pylist() == [list(ids) for ids in vocabularies.first.encode(distinct.to_pylist())]
+
+
 def brute(texts, vocabularies):
     from sentencepiece import SentencePieceProcessor
     from tokenizers import Tokenizer
